@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cf, text  # noqa: F401
+from . import cf, sets, text  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
