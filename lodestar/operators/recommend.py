@@ -60,8 +60,9 @@ def estimate_ratings(um: DataFrame, requests: DataFrame, k: int, include_self: b
 
     Similarity is the centred cosine (full norms, 0 when a norm is 0) between the requesting user and
     each rater of the requested item; the k most similar raters (ties: lower id) give the weighted mean.
-    Only (requester, rater-of-item) pairs are formed, never all user pairs: the requester's centred
-    vector is joined to each candidate's rows on (candidate, item).
+    Dot products come from one join on item of the requesters' centred rows with all centred rows,
+    kept only for the (requester, rater-of-requested-item) pairs (a semi join on the same keys as the
+    sum, so one shuffle); a hot item is split by AQE's skew join. No k-wide or pair-wide vector copies.
     Output: (user_id, item_id, estimate, n_neighbors).
     """
     c = center_ratings(um).select("user_id", "item_id", "rating", "centered")
@@ -73,11 +74,11 @@ def estimate_ratings(um: DataFrame, requests: DataFrame, k: int, include_self: b
     if not include_self:
         cand = cand.where(F.col("nb") != F.col("user_id"))
     pairs = cand.select("user_id", "nb").distinct()
-    tv = c.select("user_id", "item_id", F.col("centered").alias("_tc"))
+    tv = c.join(req.select("user_id").distinct(), "user_id").select("user_id", "item_id", F.col("centered").alias("_tc"))
     nv = c.select(F.col("user_id").alias("nb"), "item_id", F.col("centered").alias("_nc"))
     dots = (
-        pairs.join(tv, "user_id")
-        .join(nv, ["nb", "item_id"])
+        tv.join(nv, "item_id")
+        .join(pairs, ["user_id", "nb"], "left_semi")
         .groupBy("user_id", "nb")
         .agg(F.sum(F.col("_tc") * F.col("_nc")).alias("_dot"))
     )

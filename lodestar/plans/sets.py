@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import char_shingles, md5_hex_int, round6, text_clean
 from ..operators import lsh as L
 from ..operators import minhash as M
-from ..sources.tables import customer_item_sets, table
+from ..sources.tables import customer_item_sets, documents
 from .registry import query
 from .text import CLEAN_SQL
 
@@ -59,9 +59,9 @@ def cust_sets(spark, sf):
     return M.set_elements(customer_item_sets(spark, sf))
 
 
-def doc_sets(spark, sf):
+def doc_sets(spark, sf, docs=None):
     """Documents as sets of 5-shingle ids (first 7 hex digits of md5 of the shingle)."""
-    d = table(spark, sf, "documents").select("doc_id", text_clean(F.col("text")).alias("_t"))
+    d = (docs if docs is not None else documents(spark, sf)).select("doc_id", text_clean(F.col("text")).alias("_t"))
     s = d.select(F.col("doc_id").cast("bigint").alias("set_id"), F.explode(F.array_distinct(char_shingles(F.col("_t"), DOC_K))).alias("_s"))
     return M.set_elements(s.select("set_id", md5_hex_int(F.col("_s"), 7).alias("element")))
 
@@ -165,10 +165,11 @@ SELECT set_a, set_b, round(coalesce(i / nullif(na.n + nb.n - i, 0), 0), 6) AS ja
        round(ag, 6) AS signature_similarity
 FROM inter JOIN agree USING (set_a, set_b) JOIN sz na ON na.set_id = set_a JOIN sz nb ON nb.set_id = set_b""")
 def q_lsh_verify(spark, sf):
-    sets = doc_sets(spark, sf)
-    sig = M.signature_arrays(sets, FAMILY)
+    sig = M.signature_arrays(doc_sets(spark, sf), FAMILY)
     bh = L.band_hashes(sig, BANDS, ROWS)
     g = L.largest_group(L.collisions(bh), MAX_GROUP).select("band", "bucket")
     members = bh.join(g, ["band", "bucket"])
-    v = L.verify_group(members, sets, sig)
+    # exact sets only for the members of the chosen group (at most MAX_GROUP documents)
+    member_docs = documents(spark, sf).join(F.broadcast(members.select(F.col("set_id").alias("doc_id"))), "doc_id")
+    v = L.verify_group(members, doc_sets(spark, sf, member_docs), sig)
     return v.select("set_a", "set_b", round6("jaccard").alias("jaccard"), round6("signature_similarity").alias("signature_similarity"))

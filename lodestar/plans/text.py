@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import clean as CL
 from ..operators import ratings as R
 from ..operators import text as TX
-from ..sources.tables import rating_events, table
+from ..sources.tables import documents, rating_events, table
 from .registry import query
 
 SHINGLE_KS = (5, 9)
@@ -16,7 +16,7 @@ CLEAN_SQL = "replace(translate(text, chr(10) || chr(9) || chr(13), '   '), '- ',
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return documents(spark, sf)
 
 
 @query("word_count", """

@@ -18,6 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """Round-robin the rows over ``per_core`` x the cluster's cores when the scan yields fewer splits.
+
+    For per-row heavy work (regex shingling, hashing of long texts): a file with few row groups
+    otherwise leaves most cores idle. On a large table the scan already has more splits and
+    nothing is added.
+    """
+    target = per_core * df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def documents(spark: SparkSession, sf_dir: str, columns=("doc_id", "text")) -> DataFrame:
+    """The documents table, projected, and spread over all cores for text work."""
+    return spread(table(spark, sf_dir, "documents").select(*columns))
+
+
 def rating_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One rating event per line item: (user_id = o_custkey, item_id = l_partkey, rating = l_quantity).
 
