@@ -102,7 +102,7 @@ def _qualified(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hp).toUri().toString()
+    return fs.makeQualified(hp).toString()
 
 
 def write_sorted_ints(df: DataFrame, column: str, out_dir: str) -> None:
