@@ -124,16 +124,17 @@ def sgd_step(batch: DataFrame, item_f: DataFrame, user_f: DataFrame, k: int, lr:
     values; with reg every row of both tables first shrinks by (1 - 2*lr*reg), in the batch or not.
     Gradients are k sums in one aggregate per side; the update is a left join onto all factor rows.
     """
-    j = _with_factors(batch, item_f, user_f, k).withColumn("_e", F.col("rating") - _dot(k, "u", "v"))
     n = batch.select(F.count(F.lit(1))).scalar()
-    step = F.lit(2.0 * lr) / n
+    # the error is scaled by lr*2/B once per rating row, so the batch-size subquery appears in one place
+    scaled = (F.col("rating") - _dot(k, "u", "v")) * (F.lit(2.0 * lr) / n)
+    j = _with_factors(batch, item_f, user_f, k).withColumn("_e", scaled)
     g_item = j.groupBy(F.col("item_id").alias("id")).agg(*[F.sum(F.col("_e") * F.col(f"v{i}")).alias(f"_g{i}") for i in range(k)])
     g_user = j.groupBy(F.col("user_id").alias("id")).agg(*[F.sum(F.col("_e") * F.col(f"u{i}")).alias(f"_g{i}") for i in range(k)])
     shrink = F.lit(1.0 - 2.0 * lr * reg)
 
     def update(fac, g):
         x = fac.join(g, "id", "left")
-        return x.select("id", *[(F.col(f) * shrink + step * F.coalesce(F.col(f"_g{i}"), F.lit(0.0))).alias(f) for i, f in enumerate(fcols(k))])
+        return x.select("id", *[(F.col(f) * shrink + F.coalesce(F.col(f"_g{i}"), F.lit(0.0))).alias(f) for i, f in enumerate(fcols(k))])
 
     return update(item_f, g_item), update(user_f, g_user)
 
