@@ -60,8 +60,13 @@ def cust_sets(spark, sf):
 
 
 def doc_sets(spark, sf, docs=None):
-    """Documents as sets of 5-shingle ids (first 7 hex digits of md5 of the shingle)."""
-    d = (docs if docs is not None else documents(spark, sf)).select("doc_id", text_clean(F.col("text")).alias("_t"))
+    """Documents as sets of 5-shingle ids (first 7 hex digits of md5 of the shingle).
+
+    The explicit non-null id filter matches the one Catalyst infers for join keys, so every branch
+    that reuses the signatures has the same scan and Spark reuses the signature shuffle.
+    """
+    d = (docs if docs is not None else documents(spark, sf)).where(F.col("doc_id").isNotNull())
+    d = d.select("doc_id", text_clean(F.col("text")).alias("_t"))
     s = d.select(F.col("doc_id").cast("bigint").alias("set_id"), F.explode(F.array_distinct(char_shingles(F.col("_t"), DOC_K))).alias("_s"))
     return M.set_elements(s.select("set_id", md5_hex_int(F.col("_s"), 7).alias("element")))
 
