@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import normal_from_key, seeded_key
-from .groups import global_row_number
+from .groups import global_row_number, reliable_checkpoint
 
 
 # ---------------------------------------------------------------- encoding and split
@@ -184,7 +184,7 @@ def fit_factors(train: DataFrame, valid: DataFrame, item_f: DataFrame, user_f: D
             losses.append(loss)
             item_f, user_f = sgd_step(batch, item_f, user_f, cfg.k, lr, cfg.reg)
         if (epoch + 1) % cfg.checkpoint_every == 0:
-            item_f, user_f = item_f.checkpoint(), user_f.checkpoint()
+            item_f, user_f = reliable_checkpoint(item_f), reliable_checkpoint(user_f)
         vm = mse(predict(valid, item_f, user_f, cfg.k)).first()["mse"]
         report.append((epoch, float(lr), float(sum(losses) / len(losses)), float(vm) if vm is not None else None))
     rep = spark.createDataFrame(report, "epoch INT, lr DOUBLE, train_loss DOUBLE, valid_mse DOUBLE")

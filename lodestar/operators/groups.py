@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from ..functions.columns import md5_hex_int
 
 
+def reliable_checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
+    """``df.checkpoint()`` into the cluster's ``spark.checkpoint.dir`` (a folder of our own only when unset)."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
 def group_degree(df: DataFrame, keys: Sequence[str], name: str = "_deg") -> DataFrame:
     """Rows per key; partial aggregation before the shuffle."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
@@ -101,7 +109,7 @@ def global_row_number(df: DataFrame, order_cols: Sequence, name: str = "rn", par
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    s = s.checkpoint(eager=True)
+    s = reliable_checkpoint(s)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import char_shingles, md5_hex_int, round6, text_clean
 from ..operators import lsh as L
 from ..operators import minhash as M
-from ..sources.tables import customer_item_sets, documents
+from ..operators.groups import reliable_checkpoint
+from ..sources.tables import customer_item_sets, documents, table
 from .registry import query
 from .text import CLEAN_SQL
 
@@ -170,11 +171,14 @@ SELECT set_a, set_b, round(coalesce(i / nullif(na.n + nb.n - i, 0), 0), 6) AS ja
        round(ag, 6) AS signature_similarity
 FROM inter JOIN agree USING (set_a, set_b) JOIN sz na ON na.set_id = set_a JOIN sz nb ON nb.set_id = set_b""")
 def q_lsh_verify(spark, sf):
-    sig = M.signature_arrays(doc_sets(spark, sf), FAMILY)
-    bh = L.band_hashes(sig, BANDS, ROWS)
+    bh = doc_band_hashes(spark, sf)
     g = L.largest_group(L.collisions(bh), MAX_GROUP).select("band", "bucket")
-    members = bh.join(g, ["band", "bucket"])
-    # exact sets only for the members of the chosen group (at most MAX_GROUP documents)
-    member_docs = documents(spark, sf).join(F.broadcast(members.select(F.col("set_id").alias("doc_id"))), "doc_id")
-    v = L.verify_group(members, doc_sets(spark, sf, member_docs), sig)
+    # at most MAX_GROUP rows: cut the lineage here so the checks below do not re-plan the whole LSH job
+    members = reliable_checkpoint(bh.join(g, ["band", "bucket"]))
+    member_docs = table(spark, sf, "documents").select("doc_id", "text").join(
+        F.broadcast(members.select(F.col("set_id").alias("doc_id"))), "doc_id"
+    )
+    # a signature depends only on its own set: the members' signatures come from the members' documents
+    sets = doc_sets(spark, sf, member_docs)
+    v = L.verify_group(members, sets, M.signature_arrays(sets, FAMILY))
     return v.select("set_a", "set_b", round6("jaccard").alias("jaccard"), round6("signature_similarity").alias("signature_similarity"))
