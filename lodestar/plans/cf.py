@@ -22,7 +22,7 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
 UM_SQL = """um AS (
   SELECT o_custkey::BIGINT AS user_id, l_partkey::BIGINT AS item_id, sum(l_quantity)::DOUBLE AS rating
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2)"""
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL GROUP BY 1, 2)"""
 CENTER_SQL = UM_SQL + """,
 mu AS (SELECT user_id, avg(rating) AS mean_rating FROM um GROUP BY 1),
 c AS (SELECT user_id, item_id, rating, rating - mean_rating AS centered FROM um JOIN mu USING (user_id))"""
@@ -41,7 +41,7 @@ def um(spark, sf):
 
 @query("ratings_scan", f"""
 SELECT o_custkey::BIGINT AS user_id, l_partkey::BIGINT AS item_id, l_quantity::DOUBLE AS rating
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey""")
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL""")
 def q_ratings_scan(spark, sf):
     return rating_events(spark, sf)
 
@@ -163,9 +163,13 @@ def q_rate_all_items(spark, sf):
 
 def latest_order_requests(spark, sf):
     """(user, item) cells of every customer's latest order: the estimate requests."""
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate").where(
+        F.col("o_orderkey").isNotNull() & F.col("o_custkey").isNotNull()
+    )
     latest = orders.groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"].alias("o_orderkey"))
-    items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey")
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").where(
+        F.col("l_orderkey").isNotNull() & F.col("l_partkey").isNotNull()
+    )
     return latest.join(items, latest.o_orderkey == items.l_orderkey).select(
         F.col("o_custkey").cast("bigint").alias("user_id"), F.col("l_partkey").cast("bigint").alias("item_id")
     ).distinct()

@@ -27,7 +27,7 @@ FAMILY = M.hash_family(NUM_HASHES)
 LARGE = M.large_prime_family()
 
 SETS_SQL = """sets AS (SELECT DISTINCT o_custkey::BIGINT AS set_id, l_partkey::BIGINT AS element
-              FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
+              FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL)"""
 HF_SQL = "hf(k, a, b) AS (VALUES " + ", ".join(f"({k}, {a}::BIGINT, {b}::BIGINT)" for k, (a, b) in enumerate(FAMILY)) + ")"
 DOC_SETS_SQL = f"""docs AS (SELECT doc_id, {CLEAN_SQL} AS t FROM documents),
 sets AS (SELECT DISTINCT doc_id::BIGINT AS set_id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS element

@@ -90,7 +90,7 @@ def q_drop_unknown(spark, sf):
 WITH g AS (SELECT p_brand, p_type, min(p_partkey) AS goodid FROM part GROUP BY 1, 2),
 alias AS (SELECT p.p_partkey AS badid, g.goodid FROM part p JOIN g USING (p_brand, p_type) WHERE p.p_partkey <> g.goodid),
 ev AS (SELECT o_custkey::BIGINT AS user_id, l_partkey::BIGINT AS item_id, l_quantity AS q
-       FROM orders JOIN lineitem ON o_orderkey = l_orderkey)
+       FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL)
 SELECT user_id, coalesce(goodid, item_id)::BIGINT AS item_id, sum(q)::DOUBLE AS rating
 FROM ev LEFT JOIN alias ON badid = item_id GROUP BY 1, 2""")
 def q_alias_canonicalize(spark, sf):
