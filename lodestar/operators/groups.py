@@ -54,6 +54,7 @@ def pairs_in_groups(
     member: str,
     payload: Sequence[str] = (),
     tile_rows: int = 2048,
+    keep_tiles: bool = False,
 ) -> DataFrame:
     """Every unordered pair of members sharing ``group`` once per shared group, as (group, lo, hi, lo_*, hi_*).
 
@@ -87,6 +88,8 @@ def pairs_in_groups(
     )
     a_first = F.col("_a") < F.col("_b")
     cols = [F.col(group), F.least("_a", "_b").alias("lo"), F.greatest("_a", "_b").alias("hi")]
+    if keep_tiles:
+        cols += [F.col("_ti").alias("tile_i"), F.col("_tj").alias("tile_j")]
     for p in payload:
         cols.append(F.when(a_first, F.col(f"_a_{p}")).otherwise(F.col(f"_b_{p}")).alias(f"lo_{p}"))
         cols.append(F.when(a_first, F.col(f"_b_{p}")).otherwise(F.col(f"_a_{p}")).alias(f"hi_{p}"))

@@ -145,3 +145,19 @@ def test_large_prime_signature_uses_set_size(spark):
     out = {r.k: r.h for r in M.large_prime_signatures(df, M.large_prime_family()).collect()}
     for k, (a, b, p) in enumerate(M.large_prime_family()):
         assert out[k] == min(((a + x * b) % p) % 3 + 1 for x in (5, 7, 11))
+
+
+def test_hot_group_tiles_are_bounded(spark):
+    # one group holds most rows: its pairs are spread over t(t+1)/2 tiles, none above tile_rows^2 pairs
+    hot = [(0, m) for m in range(300)]
+    cold = [(g, m) for g in range(1, 40) for m in range(3)]
+    df = spark.createDataFrame(hot + cold, "g BIGINT, m BIGINT")
+    tile = 40
+    p = G.pairs_in_groups(df, "g", "m", tile_rows=tile, keep_tiles=True)
+    per_tile = p.groupBy("g", "tile_i", "tile_j").count()
+    hot_tiles = per_tile.where("g = 0").collect()
+    t = -(-300 // tile)
+    assert len(hot_tiles) == t * (t + 1) // 2
+    assert max(r["count"] for r in hot_tiles) <= tile * tile * 2
+    assert p.where("g = 0").count() == 300 * 299 // 2
+    assert per_tile.where("g > 0").agg(F.max("count")).first()[0] == 3
