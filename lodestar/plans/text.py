@@ -81,7 +81,9 @@ SELECT * FROM o WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_ord
 def q_drop_unknown(spark, sf):
     o = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority",
+        # the calendar date in UTC whatever the session time zone
+        F.date_format(F.to_utc_timestamp("o_orderdate", F.current_timezone()), "yyyy-MM-dd").alias("o_orderdate"),
+        "o_orderpriority",
     )
     return CL.drop_unknown(o, markers=("?", UNKNOWN_PRIORITY), columns=["o_orderstatus", "o_orderpriority"])
 
