@@ -155,7 +155,7 @@ def poly_least_squares(df: DataFrame, exps: Sequence[tuple[int, int, int]], x="x
     from pyspark.ml.regression import LinearRegression
 
     X, Y, Z = F.col(x), F.col(y), F.col(z)
-    feats = [monomial(X, Y, Z, *e).alias(f"m{i}{j}{k}") for (i, j, k) in exps if (i, j, k) != (0, 0, 0)]
+    feats = [monomial(X, Y, Z, i, j, k).alias(f"m{i}{j}{k}") for (i, j, k) in exps if (i, j, k) != (0, 0, 0)]
     d = df.select(F.col(t).alias("label"), *feats)
     va = VectorAssembler(inputCols=[c for c in d.columns if c != "label"], outputCol="features")
     model = LinearRegression(fitIntercept=True, regParam=0.0, solver="normal").fit(va.transform(d))

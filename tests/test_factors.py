@@ -96,3 +96,17 @@ def test_als_fit_predicts(spark):
     model = FA.als_fit(um, rank=2, max_iter=3)
     out = model.transform(um.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating"))
     assert out.count() == um.count()
+
+
+def test_grid_search_one_row_per_pair_and_best(spark):
+    k = 2
+    um = ratings_by_name(spark, "lecture_1")
+    ranked = FA.split_order(um, 1)
+    items = FA.init_factors(um.select("item_id").distinct(), "item_id", "item", k, 3)
+    users = FA.init_factors(um.select("user_id").distinct(), "user_id", "user", k, 3)
+    cfg = FA.FitConfig(k=k, epochs=2, batches_per_epoch=1, checkpoint_every=2)
+    g = FA.grid_search(ranked, ranked, items, users, [0.01, 0.05], [0.0, 0.1], cfg)
+    rows = g.collect()
+    assert len(rows) == 4 and all(r.valid_mse is not None for r in rows)
+    best = g.agg(F.min_by(F.struct("lr", "reg"), "valid_mse").alias("b")).first().b
+    assert (best.lr, best.reg) == min(((r.lr, r.reg) for r in rows), key=lambda p: next(r.valid_mse for r in rows if (r.lr, r.reg) == p))

@@ -132,3 +132,23 @@ def test_bloom_has_no_false_negatives(spark):
     assert members.where(~F.col("passed")).count() == 0
     fp = res.where((F.col("key") % 2 == 1) | (F.col("key") >= 2000)).agg(F.avg(F.col("passed").cast("double"))).first()[0]
     assert fp < 0.05
+
+
+def test_poly_descent_and_least_squares(spark):
+    import random
+
+    rnd = random.Random(2)
+    true = {e: rnd.uniform(-1, 1) for e in FI.monomial_exponents(1, 1, 0)}
+    rows = []
+    for _ in range(200):
+        x, y, z = rnd.random(), rnd.random(), rnd.random()
+        t = sum(c * x**i * y**j * z**k for (i, j, k), c in true.items())
+        rows.append((x, y, z, t))
+    df = spark.createDataFrame(rows, "x DOUBLE, y DOUBLE, z DOUBLE, t DOUBLE")
+    start = {e: 0.0 for e in true}
+    loss0 = FI.poly_loss_grad(df, start).first().loss
+    fitted = FI.fit_poly(df, start, lr=0.05, steps=15)
+    assert FI.poly_loss_grad(df, fitted).first().loss < loss0
+    model = FI.poly_least_squares(df, list(true))
+    assert model.intercept == pytest.approx(true[(0, 0, 0)], abs=1e-6)
+    assert sorted(round(c, 6) for c in model.coefficients) == sorted(round(true[e], 6) for e in true if e != (0, 0, 0))
