@@ -11,6 +11,7 @@ from ..functions.columns import round6
 from ..operators import ratings as R
 from ..operators import recommend as REC
 from ..operators import similarity as SIM
+from ..operators.groups import reliable_checkpoint
 from ..sources.tables import rating_events, table
 from .registry import query
 
@@ -39,6 +40,16 @@ def um(spark, sf):
     return R.utility_matrix(rating_events(spark, sf))
 
 
+def shared_um(spark, sf):
+    """The utility matrix written once (reliable checkpoint) for queries that read it in several branches.
+
+    Branches filter it differently (the target user, everyone else, all items), and each differently
+    filtered branch would otherwise rescan and re-join orders x lineitem; here the raw tables are read
+    once and every branch reads the much smaller written matrix.
+    """
+    return reliable_checkpoint(um(spark, sf))
+
+
 @query("ratings_scan", f"""
 SELECT o_custkey::BIGINT AS user_id, l_partkey::BIGINT AS item_id, l_quantity::DOUBLE AS rating
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL""")
@@ -91,7 +102,7 @@ x AS (SELECT um.*, n_in_key,
 SELECT item_id, chunk, n_in_key, array_to_string(list_sort(list(user_id)), ',') AS users
 FROM x GROUP BY item_id, chunk, n_in_key""")
 def q_rated_by(spark, sf):
-    r = R.rated_by(um(spark, sf))
+    r = R.rated_by(shared_um(spark, sf))
     return r.select("item_id", "chunk", "n_in_key", F.array_join("users", ",").alias("users"))
 
 
@@ -105,7 +116,7 @@ SELECT user_id, chunk, n_in_key,
        string_agg(item_id::VARCHAR || ':' || rating::BIGINT::VARCHAR, ',' ORDER BY item_id) AS entries
 FROM x GROUP BY user_id, chunk, n_in_key""")
 def q_user_vectors(spark, sf):
-    v = R.user_vectors(um(spark, sf))
+    v = R.user_vectors(shared_um(spark, sf))
     txt = F.transform("entries", lambda e: F.concat(e["item_id"].cast("string"), F.lit(":"), e["rating"].cast("bigint").cast("string")))
     return v.select("user_id", "chunk", "n_in_key", F.array_join(txt, ",").alias("entries"))
 
@@ -121,13 +132,13 @@ def q_um_pivot(spark, sf):
 
 @query("user_similarities", f"WITH {SIM_TO_TARGET_SQL} SELECT user_id, round(sim, 6) AS similarity, n_common FROM sims")
 def q_user_similarities(spark, sf):
-    s = SIM.similarity_to_user(um(spark, sf), TARGET_USER, undefined="null")
+    s = SIM.similarity_to_user(shared_um(spark, sf), TARGET_USER, undefined="null")
     return s.select("user_id", round6("similarity").alias("similarity"), "n_common")
 
 
 @query("centered_cosine_all", f"WITH {SIM_TO_TARGET_SQL} SELECT user_id, round(coalesce(sim, 0), 6) AS similarity, n_common FROM sims")
 def q_centered_cosine_all(spark, sf):
-    s = SIM.similarity_to_user(um(spark, sf), TARGET_USER, undefined="zero")
+    s = SIM.similarity_to_user(shared_um(spark, sf), TARGET_USER, undefined="zero")
     return s.select("user_id", round6("similarity").alias("similarity"), "n_common")
 
 
@@ -157,7 +168,7 @@ SELECT item_id, round(coalesce(known, est), 6) AS rating, known IS NOT NULL AS i
        (CASE WHEN known IS NULL THEN coalesce(n_nb, 0) ELSE 0 END)::BIGINT AS n_neighbors
 FROM items LEFT JOIN k USING (item_id) LEFT JOIN e USING (item_id)""")
 def q_rate_all_items(spark, sf):
-    r = REC.rate_all_items(um(spark, sf), TARGET_USER, NEIGHBOURHOOD)
+    r = REC.rate_all_items(shared_um(spark, sf), TARGET_USER, NEIGHBOURHOOD)
     return r.select("item_id", round6("rating").alias("rating"), "is_known", "n_neighbors")
 
 
@@ -201,7 +212,7 @@ est AS (SELECT user_id, item_id, sum(sim * nb_rating) / nullif(sum(sim), 0) AS e
 SELECT user_id, item_id, round(estimate, 6) AS estimate, coalesce(n_nb, 0)::BIGINT AS n_neighbors
 FROM req LEFT JOIN est USING (user_id, item_id)""")
 def q_estimate_ratings(spark, sf):
-    e = REC.estimate_ratings(um(spark, sf), latest_order_requests(spark, sf), NEIGHBOURHOOD)
+    e = REC.estimate_ratings(shared_um(spark, sf), latest_order_requests(spark, sf), NEIGHBOURHOOD)
     return e.select("user_id", "item_id", round6("estimate").alias("estimate"), "n_neighbors")
 
 
@@ -213,7 +224,7 @@ SELECT a.user_id AS user_a, b.user_id AS user_b,
        count(*) AS n_common
 FROM c a JOIN c b ON a.item_id = b.item_id AND a.user_id < b.user_id GROUP BY 1, 2""")
 def q_pearson_pairs(spark, sf):
-    p = SIM.pearson_pairs(um(spark, sf))
+    p = SIM.pearson_pairs(shared_um(spark, sf))
     return p.select("user_a", "user_b", round6("pearson_corr").alias("pearson_corr"), "n_common")
 
 
@@ -226,7 +237,7 @@ corr AS (SELECT c.user_id, sum(tc * centered) / nullif(sqrt(sum(tc * tc)) * sqrt
 SELECT {TARGET_USER}::BIGINT AS user_a, user_id AS user_b, round(pc, 6) AS pearson_corr, n_common
 FROM corr ORDER BY round(pc, 9) DESC NULLS LAST, user_id LIMIT {TOP_K}""")
 def q_topk_similar_users(spark, sf):
-    t = SIM.topk_similar_users(um(spark, sf), TARGET_USER, TOP_K)
+    t = SIM.topk_similar_users(shared_um(spark, sf), TARGET_USER, TOP_K)
     return t.select("user_a", "user_b", round6("pearson_corr").alias("pearson_corr"), "n_common")
 
 

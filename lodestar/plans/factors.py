@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round6
 from ..operators import factors as FA
-from .cf import UM_SQL, um
+from .cf import UM_SQL, shared_um
 from .registry import query
 from ..sources.tables import table
 
@@ -65,7 +65,7 @@ FROM fv LEFT JOIN gv USING (id, f), bb"""
 
 
 def factors(spark, sf):
-    m = um(spark, sf)
+    m = shared_um(spark, sf)
     items = FA.init_factors(m.select("item_id").distinct(), "item_id", "item", K, SEED)
     users = FA.init_factors(m.select("user_id").distinct(), "user_id", "user", K, SEED)
     return m, items, users
