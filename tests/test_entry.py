@@ -28,3 +28,14 @@ def test_query_runs_with_stable_schema(spark, name):
     a = q(spark, SF)
     a.collect()
     assert a.schema == q(spark, SF).schema
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert bad not in plan, f"{name}: {bad}"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="generated tables not present")
+def test_top_k_per_item_is_limited_before_the_shuffle(spark):
+    df = E.queries()["rate_all_items"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
