@@ -76,9 +76,11 @@ def estimate_ratings(um: DataFrame, requests: DataFrame, k: int, include_self: b
     pairs = cand.select("user_id", "nb").distinct()
     tv = c.join(req.select("user_id").distinct(), "user_id").select("user_id", "item_id", F.col("centered").alias("_tc"))
     nv = c.select(F.col("user_id").alias("nb"), "item_id", F.col("centered").alias("_nc"))
+    # shuffled hash semi join: the distinct pairs are the per-partition build side (no key repeats),
+    # the large triple side streams through without being sorted
     dots = (
         tv.join(nv, "item_id")
-        .join(pairs, ["user_id", "nb"], "left_semi")
+        .join(pairs.hint("shuffle_hash"), ["user_id", "nb"], "left_semi")
         .groupBy("user_id", "nb")
         .agg(F.sum(F.col("_tc") * F.col("_nc")).alias("_dot"))
     )
