@@ -212,3 +212,17 @@ def als_fit(train: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0
         ratingCol="rating", coldStartStrategy="drop", nonnegative=False,
     )
     return als.fit(train.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating"))
+
+
+def als_grid_search(train: DataFrame, ranks: Sequence[int], regs: Sequence[float], max_iter: int = 10, seed: int = 42, train_ratio: float = 0.8):
+    """Grid over (rank, regParam) for ALS with Spark ML ``TrainValidationSplit`` (RMSE on the held-out
+    part); returns the fitted ``TrainValidationSplitModel`` (``bestModel``, ``validationMetrics``)."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.recommendation import ALS
+    from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+
+    als = ALS(maxIter=max_iter, seed=seed, userCol="user_id", itemCol="item_id", ratingCol="rating", coldStartStrategy="drop")
+    grid = ParamGridBuilder().addGrid(als.rank, list(ranks)).addGrid(als.regParam, list(regs)).build()
+    ev = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
+    tvs = TrainValidationSplit(estimator=als, estimatorParamMaps=grid, evaluator=ev, trainRatio=train_ratio, seed=seed)
+    return tvs.fit(train.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating"))

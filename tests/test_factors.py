@@ -110,3 +110,14 @@ def test_grid_search_one_row_per_pair_and_best(spark):
     assert len(rows) == 4 and all(r.valid_mse is not None for r in rows)
     best = g.agg(F.min_by(F.struct("lr", "reg"), "valid_mse").alias("b")).first().b
     assert (best.lr, best.reg) == min(((r.lr, r.reg) for r in rows), key=lambda p: next(r.valid_mse for r in rows if (r.lr, r.reg) == p))
+
+
+def test_als_grid_search(spark):
+    import random
+
+    rnd = random.Random(0)
+    rows = [(u, i, float(rnd.randint(1, 5))) for u in range(30) for i in range(20) if rnd.random() < 0.5]
+    df = spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    m = FA.als_grid_search(df, [2, 4], [0.1, 1.0], max_iter=3)
+    assert len(m.validationMetrics) == 4
+    assert min(m.validationMetrics) > 0
