@@ -169,3 +169,16 @@ def test_chunked_rated_by_reassembles(spark):
     assert {r.item_id: set(r.u) for r in out} == exp
     sizes = R.rated_by(df, chunk_rows=4).select(F.size("users").alias("s")).collect()
     assert max(r.s for r in sizes) < 30
+
+
+def test_neighbours_are_raters_and_at_most_k(spark):
+    rows = _random_ratings(seed=13)
+    df = spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    raters = {}
+    for u, i, _ in rows:
+        if u != 5:
+            raters.setdefault(i, set()).add(u)
+    for k in (1, 3):
+        for r in REC.rate_all_items(df, 5, k).collect():
+            if not r.is_known:
+                assert r.n_neighbors <= min(k, len(raters.get(r.item_id, ())))

@@ -161,3 +161,25 @@ def test_hot_group_tiles_are_bounded(spark):
     assert max(r["count"] for r in hot_tiles) <= tile * tile * 2
     assert p.where("g = 0").count() == 300 * 299 // 2
     assert per_tile.where("g > 0").agg(F.max("count")).first()[0] == 3
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 25)), min_size=0, max_size=60),
+    st.integers(min_value=1, max_value=9),
+)
+def test_pairs_in_groups_property(spark, rows, tile):
+    rows = sorted(set(rows))
+    df = spark.createDataFrame(rows or [(0, 0)], "g BIGINT, m BIGINT")
+    if not rows:
+        df = df.limit(0)
+    got = sorted((r.g, r.lo, r.hi) for r in G.pairs_in_groups(df, "g", "m", tile_rows=tile).collect())
+    by_g = {}
+    for g, m in rows:
+        by_g.setdefault(g, []).append(m)
+    exp = sorted((g, a, b) for g, ms in by_g.items() for a, b in itertools.combinations(sorted(ms), 2))
+    assert got == exp
