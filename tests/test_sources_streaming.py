@@ -1,5 +1,4 @@
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
