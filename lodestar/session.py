@@ -8,6 +8,16 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """About 60 % of physical memory (1 to 24 GiB): local mode runs everything in the driver JVM."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    gib = max(1, min(24, int(total * 0.6 / 2**30)))
+    return f"{gib}g"
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lodestar") -> SparkSession:
     """Local session used by tests and the bench. On a cluster, build the session there instead."""
     spark = (
@@ -20,7 +30,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lod
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
