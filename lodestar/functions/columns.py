@@ -47,6 +47,19 @@ def normal_from_key(key: Column) -> Column:
     return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
 
 
+def utc_date_string(c: str, dtype) -> Column:
+    """'yyyy-MM-dd' of a timestamp column, independent of the session time zone.
+
+    A wall-clock timestamp (TIMESTAMP_NTZ, from parquet written without UTC adjustment) is formatted
+    as stored; an instant (TIMESTAMP) is first moved so that its UTC wall clock is formatted.
+    """
+    from pyspark.sql.types import TimestampNTZType
+
+    if isinstance(dtype, TimestampNTZType):
+        return F.date_format(F.col(c), "yyyy-MM-dd")
+    return F.date_format(F.to_utc_timestamp(F.col(c), F.current_timezone()), "yyyy-MM-dd")
+
+
 def text_clean(text) -> Column:
     """Line breaks and tabs to spaces, then every ``"- "`` deleted (joins hyphenated line breaks)."""
     return F.replace(F.translate(col_or(text), "\n\t\r", "   "), F.lit("- "), F.lit(""))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import utc_date_string
 from ..operators import clean as CL
 from ..operators import ratings as R
 from ..operators import text as TX
@@ -79,10 +80,10 @@ WITH o AS (
 SELECT * FROM o WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderstatus IS NOT NULL
   AND o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL""")
 def q_drop_unknown(spark, sf):
-    o = table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders")
+    o = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        # the calendar date in UTC whatever the session time zone
-        F.date_format(F.to_utc_timestamp("o_orderdate", F.current_timezone()), "yyyy-MM-dd").alias("o_orderdate"),
+        utc_date_string("o_orderdate", orders.schema["o_orderdate"].dataType).alias("o_orderdate"),
         "o_orderpriority",
     )
     return CL.drop_unknown(o, markers=("?", UNKNOWN_PRIORITY), columns=["o_orderstatus", "o_orderpriority"])
