@@ -31,9 +31,9 @@ def ams_samples(stream: DataFrame, element: str, pos: str, v: int) -> DataFrame:
     chosen position is uniform over the stream without knowing its length. Positions start at 1.
 
     Expected candidates per variable ~ ln n, so the v-fold generate is filtered right away in the same
-    stage; the result has v rows. Output (sample, t, el).
+    stage; the result has v rows. Variables are numbered 1..v. Output (sample, t, el).
     """
-    s = stream.select(F.col(pos).alias("_p"), F.col(element).alias("_el"), F.explode(F.sequence(F.lit(0), F.lit(v - 1))).alias("sample"))
+    s = stream.select(F.col(pos).alias("_p"), F.col(element).alias("_el"), F.explode(F.sequence(F.lit(1), F.lit(v))).alias("sample"))
     cand = s.where(ams_choice(F.col("sample"), F.col("_p")) * F.col("_p") < 1.0)
     return cand.groupBy("sample").agg(F.max(F.struct("_p", "_el")).alias("_x")).select(
         "sample", F.col("_x._p").alias("t"), F.col("_x._el").alias("el")

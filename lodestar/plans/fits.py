@@ -106,7 +106,7 @@ def _events(spark, sf):
 
 @query("ams_moment", f"""
 WITH ev AS (SELECT event_id + 1 AS p, user_id AS el FROM events),
-cand AS (SELECT s, p, el FROM ev, range({AMS_V}) t(s)
+cand AS (SELECT s, p, el FROM ev, range(1, {AMS_V + 1}) t(s)
          WHERE ((('0x' || substr(md5(s::VARCHAR || ':' || p::VARCHAR), 1, 7))::BIGINT + 0.5) / {float(16**7)}) * p < 1),
 smp AS (SELECT s, max(p) AS t FROM cand GROUP BY 1),
 smp2 AS (SELECT s, t, el FROM smp JOIN ev ON ev.p = smp.t),

@@ -64,10 +64,10 @@ def ams_step(batch: DataFrame, prev: DataFrame | None, element: str, pos: str, v
     """One micro-batch of the AMS variables: returns the new v-row state (sample, t, el, c, n)."""
     spark = batch.sparkSession
     ev = batch.select(F.col(pos).cast("bigint").alias("_p"), F.col(element).cast("bigint").alias("_el"))
-    samples = spark.range(v).select(F.col("id").cast("int").alias("sample"))
+    samples = spark.range(1, v + 1).select(F.col("id").cast("int").alias("sample"))
     if prev is None:
         prev = samples.select("sample", *[F.lit(None).cast(t).alias(c) for c, t in (("t", "bigint"), ("el", "bigint"), ("c", "bigint"), ("n", "bigint"))])
-    gen = ev.select("_p", "_el", F.explode(F.sequence(F.lit(0), F.lit(v - 1))).alias("sample"))
+    gen = ev.select("_p", "_el", F.explode(F.sequence(F.lit(1), F.lit(v))).alias("sample"))
     picks = gen.where(ams_choice(F.col("sample"), F.col("_p")) * F.col("_p") < 1.0).groupBy("sample").agg(
         F.max(F.struct("_p", "_el")).alias("_x")
     )

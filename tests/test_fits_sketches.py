@@ -86,7 +86,7 @@ def _py_ams(stream, k, v):
 
     n = len(stream)
     ests, tot = [], 0
-    for s in range(v):
+    for s in range(1, v + 1):
         t = max(p for p in range(1, n + 1) if (int(hashlib.md5(f"{s}:{p}".encode()).hexdigest()[:7], 16) + 0.5) / 16**7 * p < 1)
         el = stream[t - 1]
         c = sum(1 for p in range(t, n + 1) if stream[p - 1] == el)
