@@ -83,6 +83,14 @@ def pairs_in_groups(
         F.explode(F.sequence(F.lit(0), F.col("_c"))).alias("_ti"),
         F.col("_c").alias("_tj"),
     )
+    # The join's inputs are small per tile but its output is up to tile_rows**2 pairs per tile, which
+    # adaptive coalescing cannot see: fix the partition count from the pair count instead (explicit
+    # repartitions are not coalesced), about one tile's worth of pairs per task.
+    total_pairs = deg.agg(F.sum(F.col("_deg") * (F.col("_deg") - 1) / 2)).first()[0] or 0
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = int(max(base, min(200_000, -(-int(total_pairs) // (tile_rows * tile_rows)))))
+    left = left.repartition(n_parts, group, "_ti", "_tj")
+    right = right.repartition(n_parts, group, "_ti", "_tj")
     j = left.join(right, [group, "_ti", "_tj"]).where(
         F.when(F.col("_ti") == F.col("_tj"), F.col("_a") < F.col("_b")).otherwise(F.col("_a") != F.col("_b"))
     )
