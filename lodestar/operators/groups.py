@@ -62,7 +62,8 @@ def pairs_in_groups(
     is the output size. What must not happen is that a hot group's pairs land in one task: a group with d
     members is cut into t = ceil(d / tile_rows) chunks by a hash of the member and its pairs are produced
     in t*(t+1)/2 tiles of at most tile_rows**2 pairs each, one join key per tile. Small groups (t = 1)
-    are joined once, unreplicated.
+    are joined once, unreplicated. The tile join gets about one tile's worth of pairs per task (the
+    partition count comes from sum d(d-1)/2 over the degrees), since its output, not its input, is large.
     """
     deg = group_degree(df, [group])
     x = df.join(deg, group)
