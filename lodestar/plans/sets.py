@@ -98,7 +98,8 @@ def q_minhash_large_prime(spark, sf):
 
 @query("jaccard_pairs", f"WITH {JACCARD_SQL} SELECT set_a, set_b, intersection, union_size, round(jaccard, 6) AS jaccard FROM jp")
 def q_jaccard_pairs(spark, sf):
-    j = M.jaccard_pairs(cust_sets(spark, sf))
+    # the sets are read by the degree count that sizes the pair join and by the join itself: write once
+    j = M.jaccard_pairs(reliable_checkpoint(cust_sets(spark, sf)))
     return j.select("set_a", "set_b", "intersection", "union_size", round6("jaccard").alias("jaccard"))
 
 
@@ -109,7 +110,7 @@ SELECT r, b, floor(jaccard * 10) / 10 AS jaccard_bin, count(*) AS n_pairs,
        round(avg(1.0 - pow(1.0 - pow(jaccard, r), b)), 6) AS expected_rate
 FROM jp, g GROUP BY 1, 2, 3""")
 def q_lsh_s_curve(spark, sf):
-    t = L.s_curve_table(M.jaccard_pairs(cust_sets(spark, sf)), S_CURVE_GRID)
+    t = L.s_curve_table(M.jaccard_pairs(reliable_checkpoint(cust_sets(spark, sf))), S_CURVE_GRID)
     return t.select("r", "b", "jaccard_bin", "n_pairs", round6("expected_rate").alias("expected_rate"))
 
 
