@@ -64,6 +64,8 @@ def pairs_in_groups(
     in t*(t+1)/2 tiles of at most tile_rows**2 pairs each, one join key per tile. Small groups (t = 1)
     are joined once, unreplicated. The tile join gets about one tile's worth of pairs per task (the
     partition count comes from sum d(d-1)/2 over the degrees), since its output, not its input, is large.
+    That count is one small job when the plan is built; an expensive ``df`` is best written first
+    (``reliable_checkpoint``) so that this job and the join read it once.
     """
     deg = group_degree(df, [group])
     x = df.join(deg, group)
