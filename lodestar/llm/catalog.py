@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..sources.tables import table
 from . import sql
+from .mixing import plan_mix, taken_words
 from .quality_rules import judge_documents
 
 QUERIES: dict = {}
@@ -23,3 +24,8 @@ def _query(name: str, twin: str | None = None):
 @_query("op9_quality_rules", sql.QUALITY_RULES)
 def op9_quality_rules(spark, sf_dir):
     return judge_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op1_source_mix")
+def op1_source_mix(spark, sf_dir):
+    return taken_words(plan_mix(table(spark, sf_dir, "documents")))
