@@ -6,6 +6,7 @@ from ..sources.tables import table
 from . import sql
 from .mixing import plan_mix, taken_words
 from .quality_rules import judge_documents
+from .substring_dedup import remove_repeated_windows
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -29,3 +30,8 @@ def op9_quality_rules(spark, sf_dir):
 @_query("op1_source_mix")
 def op1_source_mix(spark, sf_dir):
     return taken_words(plan_mix(table(spark, sf_dir, "documents")))
+
+
+@_query("op10_substring_dedup", sql.SUBSTRING_DEDUP)
+def op10_substring_dedup(spark, sf_dir):
+    return remove_repeated_windows(table(spark, sf_dir, "documents"))

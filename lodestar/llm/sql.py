@@ -31,3 +31,22 @@ WITH d AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed) AND ok AS kept
 FROM b JOIN k ON b.source IS NOT DISTINCT FROM k.source
 """
+
+SUBSTRING_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, r.i AS i, md5(array_to_string(w[r.i : r.i + 34], ' ')) AS s FROM d, unnest(range(1, len(w) - 33)) AS r(i)
+), rep AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY s) AS c FROM g) WHERE c > 1
+), cov AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM rep, range(35) AS x(k)
+), word AS (
+  SELECT doc_id, unnest(w) AS v, generate_subscripts(w, 1) AS i FROM d
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(v, ' ' ORDER BY i) AS t
+  FROM word ANTI JOIN cov USING (doc_id, i) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
