@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..sources.tables import table
 from . import sql
 from .mixing import plan_mix, taken_words
+from .ngram_join import near_duplicate_components
 from .quality_rules import judge_documents
 from .substring_dedup import remove_repeated_windows
 
@@ -35,3 +36,8 @@ def op1_source_mix(spark, sf_dir):
 @_query("op10_substring_dedup", sql.SUBSTRING_DEDUP)
 def op10_substring_dedup(spark, sf_dir):
     return remove_repeated_windows(table(spark, sf_dir, "documents"))
+
+
+@_query("op7_ngram_jaccard", sql.NGRAM_JACCARD)
+def op7_ngram_jaccard(spark, sf_dir):
+    return near_duplicate_components(table(spark, sf_dir, "documents")).drop("_part")
