@@ -7,6 +7,7 @@ from . import sql
 from .mixing import plan_mix, taken_words
 from .ngram_join import near_duplicate_components
 from .quality_rules import judge_documents
+from .suffix_dedup import remove_repeated_bytes
 from .substring_dedup import remove_repeated_windows
 
 QUERIES: dict = {}
@@ -41,3 +42,8 @@ def op10_substring_dedup(spark, sf_dir):
 @_query("op7_ngram_jaccard", sql.NGRAM_JACCARD)
 def op7_ngram_jaccard(spark, sf_dir):
     return near_duplicate_components(table(spark, sf_dir, "documents")).drop("_part")
+
+
+@_query("op3_suffix_dedup", sql.SUFFIX_DEDUP)
+def op3_suffix_dedup(spark, sf_dir):
+    return remove_repeated_bytes(table(spark, sf_dir, "documents"))

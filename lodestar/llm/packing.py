@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def null_ids(ids: np.ndarray, part: np.ndarray) -> pa.Array:
     return pa.array(ids, type=pa.int64(), mask=part >= NULL_ID)
 
 
-def cut(bucket: np.ndarray, *arrays: np.ndarray):
+def cut(bucket: np.ndarray, *arrays: np.ndarray, cell=np.ndarray.tobytes):
     """Distinct buckets and, for every array, the bytes of each bucket's elements (order kept)."""
     order = np.argsort(bucket, kind="stable")
     b = bucket[order]
@@ -46,7 +47,7 @@ def cut(bucket: np.ndarray, *arrays: np.ndarray):
     cells = []
     for a in arrays:
         a = a[order]
-        cells.append([a[i:j].tobytes() for i, j in zip(at, end, strict=True)])
+        cells.append([cell(a[i:j]) for i, j in zip(at, end, strict=True)])
     return b[at], cells
 
 
@@ -55,6 +56,24 @@ def joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in column.to_pylist() if x), dtype=dtype)
 
 
+def pack(a: np.ndarray) -> bytes:
+    """An array as compressed byte planes (all first bytes of the records, all second bytes, ...)."""
+    raw = np.frombuffer(a.tobytes(), dtype=np.uint8).reshape(len(a), -1)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw.T).tobytes())
+
+
+def unpack(cell: bytes, dtype) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(cell), dtype=np.uint8)
+    size = np.dtype(dtype).itemsize
+    return np.frombuffer(np.ascontiguousarray(raw.reshape(size, -1).T).tobytes(), dtype=dtype)
+
+
+def unpacked(column: pa.ChunkedArray, dtype) -> np.ndarray:
+    """All cells of a column of packed arrays as one array."""
+    cells = [unpack(x, dtype) for x in column.to_pylist() if x]
+    return np.concatenate(cells) if cells else np.zeros(0, dtype=dtype)
+
+
 SPAN = np.dtype([("id", "<i8"), ("part", "<i8"), ("db", "<i4"), ("start", "<u4"), ("end", "<u4")])
 SPAN_SCHEMA = "bucket int, spans binary"
 

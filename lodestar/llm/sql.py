@@ -69,3 +69,26 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id)) AS component_id
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x, min(y) AS y FROM reach GROUP BY x) m ON m.x = d.doc_id
 """
+
+SUFFIX_DEDUP = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), w AS (
+  SELECT doc_id, r.p AS p, md5(substr(h, 2 * r.p + 1, 100)) AS s FROM d, unnest(range(0, length(h) // 2 - 49)) AS r(p)
+), rep AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS low FROM w) WHERE low < doc_id
+), edge AS (
+  SELECT doc_id, p, CASE WHEN p > 50 + lag(p) OVER o THEN 1 WHEN lag(p) OVER o IS NULL THEN 1 ELSE 0 END AS fresh FROM rep WINDOW o AS (PARTITION BY doc_id ORDER BY p)
+), run AS (
+  SELECT doc_id, g, min(p) AS a, max(p) + 50 AS b FROM (SELECT doc_id, p, sum(fresh) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM edge) GROUP BY doc_id, g
+), gap AS (
+  SELECT doc_id, a AS till, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM run
+  UNION ALL SELECT d.doc_id, length(h) // 2, coalesce(max(b), 0) FROM d LEFT JOIN run USING (doc_id) GROUP BY d.doc_id, h
+), kept AS (
+  SELECT gap.doc_id, string_agg(substr(h, 2 * since + 1, 2 * (till - since)), '' ORDER BY since) AS t FROM gap JOIN d USING (doc_id) GROUP BY gap.doc_id
+), n AS (
+  SELECT doc_id, count(*) AS c, sum(b - a) AS r FROM run GROUP BY doc_id
+)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(c, 0)::BIGINT AS n_spans, sha256(unhex(t)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
