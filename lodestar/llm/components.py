@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
-Every step is two aggregations and joins over the edges; hot nodes are split because the per-node minima are written
-(a reliable checkpoint) before they are joined back, which lets the skew join work on plain shuffle inputs.
+Every step is an aggregation (partial sums first) and a join over the edges; a node's edges are salted in the join, so a hot
+node is never one task. One written table (a reliable checkpoint) a round.
 """
 
 from __future__ import annotations
@@ -12,17 +12,26 @@ from pyspark.sql import functions as F
 from ..operators.groups import reliable_checkpoint
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step over edges (u, v), u > v."""
-    if large:  # every larger neighbour of a node is hung on the node's smallest neighbour
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = reliable_checkpoint(both.groupBy("u").agg(F.min("v").alias("m")))
-        low = low.select("u", F.least("u", "m").alias("m"))
-        out = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:  # the smaller neighbours of a node, and the node, are hung on the smallest of them
-        low = reliable_checkpoint(edges.groupBy("u").agg(F.min("v").alias("m")))
-        out = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-    return reliable_checkpoint(out.where("u > v").distinct())
+SALTS = 16
+
+
+def _hang(edges: DataFrame, low: DataFrame) -> DataFrame:
+    """(v, m) for every edge (u, v) and its node's minimum (u, m). A node's edges are spread over SALTS join keys."""
+    left = edges.withColumn("_s", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int"))
+    right = low.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, ["u", "_s"]).select("u", "v", "m")
+
+
+def _round(edges: DataFrame) -> DataFrame:
+    """A large-star and a small-star step over edges (u, v), u > v."""
+    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # large star: every larger neighbour of a node is hung on the node's smallest neighbour
+    x = _hang(both, low).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
+    # small star: the smaller neighbours of a node, and the node, are hung on the smallest of them
+    low = x.groupBy("u").agg(F.min("v").alias("m"))
+    x = _hang(x, low).select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
+    return reliable_checkpoint(x.where("u > v").distinct())
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -31,7 +40,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     x = reliable_checkpoint(x)
     state = None
     for _ in range(max_rounds):
-        x = _star(_star(x, large=True), large=False)
+        x = _round(x)
         now = tuple(x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == state:
             break
