@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from ..sources.tables import table
 from . import sql
+from .decontaminate import contamination
+from .language_id import predict_languages
 from .mixing import plan_mix, taken_words
 from .ngram_join import near_duplicate_components
+from .quality_classifier import quality_scores
 from .quality_rules import judge_documents
-from .suffix_dedup import remove_repeated_bytes
 from .substring_dedup import remove_repeated_windows
+from .suffix_dedup import remove_repeated_bytes
+from .token_output import token_table
+from .url_filter import LISTED_LABELS, filter_urls, urls_on_hosts
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -47,3 +54,34 @@ def op7_ngram_jaccard(spark, sf_dir):
 @_query("op3_suffix_dedup", sql.SUFFIX_DEDUP)
 def op3_suffix_dedup(spark, sf_dir):
     return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@_query("op5_url_filter", sql.URL_FILTER)
+def op5_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(pages, urls_on_hosts(pages, LISTED_LABELS))
+
+
+@_query("op4_decontaminate", sql.DECONTAMINATE)
+def op4_decontaminate(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op6_token_output")
+def op6_token_output(spark, sf_dir):
+    return token_table(table(spark, sf_dir, "documents"))
+
+
+@_query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
+@_query("op8_quality_classifier")
+def op8_quality_classifier(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

@@ -92,3 +92,46 @@ WITH d AS (
 SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(r, 0)::BIGINT AS n_removed, coalesce(c, 0)::BIGINT AS n_spans, sha256(unhex(t)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
 """
+
+URL_FILTER = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages
+), p AS (
+  SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM u
+), f AS (
+  SELECT *, host || regexp_replace(path, '/+$', '') AS form FROM p
+), l AS (
+  SELECT DISTINCT form FROM f WHERE list_has_any(string_split(host, '.'), ['spam-farm', 'casino-win', 'adult-x', 'free-bets'])
+), rules(act, h, pre) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), m AS (
+  SELECT page_id, arg_max(h || pre, length(h || pre)) AS rule, arg_max(act, length(h || pre)) AS act
+  FROM f JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, pre) GROUP BY page_id
+)
+SELECT f.page_id, host, path, m.rule, coalesce(m.act, CASE WHEN l.form IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict, l.form IS NOT NULL AS listed
+FROM f LEFT JOIN m USING (page_id) LEFT JOIN l USING (form)
+"""
+
+DECONTAMINATE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[r.i : r.i + 9], ' ') AS s FROM b, unnest(range(1, greatest(len(w) - 8, 2))) AS r(i) WHERE len(w) > 0
+), size AS (
+  SELECT DISTINCT n FROM win
+), g AS (
+  SELECT doc_id, r.i AS i, n, array_to_string(w[r.i : r.i + n - 1], ' ') AS s FROM d, size, unnest(range(1, len(w) - n + 2)) AS r(i)
+), hit AS (
+  SELECT doc_id, i, g.n AS n, item_id FROM g JOIN win USING (n, s)
+), cov AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n FROM hit, range(10) AS x(k) WHERE k < hit.n GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS t FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(it.t, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
