@@ -7,10 +7,10 @@ A document's set is its distinct ``n``-word shingles (5); two documents link whe
    by (cell count, hash). Any total order gives right results; this one puts frequent shingles last.
 3. *Prefixes.* Linked sets share one of the first |A| - ceil(t |A|) + 1 shingles of each. Those entries are grouped by shingle; a
    shingle whose cell count is high is salted, and groups without two classes of fitting length go.
-4. *Candidates.* Instead of all pairs of a group, a star: every member is paired with the group's leader (another leader each
-   round), under the length and positional filters, then the suffix filter (sets are split at fixed hash pivots; the sum of the
+4. *Candidates.* Instead of all pairs of a group, stars: every member is paired with the group's leaders (the smallest under
+   two hash orders), under the length and positional filters, then the suffix filter (sets are split at fixed hash pivots; the sum of the
    smaller part sizes bounds the overlap). A pair is verified once, on the texts. Classes that link get one label.
-5. *Rest.* After the star rounds only members of one group with *different* labels may hide a link: all such pairs are
+5. *Rest.* After that only members of one group with *different* labels may hide a link: all such pairs are
    verified. So no link between components is lost, while a large group of near copies costs a few stars.
 
 Output: one row a document with its set size and the smallest doc_id that it reaches. Defined results: null or empty texts (no word)
@@ -288,9 +288,7 @@ def _ordered(a, b):
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _labelled(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return entries.withColumn("label", F.col("cls"))
+def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     lab = labels.select(F.col("node").alias("cls"), F.col("label").alias("_l"))
     return entries.join(lab, "cls", "left").withColumn("label", F.coalesce("_l", "cls")).drop("_l")
 
@@ -301,41 +299,25 @@ def _mixed_groups(entries: DataFrame) -> DataFrame:
     return entries.join(g, "gid")
 
 
-def linked_classes(texts: DataFrame, classes: DataFrame, entries: DataFrame, n: int, percent: int, star_rounds: int = 3) -> DataFrame | None:
+def linked_classes(texts: DataFrame, classes: DataFrame, entries: DataFrame, n: int, percent: int, leaders: int = 2) -> DataFrame:
     """(node, label) of the classes that have a link."""
-    links, done, labels = None, None, None
-
-    def settle(pairs):
-        nonlocal links, done, labels
-        pairs = pairs.distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = reliable_checkpoint(pairs)
-        if pairs.isEmpty():
-            return False
-        found = _verify(texts, classes, pairs, n, percent)
-        done = pairs if done is None else done.union(pairs)
-        if found.isEmpty():
-            return False
-        links = found if links is None else links.union(found)
-        labels = connected_components(links)
-        return True
-
-    for turn in range(star_rounds):
-        e = _mixed_groups(_labelled(entries, labels))
-        lead = e.groupBy("gid").agg(F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("o"), "cls", "n", "pos", "label")).alias("l"))
-        lead = reliable_checkpoint(lead.select("gid", F.col("l.cls").alias("lc"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp"), F.col("l.label").alias("ll")))
-        star = e.join(lead, "gid").where((F.col("label") != F.col("ll")) & _fits("n", "pos", "ln", "lp", percent))
-        if not settle(star.select(*_ordered("cls", "lc"))):
-            break
+    seeds = [F.min(F.struct(F.xxhash64("cls", F.lit(k)).alias("o"), "cls", "n", "pos")) for k in range(leaders)]
+    lead = entries.groupBy("gid").agg(F.array_distinct(F.array(*seeds)).alias("l"))
+    lead = reliable_checkpoint(lead.select("gid", F.explode("l").alias("l")).select("gid", F.col("l.cls").alias("lc"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp")))
+    star = entries.join(lead, "gid").where((F.col("cls") != F.col("lc")) & _fits("n", "pos", "ln", "lp", percent))
+    done = reliable_checkpoint(star.select(*_ordered("cls", "lc")).distinct())
+    links = _verify(texts, classes, done, n, percent)
+    labels = connected_components(links)
     e = reliable_checkpoint(_mixed_groups(_labelled(entries, labels)))
     lab = e.select("gid", "label").distinct()
     pairs = lab.select("gid", F.col("label").alias("la")).join(lab.select("gid", F.col("label").alias("lb")), "gid").where("la < lb")
     left = e.select("gid", F.col("label").alias("la"), F.col("cls").alias("ca"), F.col("n").alias("n1"), F.col("pos").alias("p1"))
     right = e.select("gid", F.col("label").alias("lb"), F.col("cls").alias("cb"), F.col("n").alias("n2"), F.col("pos").alias("p2"))
     rest = pairs.join(left, ["gid", "la"]).join(right, ["gid", "lb"]).where(_fits("n1", "p1", "n2", "p2", percent))
-    settle(rest.select(*_ordered("ca", "cb")))
-    return labels
+    rest = reliable_checkpoint(rest.select(*_ordered("ca", "cb")).distinct().join(done, ["a", "b"], "left_anti"))
+    if rest.isEmpty():
+        return labels
+    return connected_components(links.union(_verify(texts, classes, rest, n, percent)))
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
@@ -351,9 +333,8 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     entries = reliable_checkpoint(_entries(texts, cells, n, percent, buckets))
     labels = linked_classes(texts, classes, entries, n, percent)
     x = rows.select("_id", "_part", "cls", "n")
-    if labels is not None:
-        lab = labels.select(F.col("node").alias("cls"), F.col("label"))
-        x = x.join(lab, "cls", "left").withColumn("cls", F.coalesce("label", "cls")).drop("label")
+    lab = labels.select(F.col("node").alias("cls"), F.col("label"))
+    x = x.join(lab, "cls", "left").withColumn("cls", F.coalesce("label", "cls")).drop("label")
     real = F.when(F.col("_part") < F.lit(NULL_ID), F.col("_id"))
     comp = reliable_checkpoint(x.where("cls IS NOT NULL").groupBy("cls").agg(F.min(real).alias("component")))
     x = x.join(comp, "cls", "left")
