@@ -104,7 +104,7 @@ def plan_mix(
     shard_slots: int = 8192,
     max_repeat: int = 3,
     seed: int = 17,
-    salt_rows: int = 20_000,
+    salt_rows: int = 4_000,
 ) -> Mix:
     spark = docs.sparkSession
     rows = reliable_checkpoint(
@@ -151,8 +151,9 @@ def plan_mix(
     )
     lo = F.greatest(F.col("start"), F.col("block") * length)
     hi = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * length)
+    # the planner takes the slots for as small as the few rows they are drawn from: a merge join, never a broadcast
     pieces = piece.select("src", "start", "block", (lo - F.col("start")).alias("at"), (hi - lo).alias("words")).join(
-        times, ["src", "block"]
+        times.hint("merge"), ["src", "block"]
     )
     return Mix(x, slot_rows, pieces)
 
@@ -199,7 +200,9 @@ def _draw(spark, blocks: np.ndarray, slots: np.ndarray, shard_slots: int, seed:
                         block[here] = permute(k[here] - turn * blocks[one], int(blocks[one]), key)
                 yield pd.DataFrame({"shard": np.int64(shard), "src": s.astype(np.int32), "block": block})
 
-    return drawn.withColumn("k0", first).mapInPandas(place, "shard bigint, src int, block bigint")
+    # a drawn row is up to shard_slots slots: spread the few rows over all tasks
+    drawn = drawn.withColumn("k0", first).repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return drawn.mapInPandas(place, "shard bigint, src int, block bigint")
 
 
 def taken_words(mix: Mix, id_col: str = "doc_id") -> DataFrame:
@@ -219,28 +222,30 @@ def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col:
     """
     piece = F.struct("at", "words", "times")
     t = mix.pieces.groupBy("src", "start").agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
-    keyed = mix.sizes.where("size > 0").join(t, ["src", "start"]).select("_id", "_tie", "_occ", "_pieces")
-    x = docs.select(*docs.columns, F.col(id_col).alias("_did"), F.xxhash64(F.col(text_col)).alias("_dtie"))
-    x = x.withColumn("_docc", F.row_number().over(Window.partitionBy("_did", "_dtie").orderBy("_did")))
-    same = F.col("_did").eqNullSafe(F.col("_id")) & (F.col("_dtie") == F.col("_tie")) & (F.col("_docc") == F.col("_occ"))
+    keyed = mix.sizes.where("size > 0").join(t, ["src", "start"]).select(
+        F.col("_id").alias("__kid"), F.col("_tie").alias("__ktie"), F.col("_occ").alias("__kocc"), F.col("_pieces").alias("__pieces")
+    )
+    x = docs.select(*docs.columns, F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col)).alias("__tie"))
+    x = x.withColumn("__occ", F.row_number().over(Window.partitionBy("__id", "__tie").orderBy("__id")))
+    same = F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__tie") == F.col("__ktie")) & (F.col("__occ") == F.col("__kocc"))
     x = x.join(keyed, same)
-    x = x.withColumn("_words", F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)))
+    x = x.withColumn("__words", F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)))
     passes = F.transform(
-        F.sequence(F.lit(0), F.array_max(F.transform("_pieces", lambda p: p["times"])) - 1),
+        F.sequence(F.lit(0), F.array_max(F.transform("__pieces", lambda p: p["times"])) - 1),
         lambda r: F.flatten(
             F.transform(
-                F.filter("_pieces", lambda p: p["times"] > r),
-                lambda p: F.slice("_words", (p["at"] + 1).cast("int"), p["words"].cast("int")),
+                F.filter("__pieces", lambda p: p["times"] > r),
+                lambda p: F.slice("__words", (p["at"] + 1).cast("int"), p["words"].cast("int")),
             )
         ),
     )
-    x = x.withColumn("_text", F.array_join(F.flatten(passes), " "))
+    x = x.withColumn("__text", F.array_join(F.flatten(passes), " "))
     out = []
     for c in docs.columns:
         if c == text_col:
-            out.append(F.col("_text").alias(c))
+            out.append(F.col("__text").alias(c))
         elif c == "n_chars":
-            out.append(F.length("_text").cast(dict(docs.dtypes)[c]).alias(c))
+            out.append(F.length("__text").cast(dict(docs.dtypes)[c]).alias(c))
         else:
             out.append(F.col(c))
     return x.select(*out)
