@@ -60,7 +60,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     w = Window.partitionBy("label").orderBy(F.xxhash64("_lid"), "_lid")
     ids = lab.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= sample_docs).drop("_n")
     # at most 2 * sample_docs rows
-    return docs.join(F.broadcast(ids), docs[id_col] == F.col("_lid")).select("label", F.xxhash64("_lid").alias("order"), F.col(text_col).alias("text"))
+    x = docs.select(F.col(id_col).alias("_did"), F.col(text_col).alias("text"))
+    return x.join(F.broadcast(ids), F.col("_did") == F.col("_lid")).select("label", F.xxhash64("_lid").alias("order"), "text")
 
 
 def _fit(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2):
