@@ -92,9 +92,9 @@ def _with_factors(ratings: DataFrame, item_f: DataFrame, user_f: DataFrame, k: i
 
 
 def predict(ratings: DataFrame, item_f: DataFrame, user_f: DataFrame, k: int) -> DataFrame:
-    """(user_id, item_id, rating, prediction = U[item] . V[user]): two equi joins, never the full product."""
+    """The columns of ``ratings`` and prediction = U[item] . V[user]: two equi joins, never the full product."""
     j = _with_factors(ratings, item_f, user_f, k)
-    return j.select("user_id", "item_id", "rating", _dot(k, "u", "v").alias("prediction"))
+    return j.select(*ratings.columns, _dot(k, "u", "v").alias("prediction"))
 
 
 def mse(pred: DataFrame) -> DataFrame:
@@ -154,13 +154,12 @@ class FitConfig:
     lr_initial: float = 1.0
     lr_decay: float = 0.99
     lr_steps: int = 2
-    checkpoint_every: int = 2
     seed: int = 42
 
 
 def fit_factors(train: DataFrame, valid: DataFrame, item_f: DataFrame, user_f: DataFrame, cfg: FitConfig):
     """Mini-batch gradient descent: a few large batches per epoch (batch = rank mod batches), factor
-    tables cut from their lineage by reliable ``checkpoint()`` every few epochs. Returns the factors and
+    tables cut from their lineage by reliable ``checkpoint()`` after every step. Returns the factors and
     a report DataFrame (epoch, lr, train_loss, valid_mse); losses are per-epoch scalars on the driver.
     """
     spark = train.sparkSession
@@ -182,9 +181,8 @@ def fit_factors(train: DataFrame, valid: DataFrame, item_f: DataFrame, user_f: D
                 )
                 loss += cfg.reg * sq
             losses.append(loss)
-            item_f, user_f = sgd_step(batch, item_f, user_f, cfg.k, lr, cfg.reg)
-        if (epoch + 1) % cfg.checkpoint_every == 0:
-            item_f, user_f = reliable_checkpoint(item_f), reliable_checkpoint(user_f)
+            # both new tables refer to both old ones: uncut, the plan would triple with every step
+            item_f, user_f = (reliable_checkpoint(f) for f in sgd_step(batch, item_f, user_f, cfg.k, lr, cfg.reg))
         vm = mse(predict(valid, item_f, user_f, cfg.k)).first()["mse"]
         report.append((epoch, float(lr), float(sum(losses) / len(losses)), float(vm) if vm is not None else None))
     rep = spark.createDataFrame(report, "epoch INT, lr DOUBLE, train_loss DOUBLE, valid_mse DOUBLE")
@@ -203,13 +201,19 @@ def grid_search(train, valid, item_f, user_f, lrs: Sequence[float], regs: Sequen
     return spark.createDataFrame(rows, "lr DOUBLE, reg DOUBLE, valid_mse DOUBLE")
 
 
+def dense_ids(df: DataFrame, column: str) -> DataFrame:
+    """(column, idx INT from 1): a dense index of a column's distinct values in ascending order."""
+    return global_row_number(df.select(column).where(F.col(column).isNotNull()).distinct(), [column], name="idx").select(column, F.col("idx").cast("int"))
+
+
 def als_fit(train: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.1, seed: int = 42):
-    """Spark ML ALS as the factoriser at scale (blocked, checkpointed by Spark); cold-start rows dropped."""
+    """Spark ML ALS as the factoriser at scale (blocked, checkpointed by Spark); rows of an unseen
+    user or item keep a NaN prediction. Ids must fit an INT: index them densely first (``dense_ids``)."""
     from pyspark.ml.recommendation import ALS
 
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol="user_id", itemCol="item_id",
-        ratingCol="rating", coldStartStrategy="drop", nonnegative=False,
+        ratingCol="rating", coldStartStrategy="nan", nonnegative=False,
     )
     return als.fit(train.select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating"))
 

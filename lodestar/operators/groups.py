@@ -38,13 +38,15 @@ def chunked_collect(
     """Per key, the sorted list of ``value`` in chunks of about ``chunk_rows`` members.
 
     A key with d rows gets ceil(d / chunk_rows) chunks; a member goes to chunk
-    ``md5(member) mod chunks``. The degree comes from an aggregate and a join (split by AQE when
-    skewed), so no task ever holds an unbounded list. Output: keys, ``chunk``, ``n_in_key``, ``out``.
+    ``md5(member) mod chunks``. The degrees are written before the join (only a join of two plain
+    shuffles is split by AQE when skewed) and the rows are dealt by (key, chunk) before the lists are
+    built, so no task holds a hot key's rows. Output: keys, ``chunk``, ``n_in_key``, ``out``.
     """
-    deg = group_degree(df, keys, "n_in_key")
+    deg = reliable_checkpoint(group_degree(df, keys, "n_in_key"))
     x = df.join(deg, list(keys))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_in_key") / F.lit(float(chunk_rows)))).cast("bigint")
     x = x.withColumn("chunk", F.pmod(md5_hex_int(F.col(member)), n_chunks))
+    x = x.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "chunk")
     return x.groupBy(*keys, "chunk", "n_in_key").agg(F.array_sort(F.collect_list(value)).alias(out))
 
 
@@ -64,10 +66,10 @@ def pairs_in_groups(
     in t*(t+1)/2 tiles of at most tile_rows**2 pairs each, one join key per tile. Small groups (t = 1)
     are joined once, unreplicated. The tile join gets about one tile's worth of pairs per task (the
     partition count comes from sum d(d-1)/2 over the degrees), since its output, not its input, is large.
-    That count is one small job when the plan is built; an expensive ``df`` is best written first
+    The degrees are written once (one job when the plan is built) for that count and the join; an expensive ``df`` is best written first
     (``reliable_checkpoint``) so that this job and the join read it once.
     """
-    deg = group_degree(df, [group])
+    deg = reliable_checkpoint(group_degree(df, [group]))
     x = df.join(deg, group)
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(float(tile_rows)))).cast("int")
     x = x.withColumn("_nc", n_chunks).withColumn("_c", F.pmod(F.xxhash64(F.col(member)), F.col("_nc")).cast("int"))
@@ -91,7 +93,7 @@ def pairs_in_groups(
     # repartitions are not coalesced), about one tile's worth of pairs per task.
     total_pairs = deg.agg(F.sum(F.col("_deg") * (F.col("_deg") - 1) / 2)).first()[0] or 0
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_parts = int(max(base, min(200_000, -(-int(total_pairs) // (tile_rows * tile_rows)))))
+    n_parts = int(max(base, -(-int(total_pairs) // (tile_rows * tile_rows))))
     left = left.repartition(n_parts, group, "_ti", "_tj")
     right = right.repartition(n_parts, group, "_ti", "_tj")
     j = left.join(right, [group, "_ti", "_tj"]).where(

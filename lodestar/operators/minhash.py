@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import MERSENNE_31, decimal_linear_hash, linear_hash, safe_div
-from .groups import pairs_in_groups
+from .groups import pairs_in_groups, reliable_checkpoint
 
 # The hash given with the exercise, h(x) = ((37*x + 126) % p) % N + 1.
 GIVEN_HASH = (37, 126)
@@ -65,16 +65,18 @@ def signatures_long(sig: DataFrame) -> DataFrame:
     return sig.select("set_id", F.posexplode("sig").alias("k", "h"))
 
 
-def large_prime_signatures(sets: DataFrame, family: Sequence[tuple[int, int, int]]) -> DataFrame:
+def large_prime_signatures(sets: DataFrame, family: Sequence[tuple[int, int, int]], salts: int = 16) -> DataFrame:
     """Per set, min of ((a + x*b) % p) % N + 1 with N = the size of the set, in DECIMAL(38,0).
 
-    N comes from an aggregate joined back on set_id, then one aggregate of len(family) min() columns.
-    Output (set_id, k, h).
+    N comes from a written aggregate joined back on set_id (so that the join of a huge set is split), then
+    len(family) min() columns, first per (set, salt) and then per set. Output (set_id, k, h).
     """
-    size = sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("_n"))
-    x = sets.join(size, "set_id")
+    size = reliable_checkpoint(sets.groupBy("set_id").agg(F.count(F.lit(1)).alias("_n")))
+    x = sets.join(size, "set_id").withColumn("_salt", F.pmod(F.xxhash64("element"), F.lit(salts)))
+    x = x.repartition(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "set_id", "_salt")
     mins = [F.min(decimal_linear_hash(F.col("element"), a, b, p, F.col("_n"))).alias(f"_h{i}") for i, (a, b, p) in enumerate(family)]
-    agg = x.groupBy("set_id").agg(*mins)
+    part = x.groupBy("set_id", "_salt").agg(*mins)
+    agg = part.groupBy("set_id").agg(*[F.min(f"_h{i}").alias(f"_h{i}") for i in range(len(family))])
     return agg.select("set_id", F.posexplode(F.array(*[F.col(f"_h{i}") for i in range(len(family))])).alias("k", "h"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
-from .groups import chunked_collect
+from .groups import chunked_collect, reliable_checkpoint
 
 
 def utility_matrix(events: DataFrame, user: str = "user_id", item: str = "item_id", value: str = "rating") -> DataFrame:
@@ -48,14 +48,14 @@ def user_stats(um: DataFrame, user: str = "user_id", value: str = "rating") -> D
 def center_ratings(um: DataFrame, axis: str = "user", user: str = "user_id", item: str = "item_id", value: str = "rating") -> DataFrame:
     """Subtract the mean of the user (axis='user'), of the item ('item') or of all ratings ('all').
 
-    Absent rows play 0 after centring, as in the dense form. The mean is an aggregate joined back
-    (AQE splits a hot key), not a window, so no task buffers a whole hot user.
+    Absent rows play 0 after centring, as in the dense form. The means are written, then joined
+    back: AQE splits a hot key only between two plain shuffles, and a window would buffer a whole hot user.
     """
     if axis == "all":
         mean = um.select(F.avg(value)).scalar()
         return um.withColumn("centered", F.col(value) - mean)
     key = {"user": user, "item": item}[axis]
-    means = um.groupBy(key).agg(F.avg(value).alias("_mean"))
+    means = reliable_checkpoint(um.groupBy(key).agg(F.avg(value).alias("_mean")))
     return um.join(means, key).select(user, item, value, (F.col(value) - F.col("_mean")).alias("centered"))
 
 

@@ -15,15 +15,26 @@ LN2 = math.log(2)
 
 
 def exact_moments(stream: DataFrame, element: str, ks: Sequence[int] = (0, 1, 2, 3)) -> DataFrame:
-    """F_k = sum over distinct elements of count^k: partial counts per element, then one global sum."""
+    """F_k = sum over distinct elements of count^k as DECIMAL(38,0): partial counts per element, then one global sum."""
     c = stream.groupBy(element).agg(F.count(F.lit(1)).alias("_c"))
-    return c.agg(*[F.sum(F.pow(F.col("_c"), F.lit(k))).cast("bigint").alias(f"f{k}") for k in ks])
+    return c.agg(*[power_sum(F.col("_c"), k).alias(f"f{k}") for k in ks])
+
+
+def power_sum(c: Column, k: int) -> Column:
+    """sum(c^k), exact: products in DECIMAL(38,0), which holds the cube of a count of 10^12."""
+    power = F.lit(1).cast("decimal(38,0)")
+    for _ in range(k):
+        power = (power * c.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return F.sum(power).cast("decimal(38,0)")
 
 
 def ams_choice(sample: Column, pos: Column) -> Column:
-    """Uniform h(sample, pos) in (0, 1) from the first 7 hex digits of md5('sample:pos')."""
+    """Uniform h(sample, pos) in (0, 1) from the first 13 hex digits of md5('sample:pos').
+
+    52 bits, exact in a double: a position is a candidate with probability 1 / pos up to 2**52.
+    """
     key = F.concat_ws(":", sample.cast("string"), pos.cast("string"))
-    return (md5_hex_int(key, 7).cast("double") + F.lit(0.5)) / F.lit(float(16**7))
+    return (md5_hex_int(key, 13).cast("double") + F.lit(0.5)) / F.lit(float(16**13))
 
 
 def ams_samples(stream: DataFrame, element: str, pos: str, v: int) -> DataFrame:
@@ -77,27 +88,29 @@ def bloom_false_positive(n_bits: Column, n_keys: Column, k: Column) -> Column:
 
 
 def bloom_sizing(keys: DataFrame, key: str, targets: Sequence[float], max_factor: int = 20) -> DataFrame:
-    """For m = distinct keys and each target b: the smallest n in steps of m // 8 (up to max_factor * m)
-    with (1 - exp(-k m/n))^k <= b, k = round-half-even(n/m * ln 2). Output (b, n_keys, n_bits, k, p_fp).
+    """For m = distinct keys and each target b: the smallest n in steps of max(1, m // 8) (up to max_factor * m)
+    with (1 - exp(-k m/n))^k <= b, k = round-half-even(n/m * ln 2). Output (b, n_keys, n_bits, k, p_fp); a target
+    that no n reaches keeps its row, with nulls for n_bits, k and p_fp.
 
     m comes from one aggregate; the n grid (bounded by max_factor * 8 steps) is exploded on that row.
     """
     m = keys.select(F.countDistinct(key).alias("m"))
-    step = F.floor(F.col("m") / 8)
+    step = F.greatest(F.lit(1), F.floor(F.col("m") / 8))
     grid = m.select("m", step.alias("_step"), F.explode(F.sequence(F.lit(1), F.lit(max_factor * 8 + 8))).alias("_j"))
     grid = grid.select("m", (F.col("_j") * F.col("_step")).alias("n")).where(F.col("n") <= max_factor * F.col("m"))
     grid = grid.withColumn("k", F.bround(F.col("n") / F.col("m") * F.lit(LN2), 0).cast("int"))
     grid = grid.withColumn("p", bloom_false_positive(F.col("n").cast("double"), F.col("m").cast("double"), F.col("k").cast("double")))
     tb = F.array(*[F.lit(float(b)) for b in targets])
     hits = grid.select("*", F.explode(tb).alias("b")).where(F.col("p") <= F.col("b"))
-    best = hits.groupBy("b").agg(F.min_by(F.struct("m", "n", "k", "p"), F.col("n")).alias("_r"))
-    return best.select("b", F.col("_r.m").alias("n_keys"), F.col("_r.n").alias("n_bits"), F.col("_r.k").alias("k"), F.col("_r.p").alias("p_fp"))
+    best = hits.groupBy("b").agg(F.min_by(F.struct("n", "k", "p"), F.col("n")).alias("_r"))
+    rows = m.select(F.col("m").alias("n_keys"), F.explode(tb).alias("b")).join(best, "b", "left")
+    return rows.select("b", "n_keys", F.col("_r.n").alias("n_bits"), F.col("_r.k").alias("k"), F.col("_r.p").alias("p_fp"))
 
 
 def bloom_positions(key: Column, n_bits: int, k: int) -> Column:
-    """k bit positions (h1 + i*h2) mod n from two 32-bit halves of md5(key) (double hashing), distinct."""
-    h1 = md5_hex_int(key, 8)
-    h2 = F.conv(F.substring(F.md5(key.cast("string")), 9, 8), 16, 10).cast("bigint")
+    """k bit positions (h1 + i*h2) mod n from two 52-bit parts of md5(key) (double hashing), distinct."""
+    h1 = md5_hex_int(key, 13)
+    h2 = F.conv(F.substring(F.md5(key.cast("string")), 14, 13), 16, 10).cast("bigint")
     return F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.pmod(h1 + i.cast("bigint") * (h2 * 2 + 1), F.lit(n_bits))))
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
 from ..operators import factors as FA
+from ..operators.groups import reliable_checkpoint
 from .cf import UM_SQL, shared_um
 from .registry import query
 from ..sources.tables import table
@@ -49,9 +52,12 @@ pred AS (SELECT r.user_id, r.item_id, r.rating, r.rank, sum(u.value * v.value) A
 
 def _step_sql(reg: float) -> str:
     shrink = 1.0 - 2.0 * LR * reg
+    shared = PRED_SQL
+    for cte in ("um", "fu", "fv", "ranked", "sp", "pred"):  # read several times: computed once
+        shared = re.sub(rf"\b{cte} AS \(", f"{cte} AS MATERIALIZED (", shared)
     return f"""
-WITH {PRED_SQL},
-tr AS (SELECT * FROM pred JOIN sp USING (user_id, item_id) WHERE split = 'train'),
+WITH {shared},
+tr AS MATERIALIZED (SELECT * FROM pred JOIN sp USING (user_id, item_id) WHERE split = 'train'),
 bb AS (SELECT count(*) AS b FROM tr),
 gu AS (SELECT tr.item_id AS id, v.f, sum((tr.rating - tr.prediction) * v.value) AS g
        FROM tr JOIN fv v ON v.id = tr.user_id GROUP BY 1, 2),
@@ -121,8 +127,7 @@ per AS (SELECT floor((rank - 1) / {MSE_BATCH}) AS batch, avg((rating - predictio
 SELECT count(*) AS n_batches, round(avg(m), 6) AS mean_batch_mse, round(sum(s) / sum(c), 6) AS row_mse FROM per""")
 def q_mse_by_batch(spark, sf):
     s, items, users = split(spark, sf)
-    p = FA.predict(s, items, users, K).join(s.select("user_id", "item_id", "rank"), ["user_id", "item_id"])
-    b = FA.mse_by_batch(p, MSE_BATCH)
+    b = FA.mse_by_batch(FA.predict(s, items, users, K), MSE_BATCH)
     return b.select("n_batches", round6("mean_batch_mse").alias("mean_batch_mse"), round6("row_mse").alias("row_mse"))
 
 
@@ -144,9 +149,29 @@ def q_sgd_step_reg(spark, sf):
     return _step(spark, sf, REG)
 
 
+def _als_predictions(spark, sf):
+    """Held-out ratings with the prediction of an ALS fit on the training part, null for an unseen user or item."""
+    s, _, _ = split(spark, sf)
+    for c in ("user_id", "item_id"):
+        s = s.join(FA.dense_ids(s, c).withColumnRenamed("idx", f"{c}_idx"), c)
+    s = reliable_checkpoint(s)  # read by the fit and by the predictions
+    dense = s.select(F.col("user_id").alias("user"), F.col("item_id").alias("item"), F.col("user_id_idx").alias("user_id"), F.col("item_id_idx").alias("item_id"), "rating", "split")
+    model = FA.als_fit(dense.where(F.col("split") == "train"), rank=K, max_iter=5, reg=REG, seed=SEED)
+    p = model.transform(dense.where(F.col("split") != "train"))
+    prediction = F.when(~F.isnan("prediction"), F.col("prediction").cast("double"))
+    return p.select(F.col("user").alias("user_id"), F.col("item").alias("item_id"), "rating", "split", prediction.alias("prediction"))
+
+
 @query("als_fit")
 def q_als_fit(spark, sf):
-    s, _, _ = split(spark, sf)
-    model = FA.als_fit(s.where(F.col("split") == "train"), rank=K, max_iter=5, reg=REG, seed=SEED)
-    held = s.where(F.col("split") != "train").select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating", "split")
-    return model.transform(held).select("user_id", "item_id", "rating", "split", F.col("prediction").cast("double"))
+    return _als_predictions(spark, sf)
+
+
+@query("als_coverage", f"""
+WITH {SPLIT_SQL},
+tr AS (SELECT * FROM sp WHERE split = 'train')
+SELECT split, count(*) AS n, count(*) FILTER (WHERE user_id IN (SELECT user_id FROM tr) AND item_id IN (SELECT item_id FROM tr)) AS n_predicted
+FROM sp WHERE split <> 'train' GROUP BY split""")
+def q_als_coverage(spark, sf):
+    p = _als_predictions(spark, sf)
+    return p.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_predicted"))

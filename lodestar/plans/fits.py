@@ -95,7 +95,7 @@ def q_poly_gradient(spark, sf):
 
 @query("exact_moment", """
 WITH c AS (SELECT user_id, count(*) AS c FROM events GROUP BY 1)
-SELECT sum(pow(c, 0))::BIGINT AS f0, sum(pow(c, 1))::BIGINT AS f1, sum(pow(c, 2))::BIGINT AS f2, sum(pow(c, 3))::BIGINT AS f3 FROM c""")
+SELECT count(*)::DECIMAL(38,0) AS f0, sum(c)::DECIMAL(38,0) AS f1, sum(c::HUGEINT * c)::DECIMAL(38,0) AS f2, sum(c::HUGEINT * c * c)::DECIMAL(38,0) AS f3 FROM c""")
 def q_exact_moment(spark, sf):
     return SK.exact_moments(table(spark, sf, "events"), "user_id")
 
@@ -107,7 +107,7 @@ def _events(spark, sf):
 @query("ams_moment", f"""
 WITH ev AS (SELECT event_id + 1 AS p, user_id AS el FROM events),
 cand AS (SELECT s, p, el FROM ev, range(1, {AMS_V + 1}) t(s)
-         WHERE ((('0x' || substr(md5(s::VARCHAR || ':' || p::VARCHAR), 1, 7))::BIGINT + 0.5) / {float(16**7)}) * p < 1),
+         WHERE ((('0x' || substr(md5(s::VARCHAR || ':' || p::VARCHAR), 1, 13))::BIGINT + 0.5) / {float(16**13)!r}) * p < 1),
 smp AS (SELECT s, max(p) AS t FROM cand GROUP BY 1),
 smp2 AS (SELECT s, t, el FROM smp JOIN ev ON ev.p = smp.t),
 cnt AS (SELECT s, count(*) AS c FROM smp2 JOIN ev USING (el) WHERE ev.p >= t GROUP BY 1),
@@ -121,12 +121,12 @@ def q_ams_moment(spark, sf):
 
 
 SIZING_SQL = f"""mm AS (SELECT count(DISTINCT c_custkey) AS m FROM customer),
-g AS (SELECT m, j * (m // 8) AS n FROM mm, range(1, {BLOOM_MAX_FACTOR * 8 + 9}) t(j) WHERE j * (m // 8) <= {BLOOM_MAX_FACTOR} * m),
+g AS (SELECT m, j * greatest(1, m // 8) AS n FROM mm, range(1, {BLOOM_MAX_FACTOR * 8 + 9}) t(j) WHERE j * greatest(1, m // 8) <= {BLOOM_MAX_FACTOR} * m),
 gk AS (SELECT m, n, round_even(n / m * {SK.LN2!r}, 0)::INTEGER AS k FROM g),
 gp AS (SELECT m, n, k, pow(1.0 - exp(-k * m / n), k) AS p FROM gk),
 bt(b) AS (VALUES {", ".join(f"({b!r}::DOUBLE)" for b in BLOOM_TARGETS)}),
-sizing AS (SELECT b, arg_min(m, n)::BIGINT AS n_keys, min(n)::BIGINT AS n_bits, arg_min(k, n) AS k, arg_min(p, n) AS p_fp
-           FROM gp, bt WHERE p <= b GROUP BY b)"""
+hit AS (SELECT b, min(n)::BIGINT AS n_bits, arg_min(k, n) AS k, arg_min(p, n) AS p_fp FROM gp, bt WHERE p <= b GROUP BY b),
+sizing AS (SELECT b, m::BIGINT AS n_keys, n_bits, k, p_fp FROM bt LEFT JOIN hit USING (b), mm)"""
 
 
 def sizing(spark, sf):
@@ -141,8 +141,8 @@ def q_bloom_sizing(spark, sf):
 
 def _bits_sql(keys: str) -> str:
     return f"""(SELECT DISTINCT key, (h1 + i * (2 * h2 + 1)) % n_bits AS bit
-     FROM (SELECT key, ('0x' || substr(md5(key::VARCHAR), 1, 8))::BIGINT AS h1,
-                  ('0x' || substr(md5(key::VARCHAR), 9, 8))::BIGINT AS h2, n_bits, unnest(range(k)) AS i
+     FROM (SELECT key, ('0x' || substr(md5(key::VARCHAR), 1, 13))::BIGINT AS h1,
+                  ('0x' || substr(md5(key::VARCHAR), 14, 13))::BIGINT AS h2, n_bits, unnest(range(k)) AS i
            FROM ({keys}), sz))"""
 
 

@@ -30,7 +30,7 @@ SETS_SQL = """sets AS (SELECT DISTINCT o_custkey::BIGINT AS set_id, l_partkey::B
               FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL)"""
 HF_SQL = "hf(k, a, b) AS (VALUES " + ", ".join(f"({k}, {a}::BIGINT, {b}::BIGINT)" for k, (a, b) in enumerate(FAMILY)) + ")"
 DOC_SETS_SQL = f"""docs AS (SELECT doc_id, {CLEAN_SQL} AS t FROM documents),
-sets AS (SELECT DISTINCT doc_id::BIGINT AS set_id, ('0x' || substr(md5(s), 1, 7))::BIGINT AS element
+sets AS (SELECT DISTINCT doc_id::BIGINT AS set_id, ('0x' || substr(md5(s), 1, 15))::BIGINT AS element
          FROM (SELECT doc_id, unnest(list_transform(range(1, length(t) - {DOC_K - 2}), lambda i: substring(t, i, {DOC_K}))) AS s
                FROM docs))"""
 SIG_SQL = f"""{HF_SQL},
@@ -61,7 +61,7 @@ def cust_sets(spark, sf):
 
 
 def doc_sets(spark, sf, docs=None):
-    """Documents as sets of 5-shingle ids (first 7 hex digits of md5 of the shingle).
+    """Documents as sets of 5-shingle ids (first 15 hex digits of md5 of the shingle: 60 bits).
 
     The explicit non-null id filter matches the one Catalyst infers for join keys, so every branch
     that reuses the signatures has the same scan and Spark reuses the signature shuffle.
@@ -69,7 +69,7 @@ def doc_sets(spark, sf, docs=None):
     d = (docs if docs is not None else documents(spark, sf)).where(F.col("doc_id").isNotNull())
     d = d.select("doc_id", text_clean(F.col("text")).alias("_t"))
     s = d.select(F.col("doc_id").cast("bigint").alias("set_id"), F.explode(F.array_distinct(char_shingles(F.col("_t"), DOC_K))).alias("_s"))
-    return M.set_elements(s.select("set_id", md5_hex_int(F.col("_s"), 7).alias("element")))
+    return M.set_elements(s.select("set_id", md5_hex_int(F.col("_s"), 15).alias("element")))
 
 
 def doc_band_hashes(spark, sf):
@@ -147,6 +147,36 @@ def q_signature_similarity(spark, sf):
     return s.select("set_a", "set_b", round6("signature_similarity").alias("signature_similarity"))
 
 
+PAIRS_SQL = f"""{BH_SQL},
+rep AS (SELECT min(set_id) AS set_id FROM (SELECT set_id, string_agg(h::VARCHAR, ',' ORDER BY k) AS g FROM sig GROUP BY 1) GROUP BY g),
+rb AS (SELECT bh.* FROM bh JOIN rep USING (set_id)),
+pairs AS (SELECT DISTINCT a.set_id AS set_a, b.set_id AS set_b FROM rb a JOIN rb b USING (band, bucket) WHERE a.set_id < b.set_id)"""
+
+
+@query("lsh_candidate_pairs", f"WITH {DOC_SETS_SQL}, {PAIRS_SQL} SELECT * FROM pairs")
+def q_lsh_candidate_pairs(spark, sf):
+    return L.candidate_pairs(M.signature_arrays(doc_sets(spark, sf), FAMILY), BANDS, ROWS)
+
+
+@query("lsh_verify_all", f"""
+WITH {DOC_SETS_SQL}, {PAIRS_SQL},
+sz AS (SELECT set_id, count(*) AS n FROM sets GROUP BY 1),
+inter AS (SELECT p.set_a, p.set_b, count(b.element) AS i
+          FROM pairs p JOIN sets a ON a.set_id = p.set_a
+          LEFT JOIN sets b ON b.set_id = p.set_b AND b.element = a.element GROUP BY 1, 2),
+agree AS (SELECT p.set_a, p.set_b, avg(CASE WHEN x.h = y.h THEN 1.0 ELSE 0.0 END) AS ag
+          FROM pairs p JOIN sig x ON x.set_id = p.set_a JOIN sig y ON y.set_id = p.set_b AND y.k = x.k GROUP BY 1, 2)
+SELECT set_a, set_b, round(coalesce(i / nullif(na.n + nb.n - i, 0), 0), 6) AS jaccard, round(ag, 6) AS signature_similarity
+FROM inter JOIN agree USING (set_a, set_b) JOIN sz na ON na.set_id = set_a JOIN sz nb ON nb.set_id = set_b""")
+def q_lsh_verify_all(spark, sf):
+    # signatures are read by the candidates and by the agreement, the pairs by both checks: each is written once
+    sets = doc_sets(spark, sf)
+    sig = reliable_checkpoint(M.signature_arrays(sets, FAMILY))
+    pairs = reliable_checkpoint(L.candidate_pairs(sig, BANDS, ROWS))
+    v = L.verify_pairs(pairs, sets, sig)
+    return v.select("set_a", "set_b", round6("jaccard").alias("jaccard"), round6("signature_similarity").alias("signature_similarity"))
+
+
 LARGEST_SQL = f"""{BUCKETS_SQL},
 grp AS (SELECT band, bucket, size, members FROM buckets WHERE size >= 2 AND size <= {MAX_GROUP}
         ORDER BY size DESC, band, bucket LIMIT 1)"""

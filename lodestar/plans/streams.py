@@ -21,12 +21,8 @@ from .registry import ORACLE, query
 
 def _events_stream(spark, sf):
     schema = table(spark, sf, "events").schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", 1)
-        .parquet(sf.rstrip("/"))
-    )
+    # the table's own path, one file or a folder of part files: as a pattern, since a stream's plain path must be a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{sf.rstrip('/')}/events.parque[t]")
 
 
 def _run(q):

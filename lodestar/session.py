@@ -43,7 +43,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lod
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a folder of our own is set.
+    Only in local mode, when nothing is configured (tests), a folder of our own is set; on a cluster a
+    folder of the driver's machine would be another one on every executor, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,5 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()

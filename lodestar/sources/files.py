@@ -71,7 +71,7 @@ def ratings_by_name(spark: SparkSession, name: str, path: str | None = None, max
         if path is None:
             raise ValueError("ratings_csv needs a path")
         return read_ratings_csv(spark, path, max_rows)
-    raise ValueError(f"Unknown dataset name: {name}")
+    raise ValueError(f"no ratings under the name {name!r}: use 'lecture_1' or 'ratings_csv'")
 
 
 def read_tsv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -91,10 +91,11 @@ def read_census(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """One row per file (doc_id = position of the path in ``paths``, content = whole text)."""
+    """One row per path (doc_id = position of the path in ``paths``, content = whole text; an empty file is '')."""
     ids = spark.createDataFrame([(i, _qualified(spark, p)) for i, p in enumerate(paths)], "doc_id BIGINT, _fp STRING")
-    files = spark.read.text(list(paths), wholetext=True).select(F.col("_metadata.file_path").alias("_fp"), F.col("value").alias("content"))
-    return files.join(ids, "_fp").select("doc_id", "content")
+    files = spark.read.text(list(dict.fromkeys(paths)), wholetext=True)
+    files = files.select(F.col("_metadata.file_path").alias("_fp"), F.col("value").alias("content"))
+    return ids.join(files, "_fp", "left").select("doc_id", F.coalesce("content", F.lit("")).alias("content"))
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
@@ -102,7 +103,9 @@ def _qualified(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hp).toString()
+    uri = fs.makeQualified(hp).toUri()
+    host = f"//{uri.getRawAuthority()}" if uri.getRawAuthority() else ""
+    return f"{uri.getScheme()}:{host}{uri.getRawPath()}"  # encoded as there: a space is %20
 
 
 def write_sorted_ints(df: DataFrame, column: str, out_dir: str) -> None:

@@ -7,7 +7,8 @@
   h(s, p) * p < 1), then one join of the batch with the v-row state on element counts the
   occurrences at or after each variable's position. The state table (v rows) is written per epoch
   under the query's checkpoint folder, so a restarted query resumes from the last committed epoch.
-  Positions must grow from batch to batch (e.g. files ordered by position, one or more per trigger).
+  Positions must grow from batch to batch (e.g. files ordered by position, one or more per trigger);
+  a batch that starts at or below the last position seen stops the query with an error.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.sketches import ams_choice
+from ..operators.sketches import ams_choice, power_sum
 
-AMS_STATE_SCHEMA = "sample INT, t BIGINT, el BIGINT, c BIGINT, n BIGINT"
+AMS_STATE_SCHEMA = "sample INT, t BIGINT, el BIGINT, c BIGINT, n BIGINT, last BIGINT"
 
 
 def exact_moments_stream(
@@ -30,7 +31,7 @@ def exact_moments_stream(
     counts = stream.groupBy(element).agg(F.count(F.lit(1)).alias("_c"))
 
     def emit(batch: DataFrame, epoch: int) -> None:
-        m = batch.agg(*[F.sum(F.pow(F.col("_c"), F.lit(k))).cast("bigint").alias(f"f{k}") for k in ks])
+        m = batch.agg(*[power_sum(F.col("_c"), k).alias(f"f{k}") for k in ks])
         m.select(F.lit(epoch).cast("bigint").alias("epoch"), "*").write.mode("overwrite").parquet(out_path)
 
     w = counts.writeStream.outputMode("complete").foreachBatch(emit).option("checkpointLocation", checkpoint)
@@ -66,7 +67,7 @@ def ams_step(batch: DataFrame, prev: DataFrame | None, element: str, pos: str, v
     ev = batch.select(F.col(pos).cast("bigint").alias("_p"), F.col(element).cast("bigint").alias("_el"))
     samples = spark.range(1, v + 1).select(F.col("id").cast("int").alias("sample"))
     if prev is None:
-        prev = samples.select("sample", *[F.lit(None).cast(t).alias(c) for c, t in (("t", "bigint"), ("el", "bigint"), ("c", "bigint"), ("n", "bigint"))])
+        prev = samples.select("sample", *[F.lit(None).cast(t).alias(c) for c, t in (("t", "bigint"), ("el", "bigint"), ("c", "bigint"), ("n", "bigint"), ("last", "bigint"))])
     gen = ev.select("_p", "_el", F.explode(F.sequence(F.lit(1), F.lit(v))).alias("sample"))
     picks = gen.where(ams_choice(F.col("sample"), F.col("_p")) * F.col("_p") < 1.0).groupBy("sample").agg(
         F.max(F.struct("_p", "_el")).alias("_x")
@@ -82,11 +83,17 @@ def ams_step(batch: DataFrame, prev: DataFrame | None, element: str, pos: str, v
             F.col("_x").isNotNull().alias("_new"),
             F.coalesce(F.col("c"), F.lit(0)).alias("_c0"),
             F.coalesce(F.col("n"), F.lit(0)).alias("_n0"),
+            "last",
         )
     )
     hits = ev.join(F.broadcast(st.select("sample", "t", "el")), ev["_el"] == F.col("el")).where(F.col("_p") >= F.col("t"))
     cnt = hits.groupBy("sample").agg(F.count(F.lit(1)).alias("_k"))
-    n_batch = ev.select(F.count(F.lit(1))).scalar()
+    size = ev.agg(F.count(F.lit(1)).alias("n"), F.min("_p").alias("first"), F.max("_p").alias("last")).first()
+    seen = prev.agg(F.max("last")).first()[0]
+    if seen is not None and size["first"] is not None and size["first"] <= seen:
+        raise ValueError(f"batch starts at position {size['first']}, but {seen} was seen before")
+    n_batch = F.lit(size["n"])
+    last = F.lit(size["last"]).cast("bigint")
     return (
         st.join(F.broadcast(cnt), "sample", "left")
         .select(
@@ -95,6 +102,7 @@ def ams_step(batch: DataFrame, prev: DataFrame | None, element: str, pos: str, v
             "el",
             (F.when(F.col("_new"), F.lit(0)).otherwise(F.col("_c0")) + F.coalesce(F.col("_k"), F.lit(0))).cast("bigint").alias("c"),
             (F.col("_n0") + n_batch).cast("bigint").alias("n"),
+            F.coalesce(last, F.col("last")).alias("last"),
         )
     )
 
@@ -104,7 +112,11 @@ def ams_stream(stream: DataFrame, element: str, pos: str, v: int, state_dir: str
 
     def step(batch: DataFrame, epoch: int) -> None:
         prev = _last_state(batch.sparkSession, state_dir, epoch)
-        ams_step(batch, prev, element, pos, v).coalesce(1).write.mode("overwrite").parquet(_state_path(state_dir, epoch))
+        batch = batch.persist()  # read for its size, its picks and its counts
+        try:
+            ams_step(batch, prev, element, pos, v).coalesce(1).write.mode("overwrite").parquet(_state_path(state_dir, epoch))
+        finally:
+            batch.unpersist()
 
     w = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -75,7 +75,7 @@ def test_fit_lowers_training_loss(spark):
     ranked = FA.split_order(um, 1)
     items = FA.init_factors(um.select("item_id").distinct(), "item_id", "item", k, 3)
     users = FA.init_factors(um.select("user_id").distinct(), "user_id", "user", k, 3)
-    cfg = FA.FitConfig(k=k, epochs=6, batches_per_epoch=1, fixed_lr=0.05, checkpoint_every=3)
+    cfg = FA.FitConfig(k=k, epochs=6, batches_per_epoch=1, fixed_lr=0.05)
     _, _, rep = FA.fit_factors(ranked, ranked, items, users, cfg)
     losses = [r.train_loss for r in rep.orderBy("epoch").collect()]
     assert losses[-1] < losses[0]
@@ -104,7 +104,7 @@ def test_grid_search_one_row_per_pair_and_best(spark):
     ranked = FA.split_order(um, 1)
     items = FA.init_factors(um.select("item_id").distinct(), "item_id", "item", k, 3)
     users = FA.init_factors(um.select("user_id").distinct(), "user_id", "user", k, 3)
-    cfg = FA.FitConfig(k=k, epochs=2, batches_per_epoch=1, checkpoint_every=2)
+    cfg = FA.FitConfig(k=k, epochs=2, batches_per_epoch=1)
     g = FA.grid_search(ranked, ranked, items, users, [0.01, 0.05], [0.0, 0.1], cfg)
     rows = g.collect()
     assert len(rows) == 4 and all(r.valid_mse is not None for r in rows)
@@ -121,3 +121,23 @@ def test_als_grid_search(spark):
     m = FA.als_grid_search(df, [2, 4], [0.1, 1.0], max_iter=3)
     assert len(m.validationMetrics) == 4
     assert min(m.validationMetrics) > 0
+
+
+def test_fit_plan_does_not_grow_with_the_steps(spark):
+    """With the default batches the factor tables are cut after every step."""
+    m = spark.createDataFrame([(u, i, float(u + i)) for u in range(6) for i in range(5)], "user_id bigint, item_id bigint, rating double")
+    s = FA.assign_split(FA.split_order(m, 1), (0.8, 0.1, 0.1))
+    items = FA.init_factors(m.select("item_id").distinct(), "item_id", "item", 2, 1)
+    users = FA.init_factors(m.select("user_id").distinct(), "user_id", "user", 2, 1)
+    u, v, rep = FA.fit_factors(s.where("split = 'train'"), s.where("split = 'valid'"), items, users, FA.FitConfig(k=2, epochs=2, fixed_lr=0.01))
+    assert rep.count() == 2
+    for f in (u, v):
+        assert len(f._jdf.queryExecution().logical().toString().splitlines()) < 5
+
+
+def test_als_ids_beyond_an_int(spark):
+    m = spark.createDataFrame([(3_000_000_000 + u, 5_000_000_000 + i, float(u * i % 5)) for u in range(8) for i in range(6)], "user_id bigint, item_id bigint, rating double")
+    x = m.join(FA.dense_ids(m, "user_id").withColumnRenamed("idx", "u"), "user_id").join(FA.dense_ids(m, "item_id").withColumnRenamed("idx", "i"), "item_id")
+    model = FA.als_fit(x.selectExpr("u AS user_id", "i AS item_id", "rating"), rank=2, max_iter=2)
+    p = model.transform(spark.createDataFrame([(1, 1), (99, 1)], "user_id int, item_id int")).orderBy("user_id").collect()
+    assert p[0]["prediction"] == p[0]["prediction"] and p[1]["prediction"] != p[1]["prediction"]

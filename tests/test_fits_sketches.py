@@ -152,3 +152,25 @@ def test_poly_descent_and_least_squares(spark):
     model = FI.poly_least_squares(df, list(true))
     assert model.intercept == pytest.approx(true[(0, 0, 0)], abs=1e-6)
     assert sorted(round(c, 6) for c in model.coefficients) == sorted(round(true[e], 6) for e in true if e != (0, 0, 0))
+
+
+def test_moment_of_a_very_frequent_element_is_exact(spark):
+    s = spark.range(1).selectExpr("explode(sequence(1, 10)) AS el").withColumn("c", F.lit(3_000_000).cast("bigint"))
+    got = s.agg(SK.power_sum(F.col("c"), 3).alias("f3"), SK.power_sum(F.col("c"), 0).alias("f0")).first()
+    assert int(got["f3"]) == 10 * 3_000_000**3 and int(got["f0"]) == 10
+
+
+def test_reservoir_choice_reaches_late_positions(spark):
+    """The chance of position p is 1 / p also beyond 2**29."""
+    base, n = 2**29, 2_000_000
+    hits = spark.range(base, base + n).select(SK.ams_choice(F.lit(1), F.col("id")).alias("h"))
+    low = hits.agg(F.min("h")).first()[0]
+    assert 0 < low < 8 / n  # not held up at a step of 2**-28 and uniform down to the smallest
+    assert SK.ams_choice(F.lit(1), F.lit(1)) is not None and 0.5 / 16**13 * 2**40 < 1
+
+
+def test_bloom_sizing_of_few_keys_keeps_unmet_targets(spark):
+    keys = spark.range(5).withColumnRenamed("id", "k")
+    got = {r["b"]: r for r in SK.bloom_sizing(keys, "k", [0.5, 1e-9]).collect()}
+    assert got[0.5]["n_keys"] == 5 and got[0.5]["n_bits"] > 0
+    assert got[1e-9]["n_keys"] == 5 and got[1e-9]["n_bits"] is None and got[1e-9]["p_fp"] is None

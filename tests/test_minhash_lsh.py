@@ -183,3 +183,20 @@ def test_pairs_in_groups_property(spark, rows, tile):
         by_g.setdefault(g, []).append(m)
     exp = sorted((g, a, b) for g, ms in by_g.items() for a, b in itertools.combinations(sorted(ms), 2))
     assert got == exp
+
+
+def test_hot_key_lists_are_built_in_several_tasks(spark):
+    """A third of the rows on one key: its chunks are spread over partitions."""
+    from lodestar.operators.groups import chunked_collect
+
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS v")
+    out = chunked_collect(df, ["k"], "v", F.col("v"), "vs", chunk_rows=500)
+    parts = out.where("k = 0").select(F.spark_partition_id().alias("p"), F.size("vs").alias("n")).collect()
+    assert sum(r["n"] for r in parts) == 10_000 and len({r["p"] for r in parts}) > 3
+
+
+def test_candidate_pairs_are_complete_in_a_bucket(spark):
+    """Pairs that do not hold the smallest member are candidates too; copies are one member."""
+    sig = spark.createDataFrame([(1, [1, 1, 1, 1]), (2, [1, 1, 2, 2]), (3, [1, 1, 2, 3]), (4, [1, 1, 2, 3]), (5, [9, 9, 9, 9])], "set_id bigint, sig array<bigint>")
+    got = sorted(tuple(r) for r in L.candidate_pairs(sig, 2, 2).collect())
+    assert got == [(1, 2), (1, 3), (2, 3)]

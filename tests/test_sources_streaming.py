@@ -111,3 +111,45 @@ def test_streaming_exact_and_ams_match_batch(spark, scratch):
     assert s.sum_counts == b.sum_counts
     assert s.estimate == pytest.approx(b.estimate)
     assert st.agg(F.max("n")).first()[0] == 600
+
+
+def test_whole_file_documents_with_odd_names(spark, scratch):
+    names = ["Lorem Ipsum.txt", "plain.txt", "100%.txt", "empty.txt"]
+    paths = [os.path.join(scratch, n) for n in names]
+    for n, p in zip(names, paths, strict=True):
+        with open(p, "w") as f:
+            f.write("" if n == "empty.txt" else f"text of {n}")
+    got = sorted(tuple(r) for r in FS.load_documents(spark, paths).collect())
+    assert got == [(0, "text of Lorem Ipsum.txt"), (1, "text of plain.txt"), (2, "text of 100%.txt"), (3, "")]
+
+
+def test_stream_queries_read_a_folder_table(spark, scratch):
+    import __spark_entry__ as E
+
+    spark.range(1000).selectExpr("id AS event_id", "id % 7 AS user_id").coalesce(1).write.parquet(os.path.join(scratch, "events.parquet"))
+    q = E.queries()
+    a, b = (q[n](spark, scratch).first() for n in ("exact_moment_stream", "exact_moment"))
+    assert a == b and int(a["f1"]) == 1000
+    a, b = (q[n](spark, scratch).first() for n in ("ams_moment_stream", "ams_moment"))
+    assert a == b and a["n"] == 1000
+
+
+def test_stream_step_refuses_positions_out_of_order(spark):
+    first = spark.createDataFrame([(p, p % 3) for p in range(5, 20)], "pos bigint, el bigint")
+    state = SM.ams_step(first, None, "el", "pos", 4)
+    late = spark.createDataFrame([(19, 1), (20, 2)], "pos bigint, el bigint")
+    with pytest.raises(ValueError, match="position"):
+        SM.ams_step(late, state, "el", "pos", 4)
+    later = spark.createDataFrame([(20, 2)], "pos bigint, el bigint")
+    assert SM.ams_step(later, state, "el", "pos", 4).count() == 4
+
+
+def test_cluster_without_a_shared_checkpoint_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from lodestar.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
