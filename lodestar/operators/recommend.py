@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
+from .groups import reliable_checkpoint
 from .ratings import center_ratings
 from .similarity import similarity_to_user
 
@@ -33,7 +34,8 @@ def rate_all_items(um: DataFrame, target, k: int, drop_undefined: str = "after")
     sims = similarity_to_user(um, target, undefined="null").select("user_id", "similarity")
     if drop_undefined == "before":
         sims = sims.where(F.col("similarity").isNotNull())
-    raters = um.where(F.col("user_id") != F.lit(target)).join(sims, "user_id")
+    # written first: the join of a hot user's ratings is split only between two plain shuffles
+    raters = um.where(F.col("user_id") != F.lit(target)).join(reliable_checkpoint(sims), "user_id")
     w = Window.partitionBy("item_id").orderBy(*_neighbour_order("similarity", "user_id", drop_undefined == "after"))
     top = raters.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k)
     top = top.where(F.col("similarity").isNotNull())
@@ -76,11 +78,10 @@ def estimate_ratings(um: DataFrame, requests: DataFrame, k: int, include_self: b
     pairs = cand.select("user_id", "nb").distinct()
     tv = c.join(req.select("user_id").distinct(), "user_id").select("user_id", "item_id", F.col("centered").alias("_tc"))
     nv = c.select(F.col("user_id").alias("nb"), "item_id", F.col("centered").alias("_nc"))
-    # shuffled hash semi join: the distinct pairs are the per-partition build side (no key repeats),
-    # the large triple side streams through without being sorted
+    # the pairs may be too many for a hash side in memory: the planner's merge join can spill both
     dots = (
         tv.join(nv, "item_id")
-        .join(pairs.hint("shuffle_hash"), ["user_id", "nb"], "left_semi")
+        .join(pairs, ["user_id", "nb"], "left_semi")
         .groupBy("user_id", "nb")
         .agg(F.sum(F.col("_tc") * F.col("_nc")).alias("_dot"))
     )

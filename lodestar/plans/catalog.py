@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cf, factors, fits, sets, streams, text  # noqa: F401
+from . import cf, factors, files, fits, sets, streams, text  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 

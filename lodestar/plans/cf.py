@@ -12,6 +12,7 @@ from ..operators import ratings as R
 from ..operators import recommend as REC
 from ..operators import similarity as SIM
 from ..operators.groups import reliable_checkpoint
+from ..sources.files import sample_rows
 from ..sources.tables import rating_events, table
 from .registry import query
 
@@ -64,7 +65,7 @@ def q_utility_matrix(spark, sf):
 
 @query("sample_rows", f"WITH {UM_SQL} SELECT * FROM um ORDER BY user_id, item_id LIMIT 20")
 def q_sample_rows(spark, sf):
-    return um(spark, sf).orderBy("user_id", "item_id").limit(20)
+    return sample_rows(um(spark, sf), 20, ["user_id", "item_id"])
 
 
 @query("ratings_profile", f"""
@@ -127,7 +128,8 @@ SELECT item_id, {", ".join(f"sum(rating) FILTER (WHERE c_mktsegment = '{s}') AS
 FROM um JOIN customer ON c_custkey = user_id GROUP BY 1""")
 def q_um_pivot(spark, sf):
     cust = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
-    return um(spark, sf).join(cust, "user_id").groupBy("item_id").pivot("c_mktsegment", SEGMENTS).agg(F.sum("rating"))
+    per = um(spark, sf).join(cust, "user_id").groupBy("item_id", "c_mktsegment").agg(F.sum("rating").alias("rating"))
+    return R.um_pivot(reliable_checkpoint(per), "item_id", "c_mktsegment", SEGMENTS)  # read by the duplicate check and the pivot
 
 
 @query("user_similarities", f"WITH {SIM_TO_TARGET_SQL} SELECT user_id, round(sim, 6) AS similarity, n_common FROM sims")
