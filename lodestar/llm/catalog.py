@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import os
+
 import corpus_pipeline
 
 from ..sources.tables import table
@@ -21,9 +24,26 @@ QUERIES: dict = {}
 ORACLE: dict = {}
 
 
+def _importable(spark) -> None:
+    """Let Python workers of this machine import the package wherever the driver was started.
+
+    On a cluster the package is shipped with ``--py-files``; a path that does not exist there does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def _query(name: str, twin: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            _importable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if twin is not None:
             ORACLE[name] = twin.strip()
         return fn
