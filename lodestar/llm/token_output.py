@@ -17,8 +17,10 @@ writes an empty folder and gives no rows. Only id and text are read.
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .packing import pack, unpack
+from .rolling import text_slices
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-CACHE = 300_000
+CACHE = 700_000
+SLICE = 1 << 20
 
 #: row groups of 32 MB, pages of at most 256 KB or 2,000 documents, dictionary pages up to 1 MB
 WRITE_OPTIONS = {
@@ -44,37 +48,86 @@ WRITE_OPTIONS = {
 }
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable Latin-1 as itself, the others from code point 256 on, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [c for c in range(256) if c not in plain]
+    return {c: chr(c) if c in plain else chr(256 + rest.index(c)) for c in range(256)}
+
+
 class _Encoder:
-    """bytes of a piece without blanks -> its ids as little-endian uint32 bytes."""
+    """Texts -> little-endian uint32 ids. Pieces (runs without ASCII blanks) are encoded once and kept, to a bound.
+
+    A piece of Latin letters closed by ASCII punctuation is the letters' ids, in lower case, and the punctuation's:
+    the vocabulary's rules part letters from punctuation and lower the case. Such letters are one pre-token, which the
+    library's model encodes without running the rules again; everything else goes through the whole tokenizer.
+    """
+
+    PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+    LETTERS = _byte_letters()
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.cache: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.pieces: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def word(self, piece: bytes) -> bytes:
-        got = self.cache.get(piece)
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def letters(self, body: bytes) -> bytes:
+        """Ids of lower-case letters."""
+        word = body.decode("latin-1")
+        if not body.isascii():
+            word = word.translate(self.LETTERS)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def piece(self, p: bytes) -> bytes:
+        body = p.rstrip(self.PUNCTUATION)
+        if body.isascii():
+            low, ok = body.lower(), body.isalpha()
+        else:
+            text = body.decode("utf-8", "replace")
+            low, ok = text.lower().encode(), text.isalpha() and max(text) <= "\xff"
+        if not ok:
+            return self.ids(p.decode("utf-8", "replace"))
+        kept = self.pieces
+        got = kept.get(low)
         if got is None:
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            body = piece.rstrip(b".,")
-            # letters a-z followed by stops are pieces of their own in every case
-            if body and len(body) < len(piece) and body.isalpha() and body.isascii():
-                got = self.word(body.lower()) + self.ids(piece[len(body) :].decode())
-            elif body is piece and piece.isalpha() and piece.isascii() and piece != piece.lower():
-                got = self.word(piece.lower())
-            else:
-                got = self.ids(piece.decode("utf-8", "replace"))
-            self.cache[piece] = got
+            got = kept[low] = self.letters(low)
+        if len(body) < len(p):
+            tail = p[len(body) :]
+            end = kept.get(tail)
+            if end is None:
+                end = kept[tail] = self.ids(tail.decode())
+            got += end
         return got
 
-    def document(self, raw: bytes) -> bytes:
-        get, word = self.cache.get, self.word
-        return b"".join([get(p) or word(p) for p in raw.split()])
+    def documents(self, raws: list[bytes]) -> list[bytes]:
+        words, ends = [], []
+        for raw in raws:
+            words += raw.split()
+            ends.append(len(words))
+        if len(self.pieces) > CACHE:
+            self.pieces.clear()
+        kept, piece = self.pieces, self.piece
+        got = list(map(kept.get, words))
+        if None in got:
+            for k, x in enumerate(got):
+                if x is None:
+                    p = words[k]
+                    x = kept.get(p)
+                    if x is None:
+                        x = kept[p] = piece(p)
+                    got[k] = x
+        return [b"".join(got[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+@functools.lru_cache(maxsize=1)
+def _encoder(definition: str) -> _Encoder:
+    """The worker process's encoder: its pieces serve the tasks that follow there."""
+    return _Encoder(definition)
 
 
 def default_vocabulary() -> str:
@@ -108,16 +161,16 @@ def write_tokens(
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches):
-        enc = _Encoder(definition.value)
+        enc = _encoder(definition.value)
         for batch in batches:
             ids = batch.column(0)
             real = np.asarray(ids.is_valid())
             shard = np.where(real, np.searchsorted(bounds, ids.fill_null(0).to_numpy(), side="left"), 0).astype(np.int32)
             cells, crc = [], []
-            for t in batch.column(1):
-                raw = t.as_buffer().to_pybytes() if t.is_valid else b""
-                crc.append(zlib.crc32(raw))
-                cells.append(pack(np.frombuffer(enc.document(raw) + tail, dtype="<u4")))
+            for i, j, data, off in text_slices(batch.column(1), SLICE):
+                raws = [data[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
+                crc += [zlib.crc32(raw) for raw in raws]
+                cells += [pack(np.frombuffer(x + tail, dtype="<u4")) for x in enc.documents(raws)]
             yield pa.record_batch([pa.array(shard), ids, pa.array(crc, pa.int64()), pa.array(cells, pa.binary())], names=["shard", "id", "crc", "cell"])
 
     def lay_out(batches):
