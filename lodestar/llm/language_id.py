@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import rolling as R
+from .packing import bounded_sample
 
 TABLE_BITS = 16
 MAX_LANGS = 1000
@@ -104,12 +105,11 @@ class LanguageModel:
 def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 2000) -> LanguageModel:
     """Learn from the rows given (the caller leaves held-out rows away)."""
     ok = docs.select(F.col(id_col).alias("_did"), F.col(lang_col).alias("_dlang"), F.col(text_col).alias("_t")).dropna()
-    w = Window.partitionBy("_lang").orderBy(F.xxhash64("_lid"), "_lid")
     ids = ok.select(F.col("_did").alias("_lid"), F.col("_dlang").alias("_lang")).distinct()
-    ids = ids.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= sample_docs).drop("_n")
     names = [r["_lang"] for r in ids.select("_lang").distinct().limit(MAX_LANGS + 1).collect()]
     if len(names) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
+    ids = bounded_sample(ids, "_lang", "_lid", sample_docs)
     names.sort(key=lambda s: s.encode())
     # at most sample_docs rows a language
     rows = ok.join(F.broadcast(ids), (F.col("_did") == F.col("_lid")) & (F.col("_dlang") == F.col("_lang"))).select("_lang", "_t")

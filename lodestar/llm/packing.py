@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NULL_ID = 1 << 40  # flag in ``part`` of a row whose id is null
@@ -92,3 +92,21 @@ def spans_by_row(spans: np.ndarray) -> dict:
     at = np.flatnonzero(np.concatenate(([True], (np.diff(s["id"]) != 0) | (np.diff(s["part"]) != 0))))
     end = np.append(at[1:], len(s))
     return {(int(s["id"][i]), int(s["part"][i])): (s["start"][i:j].astype(np.int64), s["end"][i:j].astype(np.int64)) for i, j in zip(at, end, strict=True)}
+
+
+def bounded_sample(ids: DataFrame, group: str, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows of each group: those of smallest key hash.
+
+    Group sizes (one row a group, partial sums) first set a hash threshold that leaves about 1.2 * most rows of a group, so
+    the exact ranking never sees a large group. The number of groups must be small; ``ids`` is read twice.
+    """
+    sizes = ids.groupBy(group).agg(F.count(F.lit(1)).alias("n")).collect()
+    span = 1 << 31
+    limit = F.lit(span)
+    for r in sizes:
+        cut_at = min(span, int(span * (1.2 * most + 50) / r["n"]))
+        limit = F.when(F.col(group) == F.lit(r[group]), F.lit(cut_at)).otherwise(limit)
+    low = F.pmod(F.xxhash64(key), F.lit(span))
+    w = Window.partitionBy(group).orderBy(low, key)
+    few = ids.where(low < limit)
+    return few.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= most).drop("_n")

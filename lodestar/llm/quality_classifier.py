@@ -20,9 +20,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .packing import bounded_sample
+
 LEVEL = 3
 
 
@@ -57,8 +59,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     """(label, order, text) of at most ``sample_docs`` documents of each label; ids first, so only their texts move."""
     lab = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_lid"))
     lab = lab.agg(F.min(label_col).alias("label"), F.max(label_col).alias("_top")).where("label = _top").drop("_top")
-    w = Window.partitionBy("label").orderBy(F.xxhash64("_lid"), "_lid")
-    ids = lab.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= sample_docs).drop("_n")
+    ids = bounded_sample(lab, "label", "_lid", sample_docs)
     # at most 2 * sample_docs rows
     x = docs.select(F.col(id_col).alias("_did"), F.col(text_col).alias("text"))
     return x.join(F.broadcast(ids), F.col("_did") == F.col("_lid")).select("label", F.xxhash64("_lid").alias("order"), "text")
