@@ -229,17 +229,19 @@ def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col:
     x = x.withColumn("__occ", F.row_number().over(Window.partitionBy("__id", "__tie").orderBy("__id")))
     same = F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__tie") == F.col("__ktie")) & (F.col("__occ") == F.col("__kocc"))
     x = x.join(keyed, same)
-    x = x.withColumn("__words", F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)))
-    passes = F.transform(
-        F.sequence(F.lit(0), F.array_max(F.transform("__pieces", lambda p: p["times"])) - 1),
-        lambda r: F.flatten(
-            F.transform(
-                F.filter("__pieces", lambda p: p["times"] > r),
-                lambda p: F.slice("__words", (p["at"] + 1).cast("int"), p["words"].cast("int")),
-            )
-        ),
-    )
-    x = x.withColumn("__text", F.array_join(F.flatten(passes), " "))
+    pieces = F.col("__pieces")
+
+    def passes(w):
+        return F.transform(
+            F.sequence(F.lit(0), F.array_max(F.transform(pieces, lambda p: p["times"])) - 1),
+            lambda r: F.flatten(
+                F.transform(F.filter(pieces, lambda p: p["times"] > r), lambda p: F.slice(w, (p["at"] + 1).cast("int"), p["words"].cast("int")))
+            ),
+        )
+
+    # the words are bound to a lambda variable: as a column they would be cut anew for every piece
+    words = F.array(F.regexp_extract_all(F.col(text_col), F.lit(WORD), F.lit(0)))
+    x = x.withColumn("__text", F.transform(words, lambda w: F.array_join(F.flatten(passes(w)), " "))[0])
     out = []
     for c in docs.columns:
         if c == text_col:
