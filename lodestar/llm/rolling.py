@@ -77,7 +77,7 @@ class SpanHash:
         return mix((p[n : n + m] - p[:m]) * self.ipw[:m])
 
 
-def text_slices(column, max_bytes: int = 1 << 21):
+def text_slices(column, max_bytes: int = 1 << 19):
     """(first row, last row + 1, bytes, offsets) over consecutive rows of an Arrow string array.
 
     A slice holds at most ``max_bytes`` bytes, or one longer text. A null has no bytes. The bytes are a
