@@ -8,8 +8,8 @@ A document's set is its distinct ``n``-word shingles (5); two documents link whe
 3. *Prefixes.* Linked sets share one of the first |A| - ceil(t |A|) + 1 shingles of each. Those entries are grouped by shingle; a
    shingle whose cell count is high is salted, and groups without two classes of fitting length go.
 4. *Candidates.* Instead of all pairs of a group, stars: every member is paired with the group's leaders (the smallest under
-   two hash orders), under the length and positional filters, then the suffix filter (sets are split at fixed hash pivots; the sum of the
-   smaller part sizes bounds the overlap). A pair is verified once, on the texts. Classes that link get one label.
+   two hash orders), under the length and positional filters, then the suffix filter (sets are split at fixed hash pivots; parts of
+   unequal parity bound the distance of the sets). A pair is verified once, on the texts. Classes that link get one label.
 5. *Rest.* After that only members of one group with *different* labels may hide a link: all such pairs are
    verified. So no link between components is lost, while a large group of near copies costs a few stars.
 
@@ -21,6 +21,7 @@ null id counts only if its component has no other (the component is then null);
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -37,7 +38,7 @@ from .packing import NULL_ID, bucket_count, cut, joined, keyed_texts
 CELL_BITS = 20
 BLOCKS = 64
 BITMAP_BITS = 26
-PARTS = 16
+PARTS = 512
 HOT = 4096
 FLUSH = 1 << 20
 SALTED = 1 << 31  # flag in ``pos``: the shingle's entries lie in several buckets
@@ -73,19 +74,20 @@ def class_id(seq: bytes) -> int:
     return int.from_bytes(hashlib.md5(seq, usedforsecurity=False).digest()[:8], "little", signed=True)
 
 
-def _part_sizes(h: np.ndarray) -> np.ndarray:
-    """Set sizes between fixed hash pivots."""
-    return np.bincount((h >> R.U64(60)).astype(np.int64), minlength=PARTS).astype(np.int32)
+def _parities(h: np.ndarray) -> np.ndarray:
+    """Whether the set has an odd number of shingles between each two of PARTS fixed hash pivots, as 64-bit words."""
+    odd = np.bincount((h >> R.U64(55)).astype(np.int64), minlength=PARTS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
 def _scan_classes(texts: DataFrame, n: int) -> DataFrame:
-    """One pass: kind 0 rows (_id, _part, cls, n, sizes) and kind 1 rows (block number as _id, counts of the sketch)."""
-    types = "kind int, _id bigint, _part bigint, cls bigint, n int, sizes array<int>, cells binary"
+    """One pass: kind 0 rows (_id, _part, cls, n, bits) and kind 1 rows (block number as _id, counts of the sketch)."""
+    types = "kind int, _id bigint, _part bigint, cls bigint, n int, bits array<bigint>, cells binary"
 
-    def rows(kind, ids, part, cls, size, sizes, cells):
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(sizes)), PARTS).cast(pa.list_(pa.int32()))
+    def rows(kind, ids, part, cls, size, bits, cells):
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(bits)), PARTS // 64).cast(pa.list_(pa.int64()))
         cols = [pa.array([kind] * len(ids), pa.int32()), pa.array(ids, pa.int64()), pa.array(part, pa.int64()), pa.array(cls, pa.int64()), pa.array(size, pa.int32()), lists, pa.array(cells, pa.binary())]
-        return pa.record_batch(cols, names=["kind", "_id", "_part", "cls", "n", "sizes", "cells"])
+        return pa.record_batch(cols, names=["kind", "_id", "_part", "cls", "n", "bits", "cells"])
 
     def scan(batches):
         sets, cells = _Sets(n), np.zeros(1 << CELL_BITS, dtype=np.uint32)
@@ -96,11 +98,11 @@ def _scan_classes(texts: DataFrame, n: int) -> DataFrame:
                 cls = [class_id(seq) if len(h) else None for h, seq in found]
                 all_ = np.concatenate([h for h, _ in found])
                 cells += np.bincount((all_ >> R.U64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells)).astype(np.uint32)
-                yield rows(0, ids[i:j], part[i:j], cls, [len(h) for h, _ in found], [_part_sizes(h) for h, _ in found], [None] * (j - i))
+                yield rows(0, ids[i:j], part[i:j], cls, [len(h) for h, _ in found], [_parities(h) for h, _ in found], [None] * (j - i))
         if cells.any():
             blocks = cells.reshape(BLOCKS, -1)
             none = [None] * BLOCKS
-            yield rows(1, range(BLOCKS), none, none, none, [np.zeros(PARTS * BLOCKS, dtype=np.int32)], [zlib.compress(b.tobytes(), 1) for b in blocks])
+            yield rows(1, range(BLOCKS), none, none, none, [np.zeros(PARTS // 64 * BLOCKS, dtype=np.int64)], [zlib.compress(b.tobytes(), 1) for b in blocks])
 
     return reliable_checkpoint(texts.mapInArrow(scan, types))
 
@@ -225,14 +227,13 @@ def _row_key(i, p):
 
 
 def _verify(texts: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link, exactly: suffix filter on part sizes, then the texts' own shingles.
+    """The pairs (a, b) of classes that link, exactly: suffix filter, then the texts' own shingles.
 
     Only texts named by a surviving pair (by a fixed-size bitmap of row keys) are shuffled, compressed.
     """
-    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("sizes").alias(f"s{c}"), F.col("rep._id").alias(f"i{c}"), F.col("rep._part").alias(f"p{c}"))
+    side = lambda c: classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"s{c}"), F.col("rep._id").alias(f"i{c}"), F.col("rep._part").alias(f"p{c}"))
     x = pairs.join(side("a"), "a").join(side("b"), "b")
-    bound = F.aggregate(F.zip_with("sa", "sb", lambda u, v: F.least(u, v)), F.lit(0), lambda acc, v: acc + v)
-    x = x.where((100 + percent) * bound >= percent * (F.col("na") + F.col("nb")))
+    x = x.where(_near("sa", "na", "sb", "nb", percent))
     x = reliable_checkpoint(x.select("a", "b", "ia", "pa", "ib", "pb"))
     keys = x.select(_row_key("ia", "pa").alias("k")).union(x.select(_row_key("ib", "pb").alias("k")))
     bits = texts.sparkSession.sparkContext.broadcast(key_bitmap(keys))
@@ -276,6 +277,13 @@ def _verify(texts: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perc
     return reliable_checkpoint(x.select("a", "b", "za", "zb").mapInArrow(check, "a bigint, b bigint").distinct())
 
 
+def _near(b1, n1, b2, n2, percent: int):
+    """Suffix filter. Between two hash pivots, sets of unequal parity differ by a shingle at least, so the parities that
+    differ bound the sets' Hamming distance from below; linked sets have at most (1-t)/(1+t) (n1+n2)."""
+    differ = sum((F.bit_count(F.col(b1)[k].bitwiseXOR(F.col(b2)[k])) for k in range(1, PARTS // 64)), F.bit_count(F.col(b1)[0].bitwiseXOR(F.col(b2)[0])))
+    return (100 + percent) * differ <= (100 - percent) * (F.col(n1) + F.col(n2))
+
+
 def _fits(n1, p1, n2, p2, percent: int):
     """Length filter, and the overlap still possible after the shared shingle at positions p1, p2."""
     n1, p1, n2, p2 = (F.col(c).cast("bigint") for c in (n1, p1, n2, p2))
@@ -309,11 +317,19 @@ def linked_classes(texts: DataFrame, classes: DataFrame, entries: DataFrame, n:
     links = _verify(texts, classes, done, n, percent)
     labels = connected_components(links)
     e = reliable_checkpoint(_mixed_groups(_labelled(entries, labels)))
-    lab = e.select("gid", "label").distinct()
-    pairs = lab.select("gid", F.col("label").alias("la")).join(lab.select("gid", F.col("label").alias("lb")), "gid").where("la < lb")
-    left = e.select("gid", F.col("label").alias("la"), F.col("cls").alias("ca"), F.col("n").alias("n1"), F.col("pos").alias("p1"))
-    right = e.select("gid", F.col("label").alias("lb"), F.col("cls").alias("cb"), F.col("n").alias("n2"), F.col("pos").alias("p2"))
-    rest = pairs.join(left, ["gid", "la"]).join(right, ["gid", "lb"]).where(_fits("n1", "p1", "n2", "p2", percent))
+    # pairs of one label need no check: members of a group's most frequent label only meet the others
+    most = e.groupBy("gid", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("gid").agg(F.max(F.struct("c", "label")).alias("m"))
+    most = reliable_checkpoint(most.select("gid", F.col("m.label").alias("top")))
+    e = e.join(most, "gid").join(classes.select("cls", "bits"), "cls")
+    # sets that can link lie in neighbouring length classes
+    e = e.withColumn("lc", F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent + 0.01))).cast("int"))
+    side = lambda c: [F.col("cls").alias(f"c{c}"), F.col("label").alias(f"l{c}"), F.col("n").alias(f"n{c}"), F.col("pos").alias(f"p{c}"), F.col("bits").alias(f"b{c}")]
+    left = e.where("label <> top").select("gid", "top", *side("a"), F.explode(F.array(F.col("lc") - 1, F.col("lc"), F.col("lc") + 1)).alias("lc"))
+    right = e.select("gid", "lc", *side("b"))
+    once = (F.col("lb") == F.col("top")) | (F.col("ca") < F.col("cb"))
+    rest = left.join(right, ["gid", "lc"]).where(
+        (F.col("la") != F.col("lb")) & once & _fits("na", "pa", "nb", "pb", percent) & _near("ba", "na", "bb", "nb", percent)
+    )
     rest = reliable_checkpoint(rest.select(*_ordered("ca", "cb")).distinct().join(done, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return labels
@@ -325,10 +341,10 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     buckets = bucket_count(docs.count())
     texts = keyed_texts(docs, id_col, text_col, buckets)
     scanned = _scan_classes(texts, n)
-    rows = scanned.where("kind = 0").select("_id", "_part", "cls", "n", "sizes")
+    rows = scanned.where("kind = 0").select("_id", "_part", "cls", "n", "bits")
     cells = _merged_cells(scanned)
     classes = reliable_checkpoint(
-        rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min(F.struct("_id", "_part")).alias("rep"), F.first("n").alias("n"), F.first("sizes").alias("sizes"))
+        rows.where("cls IS NOT NULL").groupBy("cls").agg(F.min(F.struct("_id", "_part")).alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     )
     entries = reliable_checkpoint(_entries(texts, cells, n, percent, buckets))
     labels = linked_classes(texts, classes, entries, n, percent)
@@ -352,11 +368,11 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     c = near_duplicate_components(docs, id_col, text_col, n, percent).select(F.col(id_col).alias("_i"), "n_shingles", F.col("component_id").alias("_c"), "_part")
     first = c.where("n_shingles > 0").groupBy("_c").agg(F.min(F.struct((~F.col("_i").eqNullSafe(F.col("_c"))).alias("o"), F.col("_i").alias("i"), F.col("_part").alias("p"))).alias("k"))
-    keep = first.select(F.col("k.i").alias("_ki"), F.col("k.p").alias("_kp"))
+    keep = first.select(F.col("k.i").alias("__ki"), F.col("k.p").alias("__kp"))
     null = F.col(id_col).isNull()
     part = F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)) + F.when(null, F.lit(NULL_ID)).otherwise(F.lit(0))
     has_word = F.coalesce(F.length(F.translate(F.col(text_col), " \t\n\x0b\x0c\r", "")) > 0, F.lit(False))
-    x = docs.select(*docs.columns, part.cast("bigint").alias("_dp"), has_word.alias("_dw"))
-    worded = x.where("_dw").join(keep, F.col(id_col).eqNullSafe(F.col("_ki")) & (F.col("_dp") == F.col("_kp")), "left_semi")
-    worded = worded.dropDuplicates(["_dp", id_col])
-    return worded.union(x.where("NOT _dw")).select(*docs.columns)
+    x = docs.select(*docs.columns, part.cast("bigint").alias("__dp"), has_word.alias("__dw"))
+    worded = x.where("__dw").join(keep, F.col(id_col).eqNullSafe(F.col("__ki")) & (F.col("__dp") == F.col("__kp")), "left_semi")
+    worded = worded.dropDuplicates(["__dp", id_col])
+    return worded.union(x.where("NOT __dw")).select(*docs.columns)
