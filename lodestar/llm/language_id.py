@@ -30,7 +30,7 @@ from .packing import bounded_sample
 TABLE_BITS = 16
 MAX_LANGS = 1000
 POINTS = 0x20000
-FLUSH_WORDS = 2_000_000
+FLUSH_WORDS = 500_000
 
 # First and last code points of scripts (Unicode blocks); 0 is "other letters".
 SCRIPTS = (
@@ -236,7 +236,7 @@ def label_languages(
                     out_names.append(f"{prefix}spans")
                 return pa.record_batch(cols, names=out_names)
 
-            for i, j, data, off in R.text_slices(column, 1 << 20):
+            for i, j, data, off in R.text_slices(column):
                 words = _Words(data, off)
                 if not model.langs:  # nothing learned: no word counts
                     held.append((np.zeros((0, 1), dtype=np.float32), np.zeros(j - i, dtype=np.int64), np.zeros(0)))

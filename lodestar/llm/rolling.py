@@ -8,6 +8,7 @@ a span is the difference of two prefix sums times an inverse power, so all spans
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 
 U64 = np.uint64
 #: low bits of a sliding-minimum key hold the position, so that the leftmost of equal hashes wins
@@ -85,6 +86,7 @@ def text_slices(column, max_bytes: int = 1 << 19):
     """
     if len(column) == 0:
         return
+    pa.default_memory_pool().release_unused()  # what earlier batches of this reused worker have left
     _, off_buf, data_buf = column.buffers()
     off = np.frombuffer(off_buf, dtype=np.int32, count=len(column) + column.offset + 1)[column.offset :].astype(np.int64)
     data = np.frombuffer(data_buf, dtype=np.uint8) if data_buf is not None else np.zeros(0, dtype=np.uint8)
