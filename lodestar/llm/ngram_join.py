@@ -40,7 +40,8 @@ BLOCKS = 64
 BITMAP_BITS = 26
 PARTS = 512
 HOT = 4096
-FLUSH = 1 << 20
+FLUSH = 1 << 18
+KEPT = 100_000  # shingles of texts that a verifying task keeps
 SALTED = 1 << 31  # flag in ``pos``: the shingle's entries lie in several buckets
 
 ENTRY = np.dtype([("h", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("pos", "<u4")])
@@ -257,7 +258,7 @@ def _verify(texts: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, perc
 
     def shingles(z, cache, key):
         if key not in cache:
-            if len(cache) >= 64:
+            if sum(map(len, cache.values())) > KEPT:
                 cache.clear()
             w = zstandard.ZstdDecompressor().decompress(z).split(b" ")
             cache[key] = set(zip(*(w[k:] for k in range(n)), strict=False))
