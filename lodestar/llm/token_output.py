@@ -33,7 +33,7 @@ from .rolling import text_slices
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-CACHE = 100_000
+CACHE = 300_000
 SLICE = 1 << 19
 
 #: row groups of 32 MB, pages of at most 256 KB or 2,000 documents, dictionary pages up to 1 MB
