@@ -48,16 +48,44 @@ def set_elements(df: DataFrame, set_col: str = "set_id", element: str = "element
     )
 
 
-def signature_arrays(sets: DataFrame, hashes: Sequence[tuple[int, int]], p: int = MERSENNE_31, n: int | None = None) -> DataFrame:
+def signature_arrays(
+    sets: DataFrame, hashes: Sequence[tuple[int, int]], p: int = MERSENNE_31, n: int | None = None, digest: bool = False
+) -> DataFrame:
     """(set_id, sig ARRAY<BIGINT>): per set, min over elements of each hash ((a*x+b) % p) % n + 1.
 
     One aggregate with K min() columns keyed by set: one hash-table lookup per element row, partial
     aggregation before the shuffle, no K-fold row explosion. Empty sets have no rows (their signature
-    would be +infinity everywhere).
+    would be +infinity everywhere). ``digest`` adds a column ``digest`` (see ``digest_columns``) from the
+    same aggregate: equal signatures say that two sets are similar, equal digests that they are equal.
     """
     mins = [F.min(linear_hash(F.col("element"), a, b, p, n)).alias(f"_h{i}") for i, (a, b) in enumerate(hashes)]
-    agg = sets.groupBy("set_id").agg(*mins)
-    return agg.select("set_id", F.array(*[F.col(f"_h{i}") for i in range(len(hashes))]).alias("sig"))
+    agg = sets.groupBy("set_id").agg(*mins, *(digest_columns() if digest else []))
+    sig = F.array(*[F.col(f"_h{i}") for i in range(len(hashes))]).alias("sig")
+    return agg.select("set_id", sig, *([_digest()] if digest else []))
+
+
+def digest_columns() -> list:
+    """Aggregates that name a set by its elements: their number and the XOR of two 64-bit hashes of each.
+
+    They do not depend on the order of the elements and have partial sums, so no task holds a large set.
+    """
+    h = [F.bit_xor(F.xxhash64("element", F.lit(k))).alias(f"_d{k}") for k in range(2)]
+    return [F.count(F.lit(1)).alias("_dn"), *h]
+
+
+def _digest():
+    return F.struct("_dn", "_d0", "_d1").alias("digest")
+
+
+def set_copies(sets: DataFrame) -> DataFrame:
+    """(set_id, representative) of every set: the smallest set_id with the same elements.
+
+    The representatives are written before the join, so that the join of a large group of copies is split.
+    """
+    d = sets.groupBy("set_id").agg(*digest_columns()).select("set_id", _digest())
+    d = reliable_checkpoint(d)
+    rep = reliable_checkpoint(d.groupBy("digest").agg(F.min("set_id").alias("representative")))
+    return d.join(rep, "digest").select("set_id", "representative")
 
 
 def signatures_long(sig: DataFrame) -> DataFrame:

@@ -155,7 +155,15 @@ pairs AS (SELECT DISTINCT a.set_id AS set_a, b.set_id AS set_b FROM rb a JOIN rb
 
 @query("lsh_candidate_pairs", f"WITH {DOC_SETS_SQL}, {PAIRS_SQL} SELECT * FROM pairs")
 def q_lsh_candidate_pairs(spark, sf):
-    return L.candidate_pairs(M.signature_arrays(doc_sets(spark, sf), FAMILY), BANDS, ROWS)
+    return L.candidate_pairs(M.signature_arrays(doc_sets(spark, sf), FAMILY, digest=True), BANDS, ROWS)
+
+
+@query("lsh_copies", f"""
+WITH {DOC_SETS_SQL},
+e AS (SELECT set_id, list(element ORDER BY element) AS es FROM sets GROUP BY 1)
+SELECT set_id, min(set_id) OVER (PARTITION BY es) AS representative FROM e""")
+def q_lsh_copies(spark, sf):
+    return M.set_copies(doc_sets(spark, sf))
 
 
 @query("lsh_verify_all", f"""
@@ -171,7 +179,7 @@ FROM inter JOIN agree USING (set_a, set_b) JOIN sz na ON na.set_id = set_a JOIN
 def q_lsh_verify_all(spark, sf):
     # signatures are read by the candidates and by the agreement, the pairs by both checks: each is written once
     sets = doc_sets(spark, sf)
-    sig = reliable_checkpoint(M.signature_arrays(sets, FAMILY))
+    sig = reliable_checkpoint(M.signature_arrays(sets, FAMILY, digest=True))
     pairs = reliable_checkpoint(L.candidate_pairs(sig, BANDS, ROWS))
     v = L.verify_pairs(pairs, sets, sig)
     return v.select("set_a", "set_b", round6("jaccard").alias("jaccard"), round6("signature_similarity").alias("signature_similarity"))

@@ -200,3 +200,20 @@ def test_candidate_pairs_are_complete_in_a_bucket(spark):
     sig = spark.createDataFrame([(1, [1, 1, 1, 1]), (2, [1, 1, 2, 2]), (3, [1, 1, 2, 3]), (4, [1, 1, 2, 3]), (5, [9, 9, 9, 9])], "set_id bigint, sig array<bigint>")
     got = sorted(tuple(r) for r in L.candidate_pairs(sig, 2, 2).collect())
     assert got == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_different_sets_of_one_signature_are_candidates(spark):
+    """Near copies that agree on every hash are a pair of their own, and each meets the other sets; only equal sets are one member."""
+    family = M.hash_family(4)
+    a = set(range(1, 400))
+    low = [min((x * h + b) % (2**31 - 1) for x in a) for h, b in family]
+    more = [x for x in range(400, 5000) if all((x * h + b) % (2**31 - 1) > m for (h, b), m in zip(family, low, strict=True))][:2]
+    c = a - {min(a, key=lambda x: (x * family[0][0] + family[0][1]) % (2**31 - 1))}  # another signature, one band in common
+    sets = _sets_df(spark, [a, a | {more[0]}, a | set(more), c, a])
+    sig = M.signature_arrays(sets, family, digest=True)
+    assert len({tuple(r.sig) for r in sig.where("set_id <> 3").collect()}) == 1
+    pairs = L.candidate_pairs(sig, 2, 2)
+    assert sorted(tuple(r) for r in pairs.collect()) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3)]
+    got = {(r.set_a, r.set_b): (r.jaccard, r.signature_similarity) for r in L.verify_pairs(pairs, sets, sig).collect()}
+    assert got[1, 2] == (pytest.approx(400 / 401), 1.0) and got[0, 1] == (pytest.approx(399 / 400), 1.0)
+    assert sorted(tuple(r) for r in M.set_copies(sets).collect()) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 0)]
