@@ -68,7 +68,7 @@ def op10_substring_dedup(spark, sf_dir):
 
 @_query("op7_ngram_jaccard", sql.NGRAM_JACCARD)
 def op7_ngram_jaccard(spark, sf_dir):
-    return near_duplicate_components(table(spark, sf_dir, "documents")).drop("_part")
+    return near_duplicate_components(table(spark, sf_dir, "documents")).drop("_part", "_label")
 
 
 @_query("op3_suffix_dedup", sql.SUFFIX_DEDUP)

@@ -43,6 +43,7 @@ HOT = 4096
 FLUSH = 1 << 18
 KEPT = 100_000  # shingles of texts that a verifying task keeps
 SALTED = 1 << 31  # flag in ``pos``: the shingle's entries lie in several buckets
+NULL_ROW = 1 << 62  # flag in ``_part`` of a row whose id is null
 
 ENTRY = np.dtype([("h", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -223,6 +224,12 @@ def _in_bitmap(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
     return (bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1
 
 
+def row_part(text, null_id):
+    """62 bits of the text's hash, a null id flagged apart: with the id it names a row. A third of all rows may have a null
+    id and only this number to tell them apart, for which 32 bits are too few."""
+    return F.shiftrightunsigned(F.xxhash64(text.cast("binary")), 2) + F.when(null_id, F.lit(NULL_ROW)).otherwise(F.lit(0))
+
+
 def _row_key(i, p):
     return F.xxhash64(i, p)
 
@@ -338,9 +345,14 @@ def linked_classes(texts: DataFrame, classes: DataFrame, entries: DataFrame, n:
 
 
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
-    """id, n_shingles, component_id of every row (and _part, the CRC of its text, to tell rows of one id apart)."""
+    """id, n_shingles, component_id of every row, _part (of its text, to tell rows of one id apart) and _label.
+
+    ``_label`` is the component itself (null for texts without words); its ``component_id`` is null for every component of
+    null ids and may be shared where one id has several texts.
+    """
     buckets = bucket_count(docs.count())
     texts = keyed_texts(docs, id_col, text_col, buckets)
+    texts = texts.withColumn("_part", row_part(F.col("_text"), F.col("_part") >= F.lit(NULL_ID)))
     scanned = _scan_classes(texts, n)
     rows = scanned.where("kind = 0").select("_id", "_part", "cls", "n", "bits")
     cells = _merged_cells(scanned)
@@ -352,28 +364,27 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     x = rows.select("_id", "_part", "cls", "n")
     lab = labels.select(F.col("node").alias("cls"), F.col("label"))
     x = x.join(lab, "cls", "left").withColumn("cls", F.coalesce("label", "cls")).drop("label")
-    real = F.when(F.col("_part") < F.lit(NULL_ID), F.col("_id"))
+    real = F.when(F.col("_part") < F.lit(NULL_ROW), F.col("_id"))
     comp = reliable_checkpoint(x.where("cls IS NOT NULL").groupBy("cls").agg(F.min(real).alias("component")))
     x = x.join(comp, "cls", "left")
     t = dict(docs.dtypes)[id_col]
     return x.select(
         real.cast(t).alias(id_col), F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("cls").isNull(), real).otherwise(F.col("component")).cast(t).alias("component_id"), "_part",
+        F.when(F.col("cls").isNull(), real).otherwise(F.col("component")).cast(t).alias("component_id"), "_part", F.col("cls").alias("_label"),
     )
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each component does: the one of the smallest id.
+    """The rows of ``docs`` that stay when one document of each component does: the one of the smallest id (a null id is the largest).
 
-    Among repeated rows of that id, the row of the smallest text CRC stays. Texts without words all stay.
+    Among repeated rows of that id, the row of the smallest text hash stays. Texts without words all stay.
     """
-    c = near_duplicate_components(docs, id_col, text_col, n, percent).select(F.col(id_col).alias("_i"), "n_shingles", F.col("component_id").alias("_c"), "_part")
-    first = c.where("n_shingles > 0").groupBy("_c").agg(F.min(F.struct((~F.col("_i").eqNullSafe(F.col("_c"))).alias("o"), F.col("_i").alias("i"), F.col("_part").alias("p"))).alias("k"))
+    c = near_duplicate_components(docs, id_col, text_col, n, percent).select(F.col(id_col).alias("_i"), "_part", "_label")
+    first = c.where("_label IS NOT NULL").groupBy("_label").agg(F.min(F.struct(F.col("_i").isNull().alias("o"), F.col("_i").alias("i"), F.col("_part").alias("p"))).alias("k"))
     keep = first.select(F.col("k.i").alias("__ki"), F.col("k.p").alias("__kp"))
-    null = F.col(id_col).isNull()
-    part = F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)) + F.when(null, F.lit(NULL_ID)).otherwise(F.lit(0))
+    part = row_part(F.col(text_col), F.col(id_col).isNull())
     has_word = F.coalesce(F.length(F.translate(F.col(text_col), " \t\n\x0b\x0c\r", "")) > 0, F.lit(False))
-    x = docs.select(*docs.columns, part.cast("bigint").alias("__dp"), has_word.alias("__dw"))
+    x = docs.select(*docs.columns, part.alias("__dp"), has_word.alias("__dw"))
     worded = x.where("__dw").join(keep, F.col(id_col).eqNullSafe(F.col("__ki")) & (F.col("__dp") == F.col("__kp")), "left_semi")
     worded = worded.dropDuplicates(["__dp", id_col])
     return worded.union(x.where("NOT __dw")).select(*docs.columns)

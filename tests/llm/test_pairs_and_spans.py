@@ -132,6 +132,20 @@ def test_one_document_of_each_component_stays(docs, rows):
     assert len(got) - len(worded) == sum(1 for _, t, _ in rows if not WORD.search(t or ""))
 
 
+def test_unrelated_texts_of_null_or_repeated_ids_stay(spark):
+    """Components, not their smallest ids, are thinned: null ids and one id with two texts name several components."""
+    text = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    crc = ["tc50963c80102", "td3f504638284"]  # two texts of one CRC-32
+    data = [(None, text("a")), (None, text("b")), (None, text("b") + " more"), (7, text("c")), (7, text("d")), (9, text("d")), (None, text("e")), (8, text("e"))]
+    data += [(None, t) for t in crc]
+    got = one_per_component(spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in got), key=key)
+    b = {t for i, t in got if i is None and t.startswith("b0")}
+    assert len(b) == 1 and b <= {text("b"), text("b") + " more"}
+    want = [(None, text("a")), (None, b.pop()), (7, text("c")), (7, text("d")), (8, text("e")), *((None, t) for t in crc)]
+    assert got == sorted(want, key=key)
+
+
 def test_near_copies_in_one_group(spark):
     """Many near copies of one text: one component, whatever their number of pairs."""
     base = [f"t{i}" for i in range(80)]
