@@ -88,7 +88,7 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
 
 @dataclass
 class Mix:
-    """sizes: _id, _tie, _occ, src, size, start, source_size, target. slots: shard, src, block. pieces: src, start, block, at, words, times."""
+    """sizes: _id, _source, _tie, _occ, src, size, start, source_size, target. slots: shard, src, block. pieces: src, start, block, at, words, times."""
 
     sizes: DataFrame
     slots: DataFrame
@@ -130,7 +130,7 @@ def plan_mix(
     )
     b = F.broadcast(table.withColumnRenamed("_source", "_bsource"))  # at most MAX_SOURCES rows
     n_salts = max(1, -(-sum(r["n"] for r in per) // salt_rows))
-    x = rows.join(b, F.col("_source").eqNullSafe(F.col("_bsource"))).drop("_bsource", "_source")
+    x = rows.join(b, F.col("_source").eqNullSafe(F.col("_bsource"))).drop("_bsource")
     x = x.withColumn("_salt", F.pmod(F.xxhash64("_id", "_tie", F.lit(seed)), F.lit(n_salts)))
     w = Window.partitionBy("src", "_salt").orderBy("_id", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     occ = F.row_number().over(Window.partitionBy("src", "_salt", "_id", "_tie").orderBy("_id"))
@@ -215,19 +215,20 @@ def taken_words(mix: Mix, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mixed_documents(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as documents: each row's text becomes its taken words (pass after pass, joined by one space).
 
+    A row meets its pieces by id, source, text hash and its number among the rows that agree in all three.
     Rows of which nothing is taken go. Other columns stay as they are; an ``n_chars`` column is counted anew.
     """
     piece = F.struct("at", "words", "times")
     t = mix.pieces.groupBy("src", "start").agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
     keyed = mix.sizes.where("size > 0").join(t, ["src", "start"]).select(
-        F.col("_id").alias("__kid"), F.col("_tie").alias("__ktie"), F.col("_occ").alias("__kocc"), F.col("_pieces").alias("__pieces")
+        F.col("_id").alias("__kid"), F.col("_source").alias("__ksource"), F.col("_tie").alias("__ktie"), F.col("_occ").alias("__kocc"), F.col("_pieces").alias("__pieces")
     )
-    x = docs.select(*docs.columns, F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col)).alias("__tie"))
-    x = x.withColumn("__occ", F.row_number().over(Window.partitionBy("__id", "__tie").orderBy("__id")))
-    same = F.col("__id").eqNullSafe(F.col("__kid")) & (F.col("__tie") == F.col("__ktie")) & (F.col("__occ") == F.col("__kocc"))
+    x = docs.select(*docs.columns, F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.xxhash64(F.col(text_col)).alias("__tie"))
+    x = x.withColumn("__occ", F.row_number().over(Window.partitionBy("__id", "__source", "__tie").orderBy("__id")))
+    same = F.col("__id").eqNullSafe(F.col("__kid")) & F.col("__source").eqNullSafe(F.col("__ksource")) & (F.col("__tie") == F.col("__ktie")) & (F.col("__occ") == F.col("__kocc"))
     x = x.join(keyed, same)
     pieces = F.col("__pieces")
 

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestar.llm import catalog
@@ -71,6 +72,18 @@ def test_source_mix(docs, rows):
     assert words == sorted(k for *_, k in got if k)
 
 
+def test_mix_of_one_row_under_two_sources(spark):
+    """Rows of one id and text under several sources (a null one too) keep the words taken of their own source."""
+    text = " ".join(f"w{i}" for i in range(200))
+    data = [(1, text, "a"), (1, text, "b"), (1, text, None), (1, text, "b"), (None, text, "a"), (None, text, "b")]
+    d = spark.createDataFrame(data, "doc_id bigint, text string, source string").repartition(3)
+    mix = plan_mix(d)
+    want = mix.sizes.select("_source", "src", "start").join(mix.pieces.selectExpr("src", "start", "words * times AS n"), ["src", "start"])
+    want = sorted(((r["_source"], r["k"]) for r in want.groupBy("_source", "start").agg(F.sum("n").alias("k")).collect()), key=key)
+    got = mixed_documents(d, mix).collect()
+    assert sorted(((r["source"], len(r["text"].split())) for r in got), key=key) == want and len({s for s, _ in want}) == 3
+
+
 def test_mix_parts():
     assert share_targets([10, 1000, 1000], [5, 2, 1]).tolist() == [30, 1320, 660]
     blocks, slots = slot_counts([10, 0, 1000], [30.0, 0.0, 1500.0], 64)
