@@ -15,6 +15,7 @@ from .mixing import plan_mix, taken_words
 from .ngram_join import near_duplicate_components
 from .quality_classifier import quality_scores
 from .quality_rules import judge_documents
+from .source_divergence import source_divergence
 from .substring_dedup import remove_repeated_windows
 from .suffix_dedup import remove_repeated_bytes
 from .token_output import token_table
@@ -102,6 +103,11 @@ def op8_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query("op13_source_divergence", sql.SOURCE_DIVERGENCE)
+def op13_source_divergence(spark, sf_dir):
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 @_query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

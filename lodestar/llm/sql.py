@@ -135,3 +135,42 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(cov.n, 0)::BIGINT AS n_hit,
   sha256(coalesce(it.t, '')) AS items_sha256, coalesce(cov.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), t AS (
+  SELECT rid, lang, source, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 3
+), v AS (
+  SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term
+), own AS (
+  SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source
+), p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (coalesce(own.n, 0) + v.v))::HUGEINT AS p,
+    (1 + (1000000000::HUGEINT * (kept.n + 1)) // (v.n + v.v))::HUGEINT AS q
+  FROM g JOIN v ON v.lang = g.lang JOIN kept ON kept.lang = g.lang
+  LEFT JOIN own ON own.lang = g.lang AND own.source = g.source
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM part)
+WHERE part = 'pair' OR rank <= 200
+"""
