@@ -9,12 +9,14 @@ import corpus_pipeline
 
 from ..sources.tables import table
 from . import sql
+from .collocations import collocations
 from .decontaminate import contamination
 from .language_id import predict_languages
 from .mixing import plan_mix, taken_words
 from .ngram_join import near_duplicate_components
 from .quality_classifier import quality_scores
 from .quality_rules import judge_documents
+from .secret_scan import secret_digest
 from .source_divergence import source_divergence
 from .substring_dedup import remove_repeated_windows
 from .suffix_dedup import remove_repeated_bytes
@@ -103,6 +105,16 @@ def op8_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query("op11_collocations", sql.COLLOCATIONS)
+def op11_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@_query("op12_secret_scan", sql.SECRET_SCAN)
+def op12_secret_scan(spark, sf_dir):
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 @_query("op13_source_divergence", sql.SOURCE_DIVERGENCE)
 def op13_source_divergence(spark, sf_dir):
     return source_divergence(table(spark, sf_dir, "documents"))

@@ -4,8 +4,8 @@ Terms are runs of letters and non-ASCII characters, A-Z lower-cased. A language
 (language, source) group gives each kept term p = 1 + floor(10^9 (count + 1) / (N + V)).
 
 1. *Counts.* Every worker counts (group, term) over many texts before the shuffle; partial sums follow.
-2. *Trees.* Kept terms get dense ids, frequent ones first. ``BLOCK`` consecutive ids are a subtree; one task holds the subtrees of two
-   tiles of at most ``TILE`` sources. A node is named by its two children (a leaf by its count), so identical count subtrees are one
+2. *Trees.* Kept terms get dense ids, frequent ones first. ``block`` consecutive ids are a subtree; one task holds the subtrees of two
+   tiles of at most ``tile`` sources. A node is named by its two children (a leaf by its count), so identical count subtrees are one
    node whichever source or place they belong to: the empty tail of a small source is one node a level.
 3. *Traversal.* All pairs of sources of the two tiles descend together, level by level. Equal (pair, node, node) triples merge and carry their
    number, so each is expanded once and each pair of counts is priced once, however often it occurs; prices are exact integers.
@@ -152,7 +152,7 @@ def _block(sid, total, tile, counts, pos, size: int, own_tiles: bool, top: int):
     out_a, out_b, out_v = [], [], []
     if len(a):
         pair, la, lb, times = meet(levels, root[a], root[b])
-        times = times - (BLOCK - size) * ((leaf[la] == 0) & (leaf[lb] == 0))
+        times = times - (counts.shape[1] - size) * ((leaf[la] == 0) & (leaf[lb] == 0))
         p, q = mass(leaf[la], total[a[pair]]), mass(leaf[lb], total[b[pair]])
         at = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
         for x, y, v in ((a, b, price(p, q)), (b, a, price(q, p))):
@@ -180,7 +180,7 @@ def _block(sid, total, tile, counts, pos, size: int, own_tiles: bool, top: int):
     return out_a, out_b, out_v, terms
 
 
-def _trees(base: DataFrame, top: int) -> DataFrame:
+def _trees(base: DataFrame, terms_a_block: int, top: int) -> DataFrame:
     """(lang, a, b, term, value): the blocks' sums for pairs (term null) and their best terms (b null)."""
     schema = pa.schema([("lang", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("term", pa.int64()), ("value", pa.int64())])
 
@@ -188,11 +188,12 @@ def _trees(base: DataFrame, top: int) -> DataFrame:
         lang, block, ti, tj = (k.as_py() for k in key)
         sid, total, tile = (table[c].to_numpy().astype(np.int64) for c in ("sid", "total", "tile"))
         cell = table["cells"].combine_chunks()
-        counts = np.zeros((len(sid), BLOCK), dtype=np.int64)
+        counts = np.zeros((len(sid), terms_a_block), dtype=np.int64)
         flat = cell.flatten()
         row = np.repeat(np.arange(len(sid)), np.asarray(cell.value_lengths().fill_null(0)))
         counts[row, flat.field("pos").to_numpy()] = flat.field("n").to_numpy()
-        a, b, v, terms = _block(sid, total, tile, counts, block * BLOCK, min(BLOCK, table["v"][0].as_py() - block * BLOCK), ti == tj, top)
+        pos = block * terms_a_block
+        a, b, v, terms = _block(sid, total, tile, counts, pos, min(terms_a_block, table["v"][0].as_py() - pos), ti == tj, top)
         out = []
         if a:
             n = sum(map(len, a))
@@ -210,9 +211,15 @@ def _trees(base: DataFrame, top: int) -> DataFrame:
 
 
 def source_divergence(
-    docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = 3, top: int = 200
+    docs: DataFrame, lang_col: str = "lang", source_col: str = "source", text_col: str = "text", min_docs: int = 3, top: int = 200,
+    block: int = BLOCK, tile: int = TILE,
 ) -> DataFrame:
-    """lang, source, part, item, value, rank: divergence of each source from its language's others (``pair``) and its ``top`` over-used terms."""
+    """lang, source, part, item, value, rank: divergence of each source from its language's others (``pair``) and its ``top`` over-used terms.
+
+    ``block`` terms (a power of two) and two tiles of ``tile`` sources meet in one task.
+    """
+    if block < 2 or block & (block - 1):
+        raise ValueError("block must be a power of two")
     counts = reliable_checkpoint(term_counts(docs, lang_col, source_col, text_col))
     kept = counts.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).where(F.col("df") >= min_docs)
     kept = reliable_checkpoint(global_row_number(kept, ["lang", F.col("n").desc(), "term"], "at"))
@@ -233,15 +240,15 @@ def source_divergence(
     totals = used.groupBy("lang", "sid").agg(F.sum("n").alias("own"))
     trees = groups.select("lang", "sid", "sources", "v").unionByName(langs.select("lang", F.lit(LANGUAGE).cast("bigint").alias("sid"), "sources", "v"))
     trees = trees.where("v > 0").join(totals, ["lang", "sid"], "left")
-    trees = trees.select("lang", "sid", (F.coalesce("own", F.lit(0)) + F.col("v")).alias("total"), "sources", "v", F.explode(F.expr(f"sequence(0L, (v - 1) div {BLOCK})")).alias("block"))
-    cells = used.groupBy("lang", "sid", F.expr(f"tid div {BLOCK}").alias("block")).agg(
-        F.collect_list(F.struct(F.expr(f"cast(tid % {BLOCK} AS int)").alias("pos"), "n")).alias("cells")
+    trees = trees.select("lang", "sid", (F.coalesce("own", F.lit(0)) + F.col("v")).alias("total"), "sources", "v", F.explode(F.expr(f"sequence(0L, (v - 1) div {block})")).alias("block"))
+    cells = used.groupBy("lang", "sid", F.expr(f"tid div {block}").alias("block")).agg(
+        F.collect_list(F.struct(F.expr(f"cast(tid % {block} AS int)").alias("pos"), "n")).alias("cells")
     )
     base = trees.join(cells, ["lang", "sid", "block"], "left")
-    tiles = F.expr(f"sequence(0L, (sources - 1) div {TILE})")
-    base = base.withColumn("tile", F.expr(f"CASE WHEN sid < 0 THEN -1L ELSE sid div {TILE} END")).withColumn("u", F.explode(tiles))
+    tiles = F.expr(f"sequence(0L, (sources - 1) div {tile})")
+    base = base.withColumn("tile", F.expr(f"CASE WHEN sid < 0 THEN -1L ELSE sid div {tile} END")).withColumn("u", F.explode(tiles))
     base = base.withColumn("ti", F.expr("CASE WHEN sid < 0 THEN u ELSE least(tile, u) END")).withColumn("tj", F.expr("CASE WHEN sid < 0 THEN u ELSE greatest(tile, u) END"))
-    found = reliable_checkpoint(_trees(base.select("lang", "block", "ti", "tj", "sid", "total", "tile", "v", "cells"), top))
+    found = reliable_checkpoint(_trees(base.select("lang", "block", "ti", "tj", "sid", "total", "tile", "v", "cells"), block, top))
 
     names = groups.select("lang", "sid", "source")
     sums = found.where("term IS NULL").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))

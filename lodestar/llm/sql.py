@@ -174,3 +174,86 @@ SELECT lang, source, part, item, value, rank::INTEGER AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM part)
 WHERE part = 'pair' OR rank <= 200
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+COLLOCATIONS = rf"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+), f1 AS (
+  SELECT lang, w, count(*) AS a FROM (SELECT lang, unnest(w) AS w FROM p) GROUP BY lang, w
+), n AS (
+  SELECT lang, sum(a) AS n FROM f1 GROUP BY lang
+), f2 AS (
+  SELECT lang, w[r.i] AS w1, w[r.i + 1] AS w2, count(*) AS a FROM p, unnest(range(1, len(w))) AS r(i) GROUP BY lang, w1, w2 HAVING count(*) >= 10
+), f3 AS (
+  SELECT lang, w[r.i] AS w1, w[r.i + 1] AS w2, w[r.i + 2] AS w3, count(*) AS a FROM p, unnest(range(1, len(w) - 1)) AS r(i)
+  GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10
+), long AS (
+  SELECT lang, w1, w2, max(a) AS m FROM (SELECT lang, w1, w2, a FROM f3 UNION ALL SELECT lang, w2, w3, a FROM f3) GROUP BY lang, w1, w2
+), c AS (
+  SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.a, x.a AS l, y.a AS r, (1000000::HUGEINT * f2.a * f2.a) // (x.a::HUGEINT * y.a) AS score
+  FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w = f2.w2
+  LEFT JOIN long ON long.lang = f2.lang AND long.w1 = f2.w1 AND long.w2 = f2.w2
+  WHERE m IS NULL OR 100 * m < 50 * f2.a
+  UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+  FROM (
+    SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.a, x.a AS l1, yz.a AS r1, xy.a AS l2, z.a AS r2,
+      (1000000::HUGEINT * f3.a * f3.a) // (x.a::HUGEINT * yz.a) AS s1, (1000000::HUGEINT * f3.a * f3.a) // (xy.a::HUGEINT * z.a) AS s2
+    FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w = f3.w1 JOIN f1 z ON z.lang = f3.lang AND z.w = f3.w3
+    JOIN f2 xy ON xy.lang = f3.lang AND xy.w1 = f3.w1 AND xy.w2 = f3.w2 JOIN f2 yz ON yz.lang = f3.lang AND yz.w1 = f3.w2 AND yz.w2 = f3.w3
+  )
+), k AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c
+)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM k JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+_NAMED = r"""["'']?\x20*[:=]\x20*["'']?([a-z0-9+/_.=-]+)"""
+#: kind -> (text, pattern, the group whose length counts, least length)
+_PARTS = {
+    "assign": ("low", "(password|passwd|secret|token|api_?key)" + _NAMED, 2, 6),
+    "access": ("t", "AKIA[A-Z0-9]+", 0, 20),
+    "hex": ("t", "[0-9a-f]{24,}", 0, 24),
+    "ident": ("low", "(access_?key_?id|client_?id|user_?name|account_?id|login)" + _NAMED, 2, 4),
+    "key": ("t", "[A-Za-z0-9+/_=-]{20,}", 0, 20),
+    "endpoint": ("low", r"""[a-z][a-z0-9+.-]*://[^\x00-\x20"''<>\\^`{|}\x7F]+""", 0, 0),
+}
+_FOUND = "\n  UNION ALL ".join(
+    f"SELECT rid, '{kind}' AS kind, {k} AS k, {least} AS least, regexp_extract_all({t}, '{pattern}') AS m, regexp_extract_all({t}, '{pattern}', {group}) AS v, "
+    f"regexp_split_to_array({t}, '{pattern}') AS s FROM d"
+    for k, (kind, (t, pattern, group, least)) in enumerate(_PARTS.items())
+)
+SECRET_SCAN = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, {_LOWER} AS low FROM documents
+), m AS (
+  {_FOUND}
+), i AS (
+  SELECT rid, kind, k, least, unnest(m) AS x, unnest(v) AS v, unnest(s[1 : len(m)]) AS s, generate_subscripts(m, 1) AS i FROM m WHERE len(m) > 0
+), span AS (
+  SELECT rid, kind, k, least, v, x, (sum(length(s)) OVER w + sum(length(x)) OVER w)::BIGINT AS b FROM i WINDOW w AS (PARTITION BY rid, kind ORDER BY i)
+), part AS (
+  SELECT rid, kind, k, x, b - length(x) AS a, b FROM span WHERE length(v) >= least
+), free AS (
+  SELECT * FROM part p WHERE kind <> 'key' OR (regexp_matches(x, '[A-Z]') AND regexp_matches(x, '[a-z]') AND regexp_matches(x, '[0-9]')
+    AND NOT EXISTS (SELECT 1 FROM part o WHERE o.rid = p.rid AND o.kind IN ('assign', 'access', 'hex', 'endpoint') AND o.a < p.b AND o.b > p.a))
+), scoped AS (
+  SELECT f.*, len(string_split(substr(t, 1, a), chr(10) || chr(10))) AS scope FROM free f JOIN d USING (rid)
+), meet AS (
+  SELECT p.rid, p.kind, p.k, p.a, p.b, bool_or(o.kind IN ('access', 'ident')) AS ident, bool_or(o.kind IN ('assign', 'hex', 'key')) AS secret
+  FROM scoped p JOIN scoped o ON o.rid = p.rid AND o.scope = p.scope AND o.kind <> p.kind AND o.a <= p.b + 200 AND o.b >= p.a - 200
+  WHERE p.k >= 3 GROUP BY p.rid, p.kind, p.k, p.a, p.b
+), found AS (
+  SELECT rid, kind, k, a, b FROM part WHERE k < 3
+  UNION ALL
+  SELECT rid, kind, k, a, b FROM meet WHERE (kind = 'ident' AND secret) OR (kind = 'key' AND ident) OR (kind = 'endpoint' AND ident AND secret)
+)
+SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k) FILTER (k < 3), '')) AS base_sha256,
+  coalesce(string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k), '') AS spans
+FROM d LEFT JOIN found USING (rid) GROUP BY rid, doc_id
+"""
