@@ -122,21 +122,27 @@ def sgd_step(batch: DataFrame, item_f: DataFrame, user_f: DataFrame, k: int, lr:
 
     e = r - U[i].V[u]; U[i] += lr*(2/B)*sum_u e*V[u], V[u] += lr*(2/B)*sum_i e*U[i], both from the old
     values; with reg every row of both tables first shrinks by (1 - 2*lr*reg), in the batch or not.
-    Gradients are k sums in one aggregate per side; the update is a left join onto all factor rows.
+    Gradients are k sums in one aggregate over both sides; the update is a left join onto all factor rows.
     """
     n = batch.select(F.count(F.lit(1))).scalar()
     # the error is scaled by lr*2/B once per rating row, so the batch-size subquery appears in one place
     scaled = (F.col("rating") - _dot(k, "u", "v")) * (F.lit(2.0 * lr) / n)
     j = _with_factors(batch, item_f, user_f, k).withColumn("_e", scaled)
-    g_item = j.groupBy(F.col("item_id").alias("id")).agg(*[F.sum(F.col("_e") * F.col(f"v{i}")).alias(f"_g{i}") for i in range(k)])
-    g_user = j.groupBy(F.col("user_id").alias("id")).agg(*[F.sum(F.col("_e") * F.col(f"u{i}")).alias(f"_g{i}") for i in range(k)])
+
+    def part(side, other):
+        g = [(F.col("_e") * F.col(f"{other}{i}")).alias(f"_g{i}") for i in range(k)]
+        return F.struct(F.lit(side).alias("_side"), F.col(f"{side}_id").alias("id"), *g)
+
+    # both gradients come from one pass over the joined rows, written before the two updates read them
+    parts = j.select(F.inline(F.array(part("item", "v"), part("user", "u"))))
+    grads = reliable_checkpoint(parts.groupBy("_side", "id").agg(*[F.sum(f"_g{i}").alias(f"_g{i}") for i in range(k)]))
     shrink = F.lit(1.0 - 2.0 * lr * reg)
 
-    def update(fac, g):
-        x = fac.join(g, "id", "left")
+    def update(fac, side):
+        x = fac.join(grads.where(F.col("_side") == side).drop("_side"), "id", "left")
         return x.select("id", *[(F.col(f) * shrink + F.coalesce(F.col(f"_g{i}"), F.lit(0.0))).alias(f) for i, f in enumerate(fcols(k))])
 
-    return update(item_f, g_item), update(user_f, g_user)
+    return update(item_f, "item"), update(user_f, "user")
 
 
 def learning_rate(epoch: int, fixed: float | None = None, initial: float = 1.0, decay: float = 0.99, steps: int = 2) -> float:
@@ -155,50 +161,21 @@ class FitConfig:
     lr_decay: float = 0.99
     lr_steps: int = 2
     seed: int = 42
+    normalize: str = "batch"  # or "row", see ``training``
 
 
 def fit_factors(train: DataFrame, valid: DataFrame, item_f: DataFrame, user_f: DataFrame, cfg: FitConfig):
-    """Mini-batch gradient descent: a few large batches per epoch (batch = rank mod batches), factor
-    tables cut from their lineage by reliable ``checkpoint()`` after every step. Returns the factors and
-    a report DataFrame (epoch, lr, train_loss, valid_mse); losses are per-epoch scalars on the driver.
-    """
-    spark = train.sparkSession
-    from ..session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
-    report = []
-    tb = train.withColumn("_batch", F.pmod(F.col("rank"), F.lit(cfg.batches_per_epoch)))
-    for epoch in range(cfg.epochs):
-        lr = learning_rate(epoch, cfg.fixed_lr, cfg.lr_initial, cfg.lr_decay, cfg.lr_steps)
-        losses = []
-        for b in range(cfg.batches_per_epoch):
-            batch = tb.where(F.col("_batch") == b).drop("_batch")
-            loss = mse(predict(batch, item_f, user_f, cfg.k)).first()["mse"]
-            if cfg.reg:
-                sq = sum(
-                    fac.select(sum((F.col(f) ** 2 for f in fcols(cfg.k)), F.lit(0.0)).alias("_q")).agg(F.sum("_q")).first()[0]
-                    for fac in (item_f, user_f)
-                )
-                loss += cfg.reg * sq
-            losses.append(loss)
-            # both new tables refer to both old ones: uncut, the plan would triple with every step
-            item_f, user_f = (reliable_checkpoint(f) for f in sgd_step(batch, item_f, user_f, cfg.k, lr, cfg.reg))
-        vm = mse(predict(valid, item_f, user_f, cfg.k)).first()["mse"]
-        report.append((epoch, float(lr), float(sum(losses) / len(losses)), float(vm) if vm is not None else None))
-    rep = spark.createDataFrame(report, "epoch INT, lr DOUBLE, train_loss DOUBLE, valid_mse DOUBLE")
-    return item_f, user_f, rep
+    """Mini-batch gradient descent (``training.fit_factors``): the factors of both sides and a report (epoch, lr, train_loss, valid_mse)."""
+    from . import training
+
+    return training.fit_factors(train, valid, item_f, user_f, cfg)
 
 
 def grid_search(train, valid, item_f, user_f, lrs: Sequence[float], regs: Sequence[float], cfg: FitConfig) -> DataFrame:
-    """Validation MSE for every (lr, reg); the best pair is the row of ``min_by``."""
-    spark = train.sparkSession
-    rows = []
-    for lr in lrs:
-        for reg in regs:
-            c = FitConfig(**{**cfg.__dict__, "fixed_lr": lr, "reg": reg})
-            _, _, rep = fit_factors(train, valid, item_f, user_f, c)
-            rows.append((float(lr), float(reg), rep.orderBy(F.col("epoch").desc()).first()["valid_mse"]))
-    return spark.createDataFrame(rows, "lr DOUBLE, reg DOUBLE, valid_mse DOUBLE")
+    """Validation MSE for every (lr, reg), all trained in the same passes; ``training.grid_search`` also refits the best pair."""
+    from . import training
+
+    return training.grid_search(train, valid, item_f, user_f, lrs, regs, cfg).report.select("lr", "reg", "valid_mse")
 
 
 def dense_ids(df: DataFrame, column: str) -> DataFrame:

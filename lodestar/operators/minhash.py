@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,13 +57,13 @@ def signature_arrays(
 
     One aggregate with K min() columns keyed by set: one hash-table lookup per element row, partial
     aggregation before the shuffle, no K-fold row explosion. Empty sets have no rows (their signature
-    would be +infinity everywhere). ``digest`` adds a column ``digest`` (see ``digest_columns``) from the
+    would be +infinity everywhere). ``digest`` adds the number of elements ``n`` and a column ``digest`` (see ``digest_columns``) from the
     same aggregate: equal signatures say that two sets are similar, equal digests that they are equal.
     """
     mins = [F.min(linear_hash(F.col("element"), a, b, p, n)).alias(f"_h{i}") for i, (a, b) in enumerate(hashes)]
     agg = sets.groupBy("set_id").agg(*mins, *(digest_columns() if digest else []))
     sig = F.array(*[F.col(f"_h{i}") for i in range(len(hashes))]).alias("sig")
-    return agg.select("set_id", sig, *([_digest()] if digest else []))
+    return agg.select("set_id", sig, *([F.col("_dn").alias("n"), _digest()] if digest else []))
 
 
 def digest_columns() -> list:
@@ -77,13 +79,18 @@ def _digest():
     return F.struct("_dn", "_d0", "_d1").alias("digest")
 
 
+def set_digests(sets: DataFrame) -> DataFrame:
+    """(set_id, digest) of every set."""
+    return sets.groupBy("set_id").agg(*digest_columns()).select("set_id", _digest())
+
+
 def set_copies(sets: DataFrame) -> DataFrame:
     """(set_id, representative) of every set: the smallest set_id with the same elements.
 
-    The representatives are written before the join, so that the join of a large group of copies is split.
+    ``sets`` is (set_id, element), or (set_id, digest) that is already written. The representatives are written before the join, so that
+    the join of a large group of copies is split.
     """
-    d = sets.groupBy("set_id").agg(*digest_columns()).select("set_id", _digest())
-    d = reliable_checkpoint(d)
+    d = sets.select("set_id", "digest") if "digest" in sets.columns else reliable_checkpoint(set_digests(sets))
     rep = reliable_checkpoint(d.groupBy("digest").agg(F.min("set_id").alias("representative")))
     return d.join(rep, "digest").select("set_id", "representative")
 
@@ -124,8 +131,8 @@ def jaccard_pairs(sets: DataFrame, tile_rows: int = 2048) -> DataFrame:
     return out.select("set_a", "set_b", "intersection", union.alias("union_size"), safe_div(F.col("intersection"), union).alias("jaccard"))
 
 
-def pair_jaccard(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Exact Jaccard for the given (set_a, set_b) pairs only: each pair meets the elements of its two sets."""
+def pair_overlap(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(set_a, set_b, intersection, union_size) of the given pairs: each meets the elements of its two sets, row by row, so a set may be of any size."""
     a = pairs.join(sets.select(F.col("set_id").alias("set_a"), "element"), "set_a")
     b = sets.select(F.col("set_id").alias("set_b"), "element", F.lit(1).alias("_hit"))
     inter = a.join(b, ["set_b", "element"], "left").groupBy("set_a", "set_b").agg(F.count("_hit").alias("intersection"))
@@ -137,7 +144,53 @@ def pair_jaccard(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     )
     i = F.coalesce(F.col("intersection"), F.lit(0))
     union = F.coalesce(F.col("_na"), F.lit(0)) + F.coalesce(F.col("_nb"), F.lit(0)) - i
-    return out.select("set_a", "set_b", F.coalesce(safe_div(i, union), F.lit(0.0)).alias("jaccard"))
+    return out.select("set_a", "set_b", i.alias("intersection"), union.alias("union_size"))
+
+
+def pair_jaccard(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Exact Jaccard for the given (set_a, set_b) pairs only (0 for two empty sets)."""
+    o = pair_overlap(sets, pairs)
+    return o.select("set_a", "set_b", F.coalesce(safe_div(F.col("intersection"), F.col("union_size")), F.lit(0.0)).alias("jaccard"))
+
+
+def named_sets(pairs: DataFrame) -> DataFrame:
+    """(set_id) of every set that a pair names."""
+    return pairs.select(F.explode(F.array("set_a", "set_b")).alias("set_id")).distinct()
+
+
+def array_overlap(arrays: DataFrame, pairs: DataFrame, total: int, tile_elements: int = 1 << 22) -> DataFrame:
+    """(set_a, set_b, intersection, union_size) of the given pairs from (set_id, elements ARRAY<BIGINT>, distinct elements).
+
+    Pairs are dealt into tiles (range of one set, range of the other), and a set travels once to every tile that has a pair of
+    it: a dense group of m sets ships each of them a few times, not m times. ``total`` is the number of elements of all named sets; it sets
+    the ranges so that a tile holds about ``tile_elements`` of them. Sets without an array are empty; of several arrays of one
+    set the union counts.
+    """
+    ranges = max(1, -(-2 * int(total) // tile_elements))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(ranges))
+    a, b = place("set_a"), place("set_b")
+    p = pairs.select("set_a", "set_b", F.least(a, b).alias("ti"), F.greatest(a, b).alias("tj"))
+    sent = p.select(F.col("ti").alias("si"), F.col("tj").alias("sj"), F.explode(F.array("set_a", "set_b")).alias("set_id")).distinct().join(arrays, "set_id")
+    schema = pa.schema([("set_a", pa.int64()), ("set_b", pa.int64()), ("intersection", pa.int64()), ("union_size", pa.int64())])
+    none = np.zeros(0, dtype=np.int64)
+
+    def tile(key, own, sets):
+        lists = sets["elements"].combine_chunks()
+        off, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+        values = {}
+        for i, s, e in zip(sets["set_id"].to_pylist(), off[:-1], off[1:], strict=True):
+            values[i] = np.union1d(values[i], flat[s:e]) if i in values else np.sort(flat[s:e])
+        get = lambda i: values.get(i, none)
+        left, right = own["set_a"].to_pylist(), own["set_b"].to_pylist()
+        n, both = [], []
+        for x, y in zip(left, right, strict=True):
+            u, v = get(x), get(y)
+            both.append(len(np.intersect1d(u, v, assume_unique=True)))
+            n.append(len(u) + len(v) - both[-1])
+        return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64()), pa.array(both, pa.int64()), pa.array(n, pa.int64())], schema=schema)
+
+    out = p.groupBy("ti", "tj").cogroup(sent.groupBy("si", "sj"))
+    return out.applyInArrow(tile, "set_a bigint, set_b bigint, intersection bigint, union_size bigint")
 
 
 def signature_agreement(sig: DataFrame, pairs: DataFrame) -> DataFrame:

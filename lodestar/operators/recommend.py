@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import safe_div
 from .groups import reliable_checkpoint
+from .pair_products import pair_products
 from .ratings import center_ratings
 from .similarity import similarity_to_user
 
@@ -62,12 +63,12 @@ def estimate_ratings(um: DataFrame, requests: DataFrame, k: int, include_self: b
 
     Similarity is the centred cosine (full norms, 0 when a norm is 0) between the requesting user and
     each rater of the requested item; the k most similar raters (ties: lower id) give the weighted mean.
-    Dot products come from one join on item of the requesters' centred rows with all centred rows,
-    kept only for the (requester, rater-of-requested-item) pairs (a semi join on the same keys as the
-    sum, so one shuffle); a hot item is split by AQE's skew join. No k-wide or pair-wide vector copies.
+    Dot products are formed only for the (requester, rater of a requested item) pairs, block by block
+    (``pair_products``): no row per common item, and a hot item or user costs its entries, not its pairs.
     Output: (user_id, item_id, estimate, n_neighbors).
     """
-    c = center_ratings(um).select("user_id", "item_id", "rating", "centered")
+    # read by the candidates, the norms and the products: written once
+    c = reliable_checkpoint(center_ratings(um).select("user_id", "item_id", "rating", "centered"))
     norms = c.groupBy("user_id").agg(F.sqrt(F.sum(F.col("centered") ** 2)).alias("_norm"))
     req = requests.select("user_id", "item_id").distinct()
     cand = req.join(
@@ -75,16 +76,11 @@ def estimate_ratings(um: DataFrame, requests: DataFrame, k: int, include_self: b
     )
     if not include_self:
         cand = cand.where(F.col("nb") != F.col("user_id"))
-    pairs = cand.select("user_id", "nb").distinct()
-    tv = c.join(req.select("user_id").distinct(), "user_id").select("user_id", "item_id", F.col("centered").alias("_tc"))
-    nv = c.select(F.col("user_id").alias("nb"), "item_id", F.col("centered").alias("_nc"))
-    # the pairs may be too many for a hash side in memory: the planner's merge join can spill both
-    dots = (
-        tv.join(nv, "item_id")
-        .join(pairs, ["user_id", "nb"], "left_semi")
-        .groupBy("user_id", "nb")
-        .agg(F.sum(F.col("_tc") * F.col("_nc")).alias("_dot"))
-    )
+    cand = reliable_checkpoint(cand)
+    pairs = reliable_checkpoint(cand.select("user_id", "nb").distinct())
+    vectors = c.select("user_id", "item_id", F.col("centered").alias("value"))
+    dots = pair_products(vectors, pairs.select(F.col("user_id").alias("user_a"), F.col("nb").alias("user_b")))
+    dots = dots.select(F.col("user_a").alias("user_id"), F.col("user_b").alias("nb"), F.col("dot").alias("_dot"))
     sims = (
         pairs.join(dots, ["user_id", "nb"], "left")
         .join(norms, "user_id")

@@ -5,6 +5,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
@@ -230,6 +231,22 @@ def q_pearson_pairs(spark, sf):
     return p.select("user_a", "user_b", round6("pearson_corr").alias("pearson_corr"), "n_common")
 
 
+@query("pair_correlations", f"""
+WITH {CENTER_SQL},
+q AS (SELECT c_custkey::BIGINT AS user_a, lead(c_custkey) OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey)::BIGINT AS user_b FROM customer),
+j AS (SELECT q.user_a, q.user_b, sum(a.centered * b.centered) AS xy, sum(a.centered * a.centered) AS xx, sum(b.centered * b.centered) AS yy, count(*) AS n
+      FROM q JOIN c a ON a.user_id = q.user_a JOIN c b ON b.user_id = q.user_b AND b.item_id = a.item_id GROUP BY 1, 2)
+SELECT q.user_a, q.user_b, round(xy / nullif(sqrt(xx) * sqrt(yy), 0), 6) AS pearson_corr, coalesce(n, 0)::BIGINT AS n_common
+FROM q LEFT JOIN j ON j.user_a = q.user_a AND j.user_b = q.user_b WHERE q.user_b IS NOT NULL""")
+def q_pair_correlations(spark, sf):
+    """Asked pairs: every customer and the next one of the same nation and segment."""
+    by = Window.partitionBy("c_nationkey", "c_mktsegment").orderBy("c_custkey")
+    key = F.col("c_custkey").cast("bigint")
+    asked = table(spark, sf, "customer").select(key.alias("user_a"), F.lead(key).over(by).alias("user_b")).where("user_b IS NOT NULL")
+    p = SIM.pair_correlations(shared_um(spark, sf), asked)
+    return p.select("user_a", "user_b", round6("pearson_corr").alias("pearson_corr"), "n_common")
+
+
 @query("topk_similar_users", f"""
 WITH {CENTER_SQL},
 t AS (SELECT item_id, centered AS tc FROM c WHERE user_id = {TARGET_USER}),

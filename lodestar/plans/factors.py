@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
 from ..operators import factors as FA
+from ..operators import training as TR
 from ..operators.groups import reliable_checkpoint
 from .cf import UM_SQL, shared_um
 from .registry import query
@@ -52,22 +51,17 @@ pred AS (SELECT r.user_id, r.item_id, r.rating, r.rank, sum(u.value * v.value) A
 
 def _step_sql(reg: float) -> str:
     shrink = 1.0 - 2.0 * LR * reg
-    shared = PRED_SQL
-    for cte in ("um", "fu", "fv", "ranked", "sp", "pred"):  # read several times: computed once
-        shared = re.sub(rf"\b{cte} AS \(", f"{cte} AS MATERIALIZED (", shared)
     return f"""
-WITH {shared},
-tr AS MATERIALIZED (SELECT * FROM pred JOIN sp USING (user_id, item_id) WHERE split = 'train'),
-bb AS (SELECT count(*) AS b FROM tr),
-gu AS (SELECT tr.item_id AS id, v.f, sum((tr.rating - tr.prediction) * v.value) AS g
-       FROM tr JOIN fv v ON v.id = tr.user_id GROUP BY 1, 2),
-gv AS (SELECT tr.user_id AS id, u.f, sum((tr.rating - tr.prediction) * u.value) AS g
-       FROM tr JOIN fu u ON u.id = tr.item_id GROUP BY 1, 2)
-SELECT side, id, f, round(value * {shrink!r} + ({2.0 * LR!r} / b) * coalesce(g, 0), 6) AS value
-FROM fu LEFT JOIN gu USING (id, f), bb
-UNION ALL
-SELECT side, id, f, round(value * {shrink!r} + ({2.0 * LR!r} / b) * coalesce(g, 0), 6) AS value
-FROM fv LEFT JOIN gv USING (id, f), bb"""
+WITH {SPLIT_SQL},
+er AS (SELECT r.user_id, r.item_id, r.rating - sum(u.value * v.value) AS e
+       FROM sp r JOIN fu u ON u.id = r.item_id JOIN fv v ON v.id = r.user_id AND v.f = u.f
+       WHERE r.split = 'train' GROUP BY r.user_id, r.item_id, r.rating),
+gr AS (SELECT 'item' AS side, er.item_id AS id, v.f, sum(er.e * v.value) AS g FROM er JOIN fv v ON v.id = er.user_id GROUP BY er.item_id, v.f
+       UNION ALL
+       SELECT 'user', er.user_id, u.f, sum(er.e * u.value) FROM er JOIN fu u ON u.id = er.item_id GROUP BY er.user_id, u.f),
+fa AS (SELECT * FROM fu UNION ALL SELECT * FROM fv)
+SELECT fa.side, fa.id, fa.f, round(fa.value * {shrink!r} + coalesce(gr.g, 0) * {2.0 * LR!r} / (SELECT count(*) FROM er), 6) AS value
+FROM fa LEFT JOIN gr ON gr.side = fa.side AND gr.id = fa.id AND gr.f = fa.f"""
 
 
 def factors(spark, sf):
@@ -149,6 +143,99 @@ def q_sgd_step_reg(spark, sf):
     return _step(spark, sf, REG)
 
 
+# ---------------------------------------------------------------- training loops
+
+K_FIT = 4
+FIT_BATCHES = 2
+FIT = FA.FitConfig(k=K_FIT, epochs=2, batches_per_epoch=FIT_BATCHES, reg=0.001, lr_initial=0.02, lr_decay=0.9, lr_steps=2)
+GRID_LRS, GRID_REGS = (0.005, 0.02), (0.0, 0.01)
+GRID_FIT = FA.FitConfig(k=K_FIT, epochs=1, batches_per_epoch=FIT_BATCHES, normalize="row")
+REFIT_EPOCHS = 2
+
+
+def _train_sql(points, epochs: int, normalize: str) -> str:
+    """CTEs of ``epochs`` epochs of ``FIT_BATCHES`` steps for the models ``points`` (epoch -> (lr, reg)): f{t} the factors after
+    step t, l{t} (model, loss) of its batch, m{epoch}_{part} (model, mse) after an epoch."""
+    own = lambda epoch: "(VALUES " + ", ".join(f"({m}, {p(epoch)[0]!r}, {p(epoch)[1]!r})" for m, p in enumerate(points)) + ") AS pt(model, lr, reg)"
+    out = [f"""{SPLIT_SQL},
+f0 AS (SELECT model, side, id, f, value FROM (SELECT * FROM fu UNION ALL SELECT * FROM fv), {own(0)} WHERE f < {K_FIT})"""]
+
+    def errors(t, where):
+        return f"""SELECT u.model, r.user_id, r.item_id, r.rating - sum(u.value * v.value) AS e
+  FROM sp r JOIN f{t} u ON u.side = 'item' AND u.id = r.item_id JOIN f{t} v ON v.side = 'user' AND v.id = r.user_id AND v.f = u.f AND v.model = u.model
+  WHERE {where} GROUP BY u.model, r.user_id, r.item_id, r.rating"""
+
+    t = 0
+    for epoch in range(epochs):
+        for b in range(FIT_BATCHES):
+            where = f"r.split = 'train' AND r.rank % {FIT_BATCHES} = {b}"
+            by = "g.n" if normalize == "row" else f"(SELECT count(*) FROM sp r WHERE {where})"
+            out.append(f"""e{t + 1} AS ({errors(t, where)}),
+l{t + 1} AS (SELECT pt.model, q + reg * s AS loss FROM {own(epoch)} JOIN (SELECT model, avg(e * e) AS q FROM e{t + 1} GROUP BY model) a ON a.model = pt.model
+  JOIN (SELECT model, sum(value * value) AS s FROM f{t} GROUP BY model) b ON b.model = pt.model),
+g{t + 1} AS (SELECT e.model, 'item' AS side, e.item_id AS id, v.f, sum(e.e * v.value) AS g, count(*) AS n
+  FROM e{t + 1} e JOIN f{t} v ON v.side = 'user' AND v.model = e.model AND v.id = e.user_id GROUP BY e.model, e.item_id, v.f
+  UNION ALL SELECT e.model, 'user', e.user_id, u.f, sum(e.e * u.value), count(*)
+  FROM e{t + 1} e JOIN f{t} u ON u.side = 'item' AND u.model = e.model AND u.id = e.item_id GROUP BY e.model, e.user_id, u.f),
+f{t + 1} AS (SELECT f.model, f.side, f.id, f.f, f.value * (1 - 2 * lr * reg) + coalesce(2 * lr * g.g / {by}, 0) AS value
+  FROM f{t} f JOIN {own(epoch)} ON pt.model = f.model LEFT JOIN g{t + 1} g ON g.model = f.model AND g.side = f.side AND g.id = f.id AND g.f = f.f)""")
+            t += 1
+        for part in ("valid", "test"):
+            out.append(f"m{epoch}_{part} AS (SELECT model, avg(e * e) AS mse FROM ({errors(t, f'r.split = {part!r}')}) GROUP BY model)")
+    return ",\n".join(out)
+
+
+def _rate(epoch):
+    return FA.learning_rate(epoch, None, FIT.lr_initial, FIT.lr_decay, FIT.lr_steps)
+
+
+def _report_sql(normalize: str) -> str:
+    rows = []
+    for epoch in range(FIT.epochs):
+        steps = range(epoch * FIT_BATCHES + 1, (epoch + 1) * FIT_BATCHES + 1)
+        mean = " + ".join(f"(SELECT loss FROM l{t})" for t in steps)
+        rows.append(f"SELECT {epoch} AS epoch, round({_rate(epoch)!r}::DOUBLE, 6) AS lr, round(({mean}) / {FIT_BATCHES}, 6) AS train_loss, round((SELECT mse FROM m{epoch}_valid), 6) AS valid_mse")
+    return f"WITH {_train_sql([lambda epoch: (_rate(epoch), FIT.reg)], FIT.epochs, normalize)}\n" + " UNION ALL ".join(rows)
+
+
+def _fit_report(spark, sf, normalize):
+    s, items, users = split(spark, sf)
+    s = reliable_checkpoint(s)
+    train, valid = (s.where(F.col("split") == x) for x in ("train", "valid"))
+    items, users = (f.select("id", *FA.fcols(K_FIT)) for f in (items, users))
+    _, _, report = FA.fit_factors(train, valid, items, users, FA.FitConfig(**{**FIT.__dict__, "normalize": normalize}))
+    return report.select("epoch", *[round6(c).alias(c) for c in ("lr", "train_loss", "valid_mse")])
+
+
+@query("fit_report", _report_sql("row"))
+def q_fit_report(spark, sf):
+    return _fit_report(spark, sf, "row")
+
+
+@query("fit_report_batch", _report_sql("batch"))
+def q_fit_report_batch(spark, sf):
+    return _fit_report(spark, sf, "batch")
+
+
+_POINTS = [(lr, reg) for lr in GRID_LRS for reg in GRID_REGS]
+
+
+@query("grid_report", f"""
+WITH {_train_sql([lambda epoch, p=p: p for p in _POINTS], REFIT_EPOCHS, "row")},
+best AS (SELECT model FROM m{GRID_FIT.epochs - 1}_valid ORDER BY mse, model LIMIT 1)
+SELECT lr, reg, round(v.mse, 6) AS valid_mse, pt.model = (SELECT model FROM best) AS best,
+       CASE WHEN pt.model = (SELECT model FROM best) THEN round(t.mse, 6) END AS test_mse
+FROM (VALUES {", ".join(f"({m}, {lr!r}::DOUBLE, {reg!r}::DOUBLE)" for m, (lr, reg) in enumerate(_POINTS))}) AS pt(model, lr, reg)
+JOIN m{GRID_FIT.epochs - 1}_valid v ON v.model = pt.model JOIN m{REFIT_EPOCHS - 1}_test t ON t.model = pt.model""")
+def q_grid_report(spark, sf):
+    s, items, users = split(spark, sf)
+    s = reliable_checkpoint(s)
+    parts = {x: s.where(F.col("split") == x) for x in ("train", "valid", "test")}
+    items, users = (f.select("id", *FA.fcols(K_FIT)) for f in (items, users))
+    grid = TR.grid_search(parts["train"], parts["valid"], items, users, GRID_LRS, GRID_REGS, GRID_FIT, parts["test"], REFIT_EPOCHS)
+    return grid.report.select("lr", "reg", round6("valid_mse").alias("valid_mse"), "best", round6("test_mse").alias("test_mse"))
+
+
 def _als_predictions(spark, sf):
     """Held-out ratings with the prediction of an ALS fit on the training part, null for an unseen user or item."""
     s, _, _ = split(spark, sf)

@@ -36,32 +36,57 @@ def q_tsv_plays(spark, sf):
 
 
 @query("census_text", """
-SELECT (c_custkey % 90)::INTEGER AS age, c_mktsegment AS workclass, c_custkey::INTEGER AS fnlwgt, count(*) AS n
-FROM customer WHERE c_custkey % 7 <> 0 AND c_mktsegment IS NOT NULL GROUP BY 1, 2, 3""")
+WITH t AS (
+  SELECT l_linenumber AS age, CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN o_orderpriority END AS workclass, l_quantity::INTEGER AS fnlwgt,
+         p_type AS education, p_size AS education_num, c_mktsegment AS marital_status, p_brand AS occupation, l_returnflag AS relationship,
+         l_linestatus AS race, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS sex, round(100 * l_discount)::INTEGER AS capital_gain,
+         round(100 * l_tax)::INTEGER AS capital_loss, c_nationkey AS hours_per_week, n_name AS native_country, r_name AS income
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey JOIN customer ON c_custkey = o_custkey
+  JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey)
+SELECT age, workclass, education, marital_status, relationship, race, sex, income, count(*) AS n, sum(fnlwgt)::BIGINT AS fnlwgt, sum(education_num)::BIGINT AS education_num,
+       sum(capital_gain)::BIGINT AS capital_gain, sum(capital_loss)::BIGINT AS capital_loss, sum(hours_per_week)::BIGINT AS hours_per_week,
+       count(DISTINCT occupation) AS occupations, count(DISTINCT native_country) AS countries
+FROM t WHERE age IS NOT NULL AND workclass IS NOT NULL AND sex IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6, 7, 8""")
 def q_census_text(spark, sf):
-    """Census lines (comma and space, "?" for unknown) made of customers; rows with an unknown field are dropped."""
-    path = _folder(spark, "census.txt")
-    c = F.col("c_custkey")
-    unknown = F.when(c % 7 == 0, F.lit("?")).otherwise(F.col("c_mktsegment"))
-    text = [(c % 90), unknown, c, F.lit("HS-grad"), F.lit(9), *[F.lit(x) for x in ("Divorced", "Sales", "Unmarried", "White", "Female")], F.lit(0), F.lit(0), F.lit(40), F.lit("Peru"), F.lit("<=50K")]
-    table(spark, sf, "customer").select(F.concat_ws(", ", *[x.cast("string") for x in text])).write.text(path)
-    x = CL.drop_unknown(FS.read_census(spark, path))
-    return x.groupBy("age", "workclass", "fnlwgt").agg(F.count(F.lit(1)).alias("n"))
-
+    """Census lines (comma and space, "?" for what is not known) of every line item; rows with an unknown field are dropped.
 
-@query("whole_file_documents", "SELECT n_nationkey::BIGINT AS doc_id, n_name AS content FROM nation")
+    Unknown are the order priority '4-NOT SPECIFIED' and the status of an order under way.
+    """
+    path = _folder(spark, "census.txt")
+    t = {n: table(spark, sf, n) for n in ("lineitem", "orders", "part", "customer", "nation", "region")}
+    x = t["lineitem"].join(t["orders"], F.col("o_orderkey") == F.col("l_orderkey")).join(t["part"], F.col("p_partkey") == F.col("l_partkey"))
+    x = x.join(t["customer"], F.col("c_custkey") == F.col("o_custkey")).join(t["nation"], F.col("n_nationkey") == F.col("c_nationkey"))
+    x = x.join(t["region"], F.col("r_regionkey") == F.col("n_regionkey"))
+    unknown = lambda c, value: F.when(F.col(c) == value, F.lit(None)).otherwise(F.col(c))
+    cents = lambda c: F.round(F.col(c) * 100).cast("int")
+    fields = [
+        "l_linenumber", unknown("o_orderpriority", "4-NOT SPECIFIED"), F.col("l_quantity").cast("int"), "p_type", "p_size", "c_mktsegment", "p_brand",
+        "l_returnflag", "l_linestatus", unknown("o_orderstatus", "P"), cents("l_discount"), cents("l_tax"), "c_nationkey", "n_name", "r_name",
+    ]
+    known = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("?")) for c in fields]
+    x.select(F.concat_ws(", ", *known)).write.text(path)
+    by = ["age", "workclass", "education", "marital_status", "relationship", "race", "sex", "income"]
+    sums = [F.sum(c).alias(c) for c in ("fnlwgt", "education_num", "capital_gain", "capital_loss", "hours_per_week")]
+    kinds = [F.countDistinct("occupation").alias("occupations"), F.countDistinct("native_country").alias("countries")]
+    return CL.drop_unknown(FS.read_census(spark, path)).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *sums, *kinds)
+
+
+DOCS_A_FILE = 200
+
+
+@query("whole_file_documents", f"""
+WITH f AS (SELECT (doc_id // {DOCS_A_FILE})::BIGINT AS doc_id, string_agg(text || chr(10), '' ORDER BY doc_id) AS content FROM documents WHERE text IS NOT NULL GROUP BY 1)
+SELECT doc_id, length(content)::BIGINT AS n_chars, md5(content) AS content_md5 FROM f""")
 def q_whole_file_documents(spark, sf):
-    """One file a nation, names with spaces and percent signs in the paths."""
+    """The documents as files of ``DOCS_A_FILE`` each under odd folder names, read whole, ids from the paths."""
     base = _folder(spark, "odd %names")
-    x = table(spark, sf, "nation").select("n_nationkey", "n_name")
-    x.write.partitionBy("n_nationkey").text(base)
-    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hp(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    keys = sorted(r["n_nationkey"] for r in x.select("n_nationkey").distinct().collect())  # one a file
-    paths = [[s.getPath().toString() for s in fs.listStatus(hp(f"{base}/n_nationkey={k}"))][0] for k in keys]
-    d = FS.load_documents(spark, paths)
-    key = F.element_at(F.array(*[F.lit(int(k)) for k in keys]), (F.col("doc_id") + 1).cast("int"))
-    return d.select(key.cast("bigint").alias("doc_id"), F.rtrim(F.translate("content", "\n", "")).alias("content"))
+    own = F.floor(F.col("doc_id") / DOCS_A_FILE).cast("bigint")
+    x = table(spark, sf, "documents").where("text IS NOT NULL").select(own.alias("file no"), "doc_id", "text")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x = x.repartition(n, "file no").sortWithinPartitions("file no", "doc_id")
+    x.select("file no", "text").write.partitionBy("file no").text(base)
+    d = FS.read_document_folder(spark, base, "file no=([0-9]+)/", "*.txt")
+    return d.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.length("content").cast("bigint").alias("n_chars"), F.md5("content").alias("content_md5"))
 
 
 @query("sorted_int_sink", "SELECT p_size::VARCHAR AS value, count(*) AS n FROM part WHERE p_size IS NOT NULL GROUP BY 1")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round6
 from ..operators import fits as FI
 from ..operators import sketches as SK
+from ..operators.groups import reliable_checkpoint
 from ..sources.tables import table
 from .registry import query
 
@@ -120,6 +121,32 @@ def q_ams_moment(spark, sf):
     return a.select("k", "v", "n", "sum_counts", round6("estimate").alias("estimate"))
 
 
+SAMPLE_KS = (1, 2, 3)
+
+
+@query("ams_samples", f"""
+WITH RECURSIVE nn AS (SELECT count(*) AS n FROM events),
+jump(variable, t, following) AS (
+  SELECT s, 1::BIGINT, floor(1 / ((('0x' || substr(md5('skip:' || s || ':1'), 1, 13))::BIGINT + 0.5) / {float(16**13)!r}))::BIGINT + 1 FROM range(1, {AMS_V + 1}) r(s)
+  UNION ALL
+  SELECT variable, following,
+         floor(following / ((('0x' || substr(md5('skip:' || variable || ':' || following), 1, 13))::BIGINT + 0.5) / {float(16**13)!r}))::BIGINT + 1
+  FROM jump, nn WHERE following <= n),
+smp AS (SELECT variable, max(t) AS position FROM jump, nn WHERE t <= n GROUP BY 1),
+picked AS (SELECT variable, position, user_id AS element FROM smp JOIN events ON event_id + 1 = position),
+cnt AS (SELECT variable, position, element, count(*) AS count FROM picked JOIN events ON user_id = element AND event_id + 1 >= position GROUP BY 1, 2, 3)
+SELECT variable::INTEGER AS variable, position, element, count, {", ".join(f"round(avg(n * (pow(count, {k}) - pow(count - 1, {k}))) OVER (), 6) AS estimate_{k}" for k in SAMPLE_KS)}
+FROM cnt, nn""")
+def q_ams_samples(spark, sf):
+    ev = _events(spark, sf)
+    s = reliable_checkpoint(SK.ams_skip_samples(ev, "el", "pos", AMS_V))  # v rows
+    n = ev.select(F.count(F.lit(1))).scalar()
+    e = SK.ams_from_samples(s, n, SAMPLE_KS).groupBy().pivot("k", list(SAMPLE_KS)).agg(F.first("estimate"))
+    for k in SAMPLE_KS:
+        s = s.withColumn(f"estimate_{k}", round6(e.select(str(k)).scalar()))
+    return s
+
+
 SIZING_SQL = f"""mm AS (SELECT count(DISTINCT c_custkey) AS m FROM customer),
 g AS (SELECT m, j * greatest(1, m // 8) AS n FROM mm, range(1, {BLOOM_MAX_FACTOR * 8 + 9}) t(j) WHERE j * greatest(1, m // 8) <= {BLOOM_MAX_FACTOR} * m),
 gk AS (SELECT m, n, round_even(n / m * {SK.LN2!r}, 0)::INTEGER AS k FROM g),
@@ -139,19 +166,21 @@ def q_bloom_sizing(spark, sf):
     return s.select("b", "n_keys", "n_bits", "k", F.round("p_fp", 10).alias("p_fp"))
 
 
+PARTS_SQL = "('0x' || substr(md5(key::VARCHAR), 1, 13))::BIGINT AS h1, ('0x' || substr(md5(key::VARCHAR), 14, 13))::BIGINT AS h2"
+
+
 def _bits_sql(keys: str) -> str:
-    return f"""(SELECT DISTINCT key, (h1 + i * (2 * h2 + 1)) % n_bits AS bit
-     FROM (SELECT key, ('0x' || substr(md5(key::VARCHAR), 1, 13))::BIGINT AS h1,
-                  ('0x' || substr(md5(key::VARCHAR), 14, 13))::BIGINT AS h2, n_bits, unnest(range(k)) AS i
-           FROM ({keys}), sz))"""
+    """Distinct (key, block, bit) of the blocked filter."""
+    return f"""(SELECT DISTINCT key, h1 % blocks AS block, (h2 % 512 + i * ((h2 // 512) % 256 * 2 + 1)) % 512 AS bit
+     FROM (SELECT key, {PARTS_SQL}, blocks, unnest(range(k)) AS i FROM ({keys}), sz))"""
 
 
 @query("bloom_probe", f"""
 WITH {SIZING_SQL},
-sz AS (SELECT n_bits, k, p_fp FROM sizing WHERE b = {BLOOM_TARGETS[0]!r}),
-bits AS (SELECT DISTINCT bit FROM {_bits_sql("SELECT c_custkey AS key FROM customer")}),
+sz AS (SELECT n_bits, k, p_fp, greatest(1, ceil(n_bits / 512.0))::BIGINT AS blocks FROM sizing WHERE b = {BLOOM_TARGETS[0]!r}),
+bits AS (SELECT DISTINCT block, bit FROM {_bits_sql("SELECT c_custkey AS key FROM customer")}),
 pk AS {_bits_sql("SELECT DISTINCT o_orderkey AS key FROM orders")},
-pp AS (SELECT key, count(*) = count(b.bit) AS passed FROM pk LEFT JOIN (SELECT bit, 1 AS one FROM bits) b USING (bit) GROUP BY key),
+pp AS (SELECT key, count(*) = count(b.one) AS passed FROM pk LEFT JOIN (SELECT block, bit, 1 AS one FROM bits) b USING (block, bit) GROUP BY key),
 mem AS (SELECT pp.key, passed, c_custkey IS NOT NULL AS member FROM pp LEFT JOIN customer ON c_custkey = pp.key)
 SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_keys, n_bits, k, count(*) AS n_probes,
        sum(member::INTEGER)::BIGINT AS n_members, sum(passed::INTEGER)::BIGINT AS n_passed,
@@ -163,9 +192,10 @@ def q_bloom_probe(spark, sf):
     cust = table(spark, sf, "customer").select("c_custkey")
     row = sizing(spark, sf).where(F.col("b") == BLOOM_TARGETS[0]).first()  # one row of parameters
     n_bits, k = int(row["n_bits"]), int(row["k"])
-    bits = SK.bloom_build(cust, "c_custkey", n_bits, k)
+    blocks = SK.block_count(n_bits)
+    bits = SK.blocked_bloom_build(cust, "c_custkey", blocks, k)
     probes = table(spark, sf, "orders").select("o_orderkey").distinct()
-    p = SK.bloom_probe(probes, "o_orderkey", bits, n_bits, k)
+    p = SK.blocked_bloom_probe(probes, "o_orderkey", bits, blocks, k)
     members = cust.select(F.col("c_custkey").alias("key")).distinct().withColumn("member", F.lit(True))
     m = p.join(members, "key", "left").withColumn("member", F.coalesce("member", F.lit(False)))
     fp = F.col("passed") & ~F.col("member")

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import char_shingles, md5_hex_int, round6, text_clean
 from ..operators import lsh as L
 from ..operators import minhash as M
+from ..operators import set_join as SJ
 from ..operators.groups import reliable_checkpoint
+from ..operators.stored import stored_table
 from ..sources.tables import customer_item_sets, documents, table
 from .registry import query
 from .text import CLEAN_SQL
@@ -21,6 +23,9 @@ BANDS, ROWS = 20, 5
 DOC_K = 5
 MAX_GROUP = 10
 S_CURVE_GRID = [(2, 10), (2, 50), (5, 10), (5, 50)]
+AT_LEAST = (7, 100)
+RATE_GRID = [(2, 10), (2, 50), (5, 10), (5, 20)]
+ANCHORS, PER_BIN = 50, 400
 P31 = 2**31 - 1
 
 FAMILY = M.hash_family(NUM_HASHES)
@@ -61,20 +66,28 @@ def cust_sets(spark, sf):
 
 
 def doc_sets(spark, sf, docs=None):
-    """Documents as sets of 5-shingle ids (first 15 hex digits of md5 of the shingle: 60 bits).
-
-    The explicit non-null id filter matches the one Catalyst infers for join keys, so every branch
-    that reuses the signatures has the same scan and Spark reuses the signature shuffle.
-    """
+    """Documents as sets of 5-shingle ids (first 15 hex digits of md5 of the shingle: 60 bits)."""
     d = (docs if docs is not None else documents(spark, sf)).where(F.col("doc_id").isNotNull())
     d = d.select("doc_id", text_clean(F.col("text")).alias("_t"))
     s = d.select(F.col("doc_id").cast("bigint").alias("set_id"), F.explode(F.array_distinct(char_shingles(F.col("_t"), DOC_K))).alias("_s"))
     return M.set_elements(s.select("set_id", md5_hex_int(F.col("_s"), 15).alias("element")))
 
 
+def doc_arrays(docs):
+    """(set_id, elements): the same sets as one array a document, for the few documents that a check names."""
+    ids = F.array_distinct(F.transform(F.array_distinct(char_shingles(text_clean(F.col("text")), DOC_K)), lambda s: md5_hex_int(s, 15)))
+    x = docs.select(F.col("doc_id").cast("bigint").alias("set_id"), ids.alias("elements"))
+    return x.where(F.size("elements") > 0)
+
+
+def doc_signatures(spark, sf):
+    """(set_id, sig, n, digest) of all documents: shingled and hashed once, then read by every query over them (``stored_table``)."""
+    build = lambda: M.signature_arrays(doc_sets(spark, sf), FAMILY, digest=True)
+    return stored_table(spark, f"doc_signatures_{DOC_K}_{NUM_HASHES}", f"{sf.rstrip('/')}/documents.parquet", "set_id", build)
+
+
 def doc_band_hashes(spark, sf):
-    sig = M.signature_arrays(doc_sets(spark, sf), FAMILY)
-    return L.band_hashes(sig, BANDS, ROWS)
+    return L.band_hashes(doc_signatures(spark, sf), BANDS, ROWS)
 
 
 @query("set_elements", f"WITH {SETS_SQL} SELECT * FROM sets")
@@ -103,6 +116,53 @@ def q_jaccard_pairs(spark, sf):
     return j.select("set_a", "set_b", "intersection", "union_size", round6("jaccard").alias("jaccard"))
 
 
+@query("jaccard_at_least", f"""
+WITH {JACCARD_SQL}
+SELECT set_a, set_b, intersection, union_size, round(jaccard, 6) AS jaccard FROM jp
+WHERE intersection * {AT_LEAST[1]} >= union_size * {AT_LEAST[0]}""")
+def q_jaccard_at_least(spark, sf):
+    j = SJ.jaccard_at_least(reliable_checkpoint(cust_sets(spark, sf)), *AT_LEAST)
+    return j.select("set_a", "set_b", "intersection", "union_size", round6("jaccard").alias("jaccard"))
+
+
+def brand_sets(spark, sf):
+    """Customers as sets of the brands they buy: sets that overlap in every degree."""
+    brands = table(spark, sf, "part").select(F.col("p_partkey").alias("element"), F.regexp_extract("p_brand", "([0-9]+)", 1).cast("bigint").alias("brand"))
+    x = customer_item_sets(spark, sf).join(brands, "element").where("brand IS NOT NULL")
+    return M.set_elements(x.select("set_id", F.col("brand").alias("element")))
+
+
+def _drawn_sql(key: str, rate: str) -> str:
+    return f"(('0x' || substr(md5({key}), 1, 13))::BIGINT + 0.5) / {float(16**13)!r} < {rate}"
+
+
+@query("lsh_observed_rate", f"""
+WITH sets AS (SELECT DISTINCT o_custkey::BIGINT AS set_id, regexp_extract(p_brand, '([0-9]+)', 1)::BIGINT AS element
+              FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
+              WHERE o_custkey IS NOT NULL AND regexp_matches(p_brand, '[0-9]')),
+{SIG_SQL},
+sz AS (SELECT set_id, count(*) AS n FROM sets GROUP BY 1),
+own AS (SELECT set_id FROM sz WHERE {_drawn_sql("'anchor:' || set_id", f"{float(ANCHORS)!r}::DOUBLE / (SELECT count(*) FROM sz)")}),
+i AS (SELECT a.set_id AS x, b.set_id AS y, count(*) AS i FROM sets a JOIN own USING (set_id) JOIN sets b ON b.element = a.element AND b.set_id <> a.set_id GROUP BY 1, 2),
+jp AS (SELECT DISTINCT least(x, y) AS set_a, greatest(x, y) AS set_b, i / (na.n + nb.n - i) AS jaccard
+       FROM i JOIN sz na ON na.set_id = x JOIN sz nb ON nb.set_id = y),
+bn AS (SELECT *, floor(jaccard * 10) / 10 AS jaccard_bin, count(*) OVER (PARTITION BY floor(jaccard * 10)) AS n_pairs FROM jp),
+smp AS (SELECT * FROM bn WHERE {_drawn_sql("'pair:' || set_a || ':' || set_b", f"{float(PER_BIN)!r}::DOUBLE / n_pairs")}),
+eq AS (SELECT s.*, x.k, x.h = y.h AS e FROM smp s JOIN sig x ON x.set_id = set_a JOIN sig y ON y.set_id = set_b AND y.k = x.k),
+g(r, b) AS (VALUES {", ".join(f"({r}, {b})" for r, b in RATE_GRID)}),
+band AS (SELECT r, b, set_a, set_b, jaccard, jaccard_bin, n_pairs, k // r AS band, bool_and(e) AS hit FROM eq, g WHERE k < r * b GROUP BY ALL),
+hit AS (SELECT r, b, set_a, set_b, jaccard, jaccard_bin, n_pairs, bool_or(hit) AS hit FROM band GROUP BY ALL)
+SELECT r, b, jaccard_bin, n_pairs, count(*) AS n_sample, round(avg(1.0 - pow(1.0 - pow(jaccard, r), b)), 6) AS expected_rate,
+       round(avg(hit::INTEGER), 6) AS observed_rate
+FROM hit GROUP BY 1, 2, 3, 4""")
+def q_lsh_observed_rate(spark, sf):
+    sets = reliable_checkpoint(brand_sets(spark, sf))
+    pairs = reliable_checkpoint(L.sampled_pairs(sets, ANCHORS, PER_BIN))
+    sig = M.signature_arrays(sets.join(M.named_sets(pairs), "set_id"), FAMILY)
+    t = L.candidate_rates(pairs, sig, RATE_GRID)
+    return t.select("r", "b", "jaccard_bin", "n_pairs", "n_sample", round6("expected_rate").alias("expected_rate"), round6("observed_rate").alias("observed_rate"))
+
+
 @query("lsh_s_curve", f"""
 WITH {JACCARD_SQL},
 g(r, b) AS (VALUES {", ".join(f"({r}, {b})" for r, b in S_CURVE_GRID)})
@@ -141,21 +201,21 @@ WITH {DOC_SETS_SQL}, {CAND_SQL}
 SELECT set_a, set_b, round(avg(CASE WHEN x.h = y.h THEN 1.0 ELSE 0.0 END), 6) AS signature_similarity
 FROM cand JOIN sig x ON x.set_id = set_a JOIN sig y ON y.set_id = set_b AND y.k = x.k GROUP BY 1, 2""")
 def q_signature_similarity(spark, sf):
-    sig = M.signature_arrays(doc_sets(spark, sf), FAMILY)
+    sig = doc_signatures(spark, sf)
     cand = L.candidate_edges(L.band_hashes(sig, BANDS, ROWS))
     s = M.signature_agreement(sig, cand)
     return s.select("set_a", "set_b", round6("signature_similarity").alias("signature_similarity"))
 
 
 PAIRS_SQL = f"""{BH_SQL},
-rep AS (SELECT min(set_id) AS set_id FROM (SELECT set_id, string_agg(h::VARCHAR, ',' ORDER BY k) AS g FROM sig GROUP BY 1) GROUP BY g),
+rep AS (SELECT min(set_id) AS set_id FROM (SELECT set_id, list(element ORDER BY element) AS es FROM sets GROUP BY 1) GROUP BY es),
 rb AS (SELECT bh.* FROM bh JOIN rep USING (set_id)),
 pairs AS (SELECT DISTINCT a.set_id AS set_a, b.set_id AS set_b FROM rb a JOIN rb b USING (band, bucket) WHERE a.set_id < b.set_id)"""
 
 
 @query("lsh_candidate_pairs", f"WITH {DOC_SETS_SQL}, {PAIRS_SQL} SELECT * FROM pairs")
 def q_lsh_candidate_pairs(spark, sf):
-    return L.candidate_pairs(M.signature_arrays(doc_sets(spark, sf), FAMILY, digest=True), BANDS, ROWS)
+    return L.candidate_pairs(doc_signatures(spark, sf), BANDS, ROWS)
 
 
 @query("lsh_copies", f"""
@@ -163,7 +223,7 @@ WITH {DOC_SETS_SQL},
 e AS (SELECT set_id, list(element ORDER BY element) AS es FROM sets GROUP BY 1)
 SELECT set_id, min(set_id) OVER (PARTITION BY es) AS representative FROM e""")
 def q_lsh_copies(spark, sf):
-    return M.set_copies(doc_sets(spark, sf))
+    return M.set_copies(doc_signatures(spark, sf))
 
 
 @query("lsh_verify_all", f"""
@@ -177,11 +237,13 @@ agree AS (SELECT p.set_a, p.set_b, avg(CASE WHEN x.h = y.h THEN 1.0 ELSE 0.0 END
 SELECT set_a, set_b, round(coalesce(i / nullif(na.n + nb.n - i, 0), 0), 6) AS jaccard, round(ag, 6) AS signature_similarity
 FROM inter JOIN agree USING (set_a, set_b) JOIN sz na ON na.set_id = set_a JOIN sz nb ON nb.set_id = set_b""")
 def q_lsh_verify_all(spark, sf):
-    # signatures are read by the candidates and by the agreement, the pairs by both checks: each is written once
-    sets = doc_sets(spark, sf)
-    sig = reliable_checkpoint(M.signature_arrays(sets, FAMILY, digest=True))
-    pairs = reliable_checkpoint(L.candidate_pairs(sig, BANDS, ROWS))
-    v = L.verify_pairs(pairs, sets, sig)
+    sig = doc_signatures(spark, sf)
+    pairs = reliable_checkpoint(L.candidate_pairs(sig, BANDS, ROWS))  # read by both checks
+    named = reliable_checkpoint(M.named_sets(pairs).join(sig.select("set_id", "n"), "set_id"))
+    # only documents that a pair names are shingled again
+    docs = documents(spark, sf).join(named.select(F.col("set_id").alias("doc_id")), "doc_id")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    v = L.verify_arrays(pairs, doc_arrays(docs), sig, total)
     return v.select("set_a", "set_b", round6("jaccard").alias("jaccard"), round6("signature_similarity").alias("signature_similarity"))
 
 

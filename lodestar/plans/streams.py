@@ -43,6 +43,20 @@ def q_exact_moment_stream(spark, sf):
     return spark.read.parquet(f"{base}/out").select("f0", "f1", "f2", "f3")
 
 
+STREAM_FILES = 10
+
+
+@query("exact_moment_batches", ORACLE["exact_moment"])
+def q_exact_moment_batches(spark, sf):
+    """The events as ``STREAM_FILES`` files, one a micro-batch; moments from the changed counts of each."""
+    base = _scratch(spark)
+    ev = table(spark, sf, "events").select("event_id", "user_id")
+    ev.repartition(STREAM_FILES, "event_id").select("user_id").write.parquet(f"{base}/in")
+    s = spark.readStream.schema(ev.select("user_id").schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    _run(SM.incremental_moments_stream(s, "user_id", f"{base}/state", f"{base}/ck"))
+    return SM.latest_totals(spark, f"{base}/state").select("f0", "f1", "f2", "f3")
+
+
 @query("ams_moment_stream", ORACLE["ams_moment"])
 def q_ams_moment_stream(spark, sf):
     base = _scratch(spark)

@@ -98,6 +98,17 @@ def load_documents(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return ids.join(files, "_fp", "left").select("doc_id", F.coalesce("content", F.lit("")).alias("content"))
 
 
+def read_document_folder(spark: SparkSession, folder: str, id_pattern: str, glob: str = "*") -> DataFrame:
+    """(doc_id, content) of every file below ``folder`` whose name matches ``glob``: its whole text, and as id the first group of ``id_pattern`` in its path.
+
+    Paths are listed by Spark and matched on the executors, so the driver handles no list of documents. A path without a match has a null id.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).text(folder, wholetext=True)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    found = F.regexp_extract(path, id_pattern, 1)
+    return files.select(F.when(found != "", found).alias("doc_id"), F.col("value").alias("content"))
+
+
 def _qualified(spark: SparkSession, path: str) -> str:
     """The fully qualified URI Spark reports in ``_metadata.file_path`` for ``path``."""
     jvm = spark.sparkContext._jvm

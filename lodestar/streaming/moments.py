@@ -2,6 +2,8 @@
 
 * exact: a streaming count per element (state = one row per distinct element) in complete mode;
   each micro-batch's full count table gives F_0..F_k in ``foreachBatch``.
+* exact, incremental: the same state, but a micro-batch hands on only the counts it changed; the
+  moments are running totals.
 * AMS: v reservoir variables kept as a state table of v rows. Each micro-batch is an ordinary
   DataFrame inside ``foreachBatch``: new reservoir picks (the last position p of the batch with
   h(s, p) * p < 1), then one join of the batch with the v-row state on element counts the
@@ -15,9 +17,11 @@ from __future__ import annotations
 
 import os
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators.sketches import ams_choice, power_sum
 
@@ -38,11 +42,65 @@ def exact_moments_stream(
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+# ---------------------------------------------------------------- exact moments, changed elements only
+
+_TOTALS_KEY = "n_batches BIGINT"
+
+
+def _totals_schema(ks) -> str:
+    return ", ".join([_TOTALS_KEY, *[f"f{k} DECIMAL(38,0)" for k in ks]])
+
+
+def incremental_moments_stream(
+    stream: DataFrame, element: str, state_dir: str, checkpoint: str, ks=(0, 1, 2, 3), trigger: dict | None = None
+) -> StreamingQuery:
+    """Exact moments with keyed state: an element's count lives in the state store, and a micro-batch hands on only the elements it
+    changed, with their old and new count.
+
+    F_k after a batch is F_k before it plus the sum of new^k - old^k over those (exact, DECIMAL). The totals, one row, are written per epoch to
+    ``state_dir/epoch=e``, so a batch that is replayed after a failure starts from the totals before it. The state store keeps
+    one number an element; no batch sees the table of all counts.
+    """
+
+    def changed(key, frames, state):
+        old = state.get[0] if state.exists else 0
+        new = old + sum(len(f) for f in frames)
+        state.update((new,))
+        yield pd.DataFrame({"old": [old], "new": [new]})
+
+    counts = stream.select(F.col(element).alias("_el")).groupBy("_el").applyInPandasWithState(
+        changed, "old BIGINT, new BIGINT", "c BIGINT", "update", GroupStateTimeout.NoTimeout
+    )
+
+    def emit(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        # an element counted 0 times adds nothing, also to F_0
+        power = lambda c, k: F.when(F.col(c) > 0, F.lit(1)).otherwise(F.lit(0)) if k == 0 else F.col(c)
+        moved = [(F.coalesce(power_sum(power("new", k), max(k, 1)), F.lit(0)) - F.coalesce(power_sum(power("old", k), max(k, 1)), F.lit(0))).alias(f"d{k}") for k in ks]
+        delta = batch.agg(*moved)
+        before = _last_state(spark, state_dir, epoch, _totals_schema(ks))
+        if before is None:
+            before = spark.range(1).select(F.lit(0).cast("bigint").alias("n_batches"), *[F.lit(0).cast("decimal(38,0)").alias(f"f{k}") for k in ks])
+        # two tables of one row each
+        after = before.withColumn("_one", F.lit(1)).join(delta.withColumn("_one", F.lit(1)), "_one").select(
+            (F.col("n_batches") + 1).alias("n_batches"), *[(F.col(f"f{k}") + F.col(f"d{k}")).cast("decimal(38,0)").alias(f"f{k}") for k in ks]
+        )
+        after.coalesce(1).write.mode("overwrite").parquet(_state_path(state_dir, epoch))
+
+    w = counts.writeStream.outputMode("update").foreachBatch(emit).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def latest_totals(spark: SparkSession, state_dir: str, ks=(0, 1, 2, 3)) -> DataFrame | None:
+    """(n_batches, f0 ..) after the last committed epoch."""
+    return _last_state(spark, state_dir, 2**62, _totals_schema(ks))
+
+
 def _state_path(state_dir: str, epoch: int) -> str:
     return os.path.join(state_dir, f"epoch={epoch:012d}")
 
 
-def _last_state(spark: SparkSession, state_dir: str, before_epoch: int) -> DataFrame | None:
+def _last_state(spark: SparkSession, state_dir: str, before_epoch: int, schema: str = AMS_STATE_SCHEMA) -> DataFrame | None:
     """The newest committed state strictly before ``before_epoch`` (epochs are replayed idempotently)."""
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(state_dir)
@@ -58,7 +116,7 @@ def _last_state(spark: SparkSession, state_dir: str, before_epoch: int) -> DataF
                 epochs.append(e)
     if not epochs:
         return None
-    return spark.read.schema(AMS_STATE_SCHEMA).parquet(_state_path(state_dir, max(epochs)))
+    return spark.read.schema(schema).parquet(_state_path(state_dir, max(epochs)))
 
 
 def ams_step(batch: DataFrame, prev: DataFrame | None, element: str, pos: str, v: int) -> DataFrame:
