@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..operators.groups import reliable_checkpoint
 from . import rolling as R
 from .components import connected_components
-from .packing import NULL_ID, bucket_count, cut, joined, keyed_texts
+from .packing import NULL_ID, bucket_count, cut, joined, keyed_texts, row_part
 
 CELL_BITS = 20
 BLOCKS = 64
@@ -43,7 +43,6 @@ HOT = 4096
 FLUSH = 1 << 18
 KEPT = 100_000  # shingles of texts that a verifying task keeps
 SALTED = 1 << 31  # flag in ``pos``: the shingle's entries lie in several buckets
-NULL_ROW = 1 << 62  # flag in ``_part`` of a row whose id is null
 
 ENTRY = np.dtype([("h", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("pos", "<u4")])
 
@@ -200,10 +199,12 @@ def key_bitmap(keys: DataFrame, col: str = "k") -> np.ndarray:
         return (R.mix(k.astype(np.int64).view(np.uint64)) >> R.U64(64 - BITMAP_BITS)).astype(np.int64)
 
     def scan(batches):
-        bits = np.zeros(1 << BITMAP_BITS, dtype=bool)
+        bits = np.zeros(1 << (BITMAP_BITS - 3), dtype=np.uint8)
         for b in batches:
-            bits[mark(b.column(0).to_numpy())] = True
-        at = np.flatnonzero(bits)
+            at = mark(b.column(0).to_numpy())
+            np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        byte = np.flatnonzero(bits)
+        at = (byte[:, None] * 8 + np.arange(8))[np.unpackbits(bits[byte, None], axis=1, bitorder="little").astype(bool)]
         b, (cells,) = cut(at // block, (at % block).astype(np.uint32))
         yield pa.record_batch([pa.array(b, pa.int32()), pa.array(cells, pa.binary())], schema=schema)
 
@@ -224,12 +225,6 @@ def _in_bitmap(bits: np.ndarray, k: np.ndarray) -> np.ndarray:
     return (bits[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1
 
 
-def row_part(text, null_id):
-    """62 bits of the text's hash, a null id flagged apart: with the id it names a row. A third of all rows may have a null
-    id and only this number to tell them apart, for which 32 bits are too few."""
-    return F.shiftrightunsigned(F.xxhash64(text.cast("binary")), 2) + F.when(null_id, F.lit(NULL_ROW)).otherwise(F.lit(0))
-
-
 def _row_key(i, p):
     return F.xxhash64(i, p)
 
@@ -352,7 +347,6 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     """
     buckets = bucket_count(docs.count())
     texts = keyed_texts(docs, id_col, text_col, buckets)
-    texts = texts.withColumn("_part", row_part(F.col("_text"), F.col("_part") >= F.lit(NULL_ID)))
     scanned = _scan_classes(texts, n)
     rows = scanned.where("kind = 0").select("_id", "_part", "cls", "n", "bits")
     cells = _merged_cells(scanned)
@@ -364,7 +358,7 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     x = rows.select("_id", "_part", "cls", "n")
     lab = labels.select(F.col("node").alias("cls"), F.col("label"))
     x = x.join(lab, "cls", "left").withColumn("cls", F.coalesce("label", "cls")).drop("label")
-    real = F.when(F.col("_part") < F.lit(NULL_ROW), F.col("_id"))
+    real = F.when(F.col("_part") < F.lit(NULL_ID), F.col("_id"))
     comp = reliable_checkpoint(x.where("cls IS NOT NULL").groupBy("cls").agg(F.min(real).alias("component")))
     x = x.join(comp, "cls", "left")
     t = dict(docs.dtypes)[id_col]

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-NULL_ID = 1 << 40  # flag in ``part`` of a row whose id is null
+NULL_ID = 1 << 62  # flag in ``part`` of a row whose id is null
 
 
 def bucket_count(rows: int, per_bucket: int = 512, least: int = 64) -> int:
@@ -20,14 +20,20 @@ def bucket_count(rows: int, per_bucket: int = 512, least: int = 64) -> int:
     return max(least, -(-rows // per_bucket))
 
 
+def row_part(text, null_id):
+    """62 bits of the text's hash, a null id flagged apart: with the id it names a row. A third of all rows may have a null
+    id and only this number to tell them apart, for which 32 bits are too few."""
+    hashed = F.coalesce(F.shiftrightunsigned(F.xxhash64(text.cast("binary")), 2), F.lit(0))
+    return hashed + F.when(null_id, F.lit(NULL_ID)).otherwise(F.lit(0))
+
+
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
-    """_id, _part, _db, _text. (_id, _part) names a row: its id (0 for null) and the CRC of its text, null flagged apart.
+    """_id, _part, _db, _text. (_id, _part) names a row: its id (0 for null) and ``row_part`` of its text.
 
     Rows that agree in both have equal texts and so equal results. ``_db`` is the row's document bucket.
     """
-    null = F.col(id_col).isNull()
-    part = F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)) + F.when(null, F.lit(NULL_ID)).otherwise(F.lit(0))
-    x = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("_id"), part.cast("bigint").alias("_part"), F.col(text_col).alias("_text"))
+    part = row_part(F.col(text_col), F.col(id_col).isNull())
+    x = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("_id"), part.alias("_part"), F.col(text_col).alias("_text"))
     return x.select("_id", "_part", F.pmod(F.xxhash64("_id", "_part"), F.lit(buckets)).cast("int").alias("_db"), "_text")
 
 

@@ -7,6 +7,9 @@ a span is the difference of two prefix sums times an inverse power, so all spans
 
 from __future__ import annotations
 
+import ctypes
+import functools
+
 import numpy as np
 import pyarrow as pa
 
@@ -78,6 +81,21 @@ class SpanHash:
         return mix((p[n : n + m] - p[:m]) * self.ipw[:m])
 
 
+@functools.cache
+def _trim():
+    """The C library's call that gives freed pages back, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+def release_memory() -> None:
+    """Give back what earlier batches of this reused worker have freed: large numpy arrays otherwise stay with the process."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def text_slices(column, max_bytes: int = 1 << 19):
     """(first row, last row + 1, bytes, offsets) over consecutive rows of an Arrow string array.
 
@@ -86,7 +104,7 @@ def text_slices(column, max_bytes: int = 1 << 19):
     """
     if len(column) == 0:
         return
-    pa.default_memory_pool().release_unused()  # what earlier batches of this reused worker have left
+    release_memory()
     _, off_buf, data_buf = column.buffers()
     off = np.frombuffer(off_buf, dtype=np.int32, count=len(column) + column.offset + 1)[column.offset :].astype(np.int64)
     data = np.frombuffer(data_buf, dtype=np.uint8) if data_buf is not None else np.zeros(0, dtype=np.uint8)
@@ -96,6 +114,7 @@ def text_slices(column, max_bytes: int = 1 << 19):
         j = min(j, len(column))
         yield i, j, data[off[i] : off[j]], off[i : j + 1] - off[i]
         i = j
+    release_memory()
 
 
 def find_words(data: np.ndarray, off: np.ndarray, word_byte: np.ndarray):

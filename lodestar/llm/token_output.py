@@ -5,11 +5,12 @@ of INT32, dictionary encoded: a vocabulary of 49k ids packs to 16 bits), ``n_tok
 ``shard``. Row groups, pages and the dictionary have set sizes and the writer adds page indexes, so a reader of a few documents, or of
 the counts alone, touches only their pages.
 
-*Encoding.* Texts are cut at ASCII blanks, which no token of the named vocabulary spans, and every distinct piece is encoded once per worker by
-the tokenizers library; a bounded cache holds the pieces. The end id closes every document.
+*Encoding.* Under a vocabulary with the rules of ``WORD_RULES`` (lower case, blanks dropped, letters parted from punctuation) texts are cut into pieces that
+no token spans, in lower case, and every distinct piece is encoded once per worker by the tokenizers library; a bounded cache in two generations
+keeps the pieces in use. Under any other vocabulary the library encodes each whole text. The end id closes every document.
 
-*Order.* Range bounds come from quantiles of the ids over all rows, so shards are even whatever the ids; a shard is sorted by (id, CRC of the
-text) inside its task. Starts are running sums within a shard plus the totals of the shards before it (one row a shard).
+*Order.* Rows are range-partitioned by (id, CRC and hash of the text, place in the scan), so a shard is even however often an id or null occurs, and sorted inside
+its task. Starts are running sums within a shard plus the totals of the shards before it (one row a shard).
 
 Defined results: null is the empty text (only the end id); repeated ids lie side by side, each row a document of its own; null ids come first; an empty table
 writes an empty folder and gives no rows. Only id and text are read.
@@ -18,24 +19,40 @@ writes an empty folder and gives no rows. Only id and text are read.
 from __future__ import annotations
 
 import functools
+import json
 import uuid
 import zlib
 from array import array
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .packing import pack, unpack
-from .rolling import text_slices
+from .rolling import LOWER, text_slices
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-CACHE = 300_000
+CACHE = 250_000  # pieces a generation
 SLICE = 1 << 19
 
+# The normaliser and pre-tokenizer under which pieces may be encoded apart and in lower case.
+WORD_RULES = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
 #: row groups of 32 MB, pages of at most 256 KB or 2,000 documents, dictionary pages up to 1 MB
 WRITE_OPTIONS = {
     "parquet.block.size": str(32 << 20),
@@ -55,23 +72,43 @@ def _byte_letters() -> dict[int, str]:
     return {c: chr(c) if c in plain else chr(256 + rest.index(c)) for c in range(256)}
 
 
+#: ASCII letters and digits are 1, ASCII punctuation but the apostrophe (which may open a suffix) 2, all else 0
+CLASS = np.zeros(256, dtype=np.uint8)
+CLASS[[c for c in range(128) if chr(c).isalnum()]] = 1
+CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = 2
+
+
+def loosened(data: np.ndarray, off: np.ndarray):
+    """Lower-cased bytes with a blank wherever ASCII letters or digits touch punctuation, and the new offsets: tokens part there anyway."""
+    low = LOWER[data]
+    c = CLASS[low]
+    at = np.flatnonzero((c[1:] ^ c[:-1]) == 3) + 1  # 1 beside 2
+    return np.insert(low, at, 32), off + np.searchsorted(at, off, side="left")
+
+
 class _Encoder:
-    """Texts -> little-endian uint32 ids. Pieces (runs without ASCII blanks) are encoded once and kept, to a bound.
+    """Texts -> little-endian uint32 ids.
 
-    A piece of Latin letters closed by ASCII punctuation is the letters' ids, in lower case, and the punctuation's:
-    the vocabulary's rules part letters from punctuation and lower the case. Such letters are one pre-token, which the
-    library's model encodes without running the rules again; everything else goes through the whole tokenizer.
+    With ``WORD_RULES``, pieces (runs without ASCII blanks of the loosened text) are encoded once and kept in two generations: a piece of the older
+    one that occurs again moves to the younger, and when that is full the older one is dropped. A piece of Latin letters closed by ASCII
+    punctuation is the letters' ids and the punctuation's; such letters are one pre-token, which the library's model encodes without
+    running the rules again. Texts with a bracket of a special token, or with marks that may combine with a letter before it is lowered, are
+    cut at blanks only, as they are.
     """
 
     PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
     LETTERS = _byte_letters()
+    AS_IT_IS = (b"<|", b"\xcc", b"\xcd")
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
-        self.pieces: dict[bytes, bytes] = {}
+        own = json.loads(definition)
+        self.by_piece = all(own.get(k) == v for k, v in WORD_RULES.items())
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -83,6 +120,15 @@ class _Encoder:
             word = word.translate(self.LETTERS)
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
+    def kept(self, key: bytes, make) -> bytes:
+        got = self.young.get(key)
+        if got is None:
+            got = self.old.get(key)
+            self.young[key] = got = make(key) if got is None else got
+            if len(self.young) > CACHE:
+                self.old, self.young = self.young, {}
+        return got
+
     def piece(self, p: bytes) -> bytes:
         body = p.rstrip(self.PUNCTUATION)
         if body.isascii():
@@ -92,35 +138,34 @@ class _Encoder:
             low, ok = text.lower().encode(), text.isalpha() and max(text) <= "\xff"
         if not ok:
             return self.ids(p.decode("utf-8", "replace"))
-        kept = self.pieces
-        got = kept.get(low)
-        if got is None:
-            got = kept[low] = self.letters(low)
+        if low == p:
+            return self.letters(low)
+        got = self.kept(low, self.letters)
         if len(body) < len(p):
-            tail = p[len(body) :]
-            end = kept.get(tail)
-            if end is None:
-                end = kept[tail] = self.ids(tail.decode())
-            got += end
+            got += self.kept(p[len(body) :], lambda tail: self.ids(tail.decode()))
         return got
 
     def documents(self, raws: list[bytes]) -> list[bytes]:
+        return self.slice(np.frombuffer(b"".join(raws), dtype=np.uint8), np.cumsum([0, *map(len, raws)]))
+
+    def slice(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
+        """Ids of every text of a slice."""
+        if not self.by_piece:
+            return [self.ids(data[a:b].tobytes().decode("utf-8", "replace")) for a, b in zip(off[:-1], off[1:], strict=True)]
+        raw, own = data.tobytes(), off.tolist()
+        loose, at = loosened(data, off)
+        loose, at = loose.tobytes(), at.tolist()
         words, ends = [], []
-        for raw in raws:
-            words += raw.split()
+        for k in range(len(own) - 1):
+            text = raw[own[k] : own[k + 1]]
+            words += text.split() if any(mark in text for mark in self.AS_IT_IS) else loose[at[k] : at[k + 1]].split()
             ends.append(len(words))
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        kept, piece = self.pieces, self.piece
-        got = list(map(kept.get, words))
+        got = list(map(self.young.get, words))
         if None in got:
+            kept, piece = self.kept, self.piece
             for k, x in enumerate(got):
                 if x is None:
-                    p = words[k]
-                    x = kept.get(p)
-                    if x is None:
-                        x = kept[p] = piece(p)
-                    got[k] = x
+                    got[k] = kept(words[k], piece)
         return [b"".join(got[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
 
 
@@ -141,58 +186,36 @@ def output_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}"
 
 
-def shard_bounds(docs: DataFrame, id_col: str, shards: int) -> list[int]:
-    """Upper ids of all shards but the last, from quantiles over all rows (one number a shard)."""
-    at = [(k + 1) / shards for k in range(shards - 1)]
-    got = docs.select(F.percentile_approx(F.col(id_col).cast("bigint"), at, 10_000).alias("q")).first()["q"] if at else None
-    return sorted({int(x) for x in got or ()})
-
-
 def write_tokens(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, shard_docs: int = 50_000
 ) -> int:
-    """Write the token files; returns the number of shards."""
+    """Write the token files; returns the number of shards asked for."""
     spark = docs.sparkSession
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # one vocabulary file
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // shard_docs))
-    bounds = np.array(shard_bounds(docs, id_col, shards), dtype=np.int64)
-    shards = len(bounds) + 1
     tail = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches):
-        enc = _encoder(definition.value)
+        enc, shard, start = _encoder(definition.value), TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = batch.column(0)
-            real = np.asarray(ids.is_valid())
-            shard = np.where(real, np.searchsorted(bounds, ids.fill_null(0).to_numpy(), side="left"), 0).astype(np.int32)
-            cells, crc = [], []
             for i, j, data, off in text_slices(batch.column(1), SLICE):
-                raws = [data[a:b].tobytes() for a, b in zip(off[:-1], off[1:], strict=True)]
-                crc += [zlib.crc32(raw) for raw in raws]
-                cells += [pack(np.frombuffer(x + tail, dtype="<u4")) for x in enc.documents(raws)]
-            yield pa.record_batch([pa.array(shard), ids, pa.array(crc, pa.int64()), pa.array(cells, pa.binary())], names=["shard", "id", "crc", "cell"])
-
-    def lay_out(batches):
-        start, own = 0, None
-        for batch in batches:
-            got = [unpack(c, "<u4") for c in batch.column(3).to_pylist()]
-            n = np.array([len(g) for g in got], dtype=np.int64)
-            shard = batch.column(0).to_numpy()
-            local = np.empty(len(n), dtype=np.int64)
-            for k in range(len(n)):  # one shard a task; a retried or merged task may still hold two
-                if shard[k] != own:
-                    own, start = shard[k], 0
-                local[k] = start
-                start += n[k]
-            flat = np.concatenate(got).astype(np.int32) if got else np.zeros(0, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(flat))
-            yield pa.record_batch([batch.column(1), lists, pa.array(n), pa.array(local), batch.column(0)], names=["id", "tokens", "n_tokens", "local_start", "shard"])
-
-    x = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t"))
-    x = x.mapInArrow(encode, "shard int, id bigint, crc bigint, cell binary")
-    x = x.repartitionById(shards, "shard").sortWithinPartitions("shard", "id", "crc")
-    x = x.mapInArrow(lay_out, "id bigint, tokens array<int>, n_tokens bigint, local_start bigint, shard int")
+                got = [x + tail for x in enc.slice(data, off)]
+                n = np.array([len(g) // 4 for g in got], dtype=np.int64)
+                at = np.concatenate(([0], np.cumsum(n)))
+                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(got), dtype="<u4").astype(np.int32)))
+                own = pa.array(np.full(j - i, shard, dtype=np.int32))
+                yield pa.record_batch([batch.column(0).slice(i, j - i), lists, pa.array(n), pa.array(start + at[:-1]), own], names=["id", "tokens", "n_tokens", "local_start", "shard"])
+                start += int(at[-1])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    order = ["id", "crc", "hash", "place"]
+    x = docs.select(
+        F.col(id_col).cast("bigint").alias("id"), text.alias("t"),
+        F.crc32(text.cast("binary")).alias("crc"), F.xxhash64(text).alias("hash"), F.monotonically_increasing_id().alias("place"),
+    )
+    x = x.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("id", "t")
+    x = x.mapInArrow(encode, "id bigint, tokens array<int>, n_tokens bigint, local_start bigint, shard int")
     x.withColumnRenamed("id", id_col).write.options(**WRITE_OPTIONS).parquet(path)
     return shards
 

@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from conftest import frame
+
 from lodestar.llm import rolling as R
 from lodestar.llm.components import connected_components
 from lodestar.llm.decontaminate import clean_documents, contamination
@@ -220,3 +222,58 @@ def test_rolling_helpers():
     assert R.sliding_argmin(h, 3).tolist() == [1, 1, 4, 4]
     a, b = R.merge_spans(np.array([5, 0, 2, 9]), np.array([7, 2, 4, 10]))
     assert a.tolist() == [0, 5, 9] and b.tolist() == [4, 7, 10]
+
+
+def crc_twins():
+    """Two unlike texts of equal CRC-32: 60 words of a passage, and 121 words that occur nowhere else."""
+    import zlib
+
+    passage = [f"p{k}q" for k in range(60)]
+    a = " ".join(passage)
+    alone = " ".join(f"u{k}v" for k in range(120))
+    want, table = zlib.crc32(a.encode()), {}
+    # the CRC after a suffix is linear in it: meet in the middle over three letters before and four behind
+    letters = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-_"
+    head = f"{alone} ".encode()
+    start = zlib.crc32(head)
+    for x in letters:
+        for y in letters:
+            for z in letters:
+                w = bytes((x, y, z))
+                table[zlib.crc32(w, start)] = w
+    # undo four bytes from the wanted value: crc tables are invertible
+    crc = [0] * 256
+    for n in range(256):
+        c = n
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        crc[n] = c
+    back = {c >> 24: n for n, c in enumerate(crc)}
+
+    def undo(value, byte):
+        value ^= 0xFFFFFFFF
+        n = back[value >> 24]
+        return ((((value ^ crc[n]) << 8) & 0xFFFFFFFF) | (n ^ byte)) ^ 0xFFFFFFFF
+
+    for t in letters:
+        one = undo(want, t)
+        for u in letters:
+            two = undo(one, u)
+            for v in letters:
+                three = undo(two, v)
+                if three in table:
+                    b = (head + table[three] + bytes((v, u, t))).decode()
+                    assert zlib.crc32(b.encode()) == want
+                    return a, b, passage
+    raise AssertionError("no twin")
+
+
+def test_null_ids_of_equal_crc_keep_their_own_text(spark):
+    """A null id's row is named by 62 bits of its text: another text of equal CRC loses nothing to it."""
+    a, b, passage = crc_twins()
+    rows = [(1, "start here " + " ".join(passage) + " end there", "s"), (None, a, "s"), (None, b, "s")]
+    d = frame(spark, rows)
+    got = {(r["n_words"], r["n_removed"]) for r in remove_repeated_windows(d).collect()}
+    assert got == {(64, 60), (60, 60), (121, 0)}
+    removed = {r["n_bytes"]: r["n_removed"] for r in remove_repeated_bytes(d).collect()}
+    assert removed[len(b)] == 0 and removed[len(a)] == len(a)
