@@ -56,11 +56,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
+#: small row groups: every running task of a stage holds one in memory while it writes
+WRITE_OPTIONS = {"parquet.block.size": str(16 << 20), "compression": "zstd"}
+
+
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        stage(spark, docs, sf_dir).write.options(**WRITE_OPTIONS).parquet(path)
         docs = spark.read.parquet(path)
     return docs
