@@ -1,5 +1,9 @@
 """Host-level quality rules: per-document rule failures, shrunk failure rates per host, verdicts joined back.
 
+A document fails by ``base_failed`` (too short or repetitive), by many symbols, by many repeated lines or by odd word lengths. A host fails if its shrunk
+rate of failing documents lies more than ``max_sd`` standard deviations of the host rates above the rate of all documents: a host is judged
+against the others, not against a fixed rate. With few hosts (or equal rates) none can lie that far out, and only the base rules decide.
+
 Only DataFrame functions run here (no Python workers). Per document the rules are array expressions over its own
 words, so a text is read once and never exploded into rows. The per-document measures (a few numbers a row) are
 checkpointed in the shared folder, since both the host rates and the join back read them.
@@ -11,6 +15,8 @@ Columns other than the three named ones are not read, so clashing names do no ha
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +43,11 @@ def text_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     t = F.col("_t")
     x = docs.select(F.col(id_col).alias("_id"), F.col(host_col).alias("_host"), F.coalesce(F.col(text_col), F.lit("")).alias("_t"))
-    x = x.withColumn("_w", F.regexp_extract_all(t, F.lit(WORD), F.lit(0)))
-    n = F.size("_w")
+    # every word is hashed once, a window is the hash of its eight numbers
+    x = x.withColumn("_wh", F.transform(F.regexp_extract_all(t, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w)))
+    n = F.size("_wh")
     grams = F.when(
-        n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col("_w"), i, F.lit(WINDOW))))
+        n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col("_wh"), i, F.lit(WINDOW))))
     ).otherwise(F.array().cast("array<bigint>"))
     lines = F.filter(F.split(t, "\n", -1), lambda s: F.length(F.translate(s, BLANKS, "")) > 0)
     x = x.select(
@@ -72,8 +79,14 @@ def text_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
-def host_verdicts(judged: DataFrame, host_col: str = "host", failed_col: str = "base_failed", max_rate: float = 0.5) -> DataFrame:
-    """Per host: documents, failures, shrunk failure rate, and whether the host passes (rate <= max_rate).
+def document_failed(base_failed: Column) -> Column:
+    """Whether a document fails any rule: the base rules, a symbol in ten words, a repeated line in ten words, words of under 2 or over 15 characters on average."""
+    w = F.col("n_words")
+    return base_failed | (10 * F.col("n_symbols") > w) | (10 * F.col("n_dup_lines") > w) | (F.col("word_chars") < 2 * w) | (F.col("word_chars") > 15 * w)
+
+
+def host_verdicts(judged: DataFrame, host_col: str = "host", failed_col: str = "failed", max_sd: float = 3.0) -> DataFrame:
+    """Per host: documents, failures, shrunk failure rate, and whether the host passes (rate <= m + max_sd * sqrt(v), see below).
 
     Empirical beta prior by moments: with m the failure rate of all documents and v the variance of the host
     rates, the prior weighs K = m(1-m)/v - 1 documents (at least 1; without spread every host takes m), and a
@@ -85,8 +98,9 @@ def host_verdicts(judged: DataFrame, host_col: str = "host", failed_col: str = "
     rate = F.col("f") / F.col("n")
     m, v = hosts.agg(F.sum("f") / F.sum("n"), F.var_pop(rate)).first()  # two numbers
     k = max(1.0, m * (1 - m) / v - 1) if v else None
+    most = None if m is None else m + max_sd * math.sqrt(v or 0.0)
     shrunk = F.lit(m).cast("double") if k is None else (F.col("f") + F.lit(m * k)) / (F.col("n") + F.lit(k))
-    return hosts.select("host", F.col("n").alias("host_docs"), F.col("f").alias("host_failed"), shrunk.alias("host_rate"), (shrunk <= F.lit(max_rate)).alias("host_ok"))
+    return hosts.select("host", F.col("n").alias("host_docs"), F.col("f").alias("host_failed"), shrunk.alias("host_rate"), (shrunk <= F.lit(most)).alias("host_ok"))
 
 
 def judge_documents(
@@ -96,16 +110,16 @@ def judge_documents(
     host_col: str = "source",
     min_words: int = 20,
     max_repeat_percent: int = 30,
-    max_rate: float = 0.5,
+    max_sd: float = 3.0,
 ) -> DataFrame:
     """Rule measures, ``base_failed`` and ``kept`` of every document; ``kept`` needs a host that passes too."""
     x = text_measures(docs, id_col, text_col, host_col).withColumn(
         "base_failed",
         (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")),
     )
-    x = reliable_checkpoint(x)
-    v = host_verdicts(x, max_rate=max_rate)
-    v = v.select(F.col("host").alias("_vhost"), "host_rate", "host_ok")
+    x = reliable_checkpoint(x.withColumn("failed", document_failed(F.col("base_failed"))))
+    v = host_verdicts(x, max_sd=max_sd)
+    v = reliable_checkpoint(v.select(F.col("host").alias("_vhost"), "host_rate", "host_ok"))  # written: the join of a hot host can be split
     j = x.join(v, F.col("host").eqNullSafe(F.col("_vhost")), "left")
     kept = (~F.col("base_failed")) & F.col("host_ok")
     return j.select(

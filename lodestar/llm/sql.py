@@ -21,11 +21,12 @@ WITH d AS (
 ), b AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
 ), h AS (
-  SELECT source, count(*) AS n, sum(base_failed::INT) AS f FROM b GROUP BY source
+  SELECT source, count(*) AS n, sum((base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT) AS f
+  FROM b GROUP BY source
 ), p AS (
   SELECT sum(f) / sum(n) AS m, var_pop(f / n) AS v FROM h
 ), k AS (
-  SELECT h.source, CASE WHEN v > 0 THEN (f + m * greatest(1.0, m * (1 - m) / v - 1)) / (n + greatest(1.0, m * (1 - m) / v - 1)) ELSE m END <= 0.5 AS ok
+  SELECT h.source, CASE WHEN v > 0 THEN (f + m * greatest(1.0, m * (1 - m) / v - 1)) / (n + greatest(1.0, m * (1 - m) / v - 1)) ELSE m END <= m + 3.0 * sqrt(v) AS ok
   FROM h, p
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, (NOT base_failed) AND ok AS kept
