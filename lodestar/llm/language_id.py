@@ -4,13 +4,15 @@
 language, those of smallest id hash. Only one table of 2**16 log-probabilities a language reaches the driver.
 
 *Words.* A word is a run of letters. Its script is that of its first letter, by code-point ranges; languages that do not write that script (under 1% of
-their sampled letters) cannot label it, and a word in a script no language writes says nothing. Its score in a language is the sum of
+their sampled letters) cannot label it, and a word in a script no
+language writes says nothing: its letters count in a text's total, but for no language. Its score in a language is the sum of
 its trigrams' log-probabilities, bounded to ``word_cap`` below the best language so that one odd word cannot force a switch.
 
 *Spans.* The best labelling of a text's words under a cost for every switch (Viterbi) gives the spans. ``lang_pred`` is the language with most
 letters, ``score`` its share of all letters. All texts of an Arrow batch advance together, longest first, one word a step.
 
-Defined results: null text, or text without a letter, is ``und`` with score 0; without any training row every text is ``und``; rows with a null language or
+Defined results: null text, or text without a letter, is ``und`` with score 0; a text wholly in scripts that no learned language writes gets the first language
+with score 0 (``accepted_documents`` drops it); without any training row every text is ``und``; rows with a null language or
 text teach nothing; ties go to the language that sorts first; an empty table gives no rows. Only the named columns are read.
 """
 
@@ -145,16 +147,16 @@ def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return LanguageModel(names, np.log(prob).T.astype(np.float32).copy(), writes.T.copy())
 
 
-def word_scores(model: LanguageModel, words: _Words, word_cap: float) -> np.ndarray:
-    """(words, languages): score below the best language of the word, at least -word_cap; all 0 in an unknown script."""
+def word_scores(model: LanguageModel, words: _Words, word_cap: float):
+    """(words, languages): score below the best language of the word, at least -word_cap; all 0 in an unknown script. And which words' script is known."""
     if not len(words.start):
-        return np.zeros((0, len(model.langs)), dtype=np.float32)
+        return np.zeros((0, len(model.langs)), dtype=np.float32), np.zeros(0, dtype=bool)
     s = np.add.reduceat(model.scores[words.gram], words.start, axis=0) + model.scores[words.end_gram]
     can = model.writes[words.script]
     known = can.any(1)
     s = np.where(can, s, -np.inf)
     s[~known] = 0
-    return np.maximum(s - s.max(1, keepdims=True), -word_cap).astype(np.float32)
+    return np.maximum(s - s.max(1, keepdims=True), -word_cap).astype(np.float32), known
 
 
 def viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, switch: float) -> np.ndarray:
@@ -200,13 +202,13 @@ def label_languages(
     names = [*docs.columns, f"{prefix}lang_pred", f"{prefix}score"]
     at_text = docs.columns.index(text_col)
 
-    def decide(model, scores, words_of, letters, batch_rows):
+    def decide(model, scores, words_of, letters, known, batch_rows):
         first = np.concatenate(([0], np.cumsum(words_of)))[:-1]
         label = viterbi(scores, first, words_of, switch)
         text = np.repeat(np.arange(batch_rows), words_of)
         share = np.zeros((batch_rows, max(1, len(model.langs))))
-        np.add.at(share, (text, label), letters)
-        total = share.sum(1)
+        np.add.at(share, (text, label), letters * known)
+        total = np.bincount(text, letters, minlength=batch_rows)  # letters of an unknown script count for no language
         top = share.argmax(1)
         pred = [model.langs[k] if t else "und" for k, t in zip(top.tolist(), total.tolist(), strict=True)]
         score = np.where(total > 0, share[np.arange(batch_rows), top] / np.maximum(total, 1), 0.0)
@@ -222,7 +224,7 @@ def label_languages(
 
             def emit(a, b, parts):
                 scores = np.concatenate([p[0] for p in parts])
-                pred, score, label, text, first = decide(model, scores, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), b - a)
+                pred, score, label, text, first = decide(model, scores, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]), b - a)
                 part = whole.slice(a, b - a)
                 cols = [*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())]
                 out_names = list(names)
@@ -239,9 +241,10 @@ def label_languages(
             for i, j, data, off in R.text_slices(column):
                 words = _Words(data, off)
                 if not model.langs:  # nothing learned: no word counts
-                    held.append((np.zeros((0, 1), dtype=np.float32), np.zeros(j - i, dtype=np.int64), np.zeros(0)))
+                    held.append((np.zeros((0, 1), dtype=np.float32), np.zeros(j - i, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=bool)))
                 else:
-                    held.append((word_scores(model, words, word_cap), np.diff(words.first), words.letters))
+                    scores, known = word_scores(model, words, word_cap)
+                    held.append((scores, np.diff(words.first), words.letters, known))
                 n_words += len(held[-1][0])
                 if n_words >= FLUSH_WORDS:
                     yield emit(rows_from, j, held)
