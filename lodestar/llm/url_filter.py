@@ -2,7 +2,7 @@
 
 Only DataFrame functions run here. A URL's canonical form is its host and path (A-Z of the host lower-cased, scheme, query, fragment and closing slashes
 dropped). Every listed form sets one bit in each of the eight 64-bit words of one 512-bit block; the filter is a table of blocks, so
-it grows with the list and is joined by block number like any other table. URLs whose bits are all set are possible hits, and an exact
+it grows with the list; below 32 MB (its number of blocks is counted) it is broadcast, so that only possible hits are shuffled, above that it is joined by block number. URLs whose bits are all set are possible hits, and an exact
 join with the listed forms removes the false positives among them. Filter and listed forms are written before they are joined, which lets
 the skew join split a URL or block that many pages share.
 
@@ -35,6 +35,7 @@ RULES = (
 #: host labels whose pages make up the list of the query
 LISTED_LABELS = ("spam-farm", "casino-win", "adult-x", "free-bets")
 WORDS, BITS_PER_KEY = 8, 16
+BLOCK_BYTES, BROADCAST_BYTES = 8 * (WORDS + 1), 32 << 20
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -87,7 +88,7 @@ def filter_urls(
     host, path = host_and_path(F.col(url_col))
     x = pages.select(F.col(id_col).alias("_id"), host.alias("host"), path.alias("path"))
     x = x.withColumn("_form", canonical(F.col("host"), F.col("path"))).withColumn("block", _block(F.col("_form"), blocks))
-    x = x.join(table, "block", "left")
+    x = x.join(F.broadcast(table) if blocks * BLOCK_BYTES <= BROADCAST_BYTES else table, "block", "left")
     every = F.lit(True)
     for i in range(WORDS):
         bit = _bit(F.col("_form"), i)
