@@ -11,9 +11,9 @@ order, so the containment is exact and the necessary prefix of a window, ordered
 Items are taken in blocks of at most ``block_windows`` windows in id order; each block is broadcast (bounded by that number) and is one pass over the
 documents, chained without a shuffle. Documents are never shuffled, so no passage is too frequent.
 
-Defined results: null texts and texts without a word have no words and no hits; items without a word and items with a null id are no items; repeated
-items of one id count once; repeated rows are judged one by one; empty tables give no rows, or rows without hits. Columns that are
-not named pass through :func:`mark_documents` unchanged, whatever their names.
+Defined results: null texts and texts without a word have no words and no hits; items without a word are no items; items with a null id
+mark their words like any other and count as one item together, which the list of ids leaves out; repeated items of one id count once; repeated rows are judged one by one; empty tables give no rows, or rows without hits. Columns that are
+not named pass through :func:`mark_documents` unchanged, whatever their names: the prefix of the new columns gets underscores until none clashes.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from . import rolling as R
 
 LENGTH = 10
+MARKS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 _WORDS, _GRAMS = R.SpanHash(401), R.SpanHash(402)
 
 
@@ -60,7 +61,7 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, length: int, bloc
             words = [b" ".join(split_words(t.as_buffer().to_pybytes())) if t.is_valid else b"" for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(words, pa.binary())], names=["item", "words"])
 
-    x = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("_t"))
+    x = items.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).alias("_t"))
     block: list[tuple[str, list[bytes]]] = []
     for row in x.mapInArrow(cut, kind).where("length(words) > 0").distinct().orderBy("item", "words").toLocalIterator():
         words = bytes(row["words"]).split()
@@ -149,17 +150,27 @@ def find_windows(ix: WindowIndex, data, off):
     return start[same], end[same], row[same], first
 
 
+def free_prefix(columns, prefix: str, names=MARKS) -> str:
+    """``prefix`` with as many underscores as it takes for none of ``names`` to be a column already (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    while any((prefix + n).lower() in taken for n in names):
+        prefix += "_"
+    return prefix
+
+
 def mark_documents(
     docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", length: int = LENGTH,
     block_windows: int = 500_000, prefix: str = "",
 ) -> DataFrame:
-    """All columns of ``docs`` and n_words, n_hit, n_items, items_sha256, contaminated, items (names after ``prefix``)."""
+    """All columns of ``docs`` and n_words, n_hit, n_items, items_sha256, contaminated (names after ``prefix``, see ``free_prefix``)."""
+    prefix = free_prefix(docs.columns, prefix)
+    held = free_prefix(docs.columns, "__", ("words", "spans", "items"))
     sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(text_col).alias("_text"))
     at_text, width = docs.columns.index(text_col), len(docs.columns)
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    x = docs.withColumns({"__words": F.lit(0).cast("bigint"), "__spans": F.lit(None).cast("binary"), "__items": F.array().cast("array<string>")})
-    full = f"{base}, `__words` bigint, `__spans` binary, `__items` array<string>"
+    x = docs.withColumns({f"{held}words": F.lit(0).cast("bigint"), f"{held}spans": F.lit(None).cast("binary"), f"{held}items": F.array().cast("array<string>")})
+    full = f"{base}, `{held}words` bigint, `{held}spans` binary, `{held}items` array<string>"
     for block in item_windows(items, item_id, item_text, length, block_windows):
         index = sc.broadcast(index_windows(texts, block))
         x = x.mapInArrow(_mark_block(index, at_text, width), full)
@@ -175,14 +186,15 @@ def mark_documents(
                 if span:
                     s, e = R.merge_spans(*np.frombuffer(span, dtype=np.int64).reshape(2, -1))
                     covered = int((e - s).sum())
-                names = sorted(set(batch.column(width + 2)[k].as_py() or ()))
+                found = set(batch.column(width + 2)[k].as_py() or ())
+                names = sorted(found - {None})
                 n_words.append(n)
                 n_hit.append(covered)
-                n_items.append(len(names))
+                n_items.append(len(found))
                 sha.append(hashlib.sha256(",".join(names).encode()).hexdigest())
                 hit.append(covered > 0)
             cols = [*batch.columns[:width], pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(sha, pa.string()), pa.array(hit, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:width], *(prefix + c for c in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated"))])
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:width], *(prefix + c for c in MARKS)])
 
     return x.mapInArrow(finish, f"{base}, `{prefix}n_words` bigint, `{prefix}n_hit` bigint, `{prefix}n_items` bigint, `{prefix}items_sha256` string, `{prefix}contaminated` boolean")
 
@@ -204,7 +216,7 @@ def _mark_block(index, at_text: int, width: int):
                         a, b = np.frombuffer(old, dtype=np.int64).reshape(2, -1)
                         s, e = np.concatenate((a, s)), np.concatenate((b, e))
                     spans[i + k] = np.concatenate((s, e)).astype(np.int64).tobytes()
-                    names[i + k] = sorted({*names[i + k], *(ix.item[r] for r in row[own])})
+                    names[i + k] = list({*names[i + k], *(ix.item[r] for r in row[own])})
             cols = [*batch.columns[: width + 1], pa.array(spans, pa.binary()), pa.array(names, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
 
@@ -221,4 +233,4 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def clean_documents(docs: DataFrame, items: DataFrame, text_col: str = "text", **kw) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs."""
     x = mark_documents(docs, items, text_col, prefix="_dc_", **kw)
-    return x.where(~F.col("_dc_contaminated")).select(*docs.columns)
+    return x.where(~F.col(free_prefix(docs.columns, "_dc_") + "contaminated")).select(*docs.columns)

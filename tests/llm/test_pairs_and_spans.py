@@ -173,7 +173,7 @@ def brute_contamination(rows, items, length=10):
     wins = {}
     for item, t in items:
         w = split(t)
-        for i in range(max(1, len(w) - length + 1)) if w and item is not None else ():
+        for i in range(max(1, len(w) - length + 1)) if w else ():
             wins.setdefault(tuple(w[i : i + length]), set()).add(item)
     out = []
     for i, t, _ in rows:
@@ -184,8 +184,8 @@ def brute_contamination(rows, items, length=10):
                 if len(x) == n and x in wins:
                     hit |= set(range(a, a + n))
                     names |= wins[x]
-        names = sorted(map(str, names))
-        out.append((i, len(w), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
+        n_items, names = len(names), sorted(str(x) for x in names if x is not None)
+        out.append((i, len(w), len(hit), n_items, hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
     return sorted(out, key=key)
 
 
@@ -268,6 +268,19 @@ def crc_twins():
     raise AssertionError("no twin")
 
 
+def test_marks_beside_columns_of_their_names(spark):
+    from lodestar.llm.decontaminate import mark_documents
+
+    item = " ".join(f"i{k}" for k in range(12))
+    rows = [(1, f"a b {item} c", 7, "x", 8, None, True), (2, "a b c", 9, "y", 1, "z", False)]
+    d = spark.createDataFrame(rows, "doc_id int, text string, n_words int, __words string, __Items int, _dc_n_hit string, contaminated boolean")
+    items = spark.createDataFrame([(None, item)], "item_id bigint, text string")
+    got = mark_documents(d, items).orderBy("doc_id").collect()
+    assert [tuple(r)[:7] for r in got] == rows and got[0].__fields__[7:] == ["_n_words", "_n_hit", "_n_items", "_items_sha256", "_contaminated"]
+    assert [tuple(r)[7:10] for r in got] == [(15, 12, 1), (3, 0, 0)] and got[0]["_items_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert [tuple(r) for r in clean_documents(d, items).collect()] == rows[1:]
+
+
 def test_null_ids_of_equal_crc_keep_their_own_text(spark):
     """A null id's row is named by 62 bits of its text: another text of equal CRC loses nothing to it."""
     a, b, passage = crc_twins()

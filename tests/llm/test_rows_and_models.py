@@ -105,16 +105,28 @@ def test_quality_rules(docs, rows):
         rep = {j for k in range(len(w) - 7) if n[tuple(w[k : k + 8])] > 1 for j in range(k, k + 8)}
         lines = [x for x in t.split("\n") if WORD.search(x)]
         failed = len(w) < 20 or 100 * len(rep) > 30 * len(w)
-        hosts[s].append(failed)
-        want.append((s, (i, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(rep), failed)))
+        chars, symbols, again = sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines))
+        hosts[s].append(failed or 10 * symbols > len(w) or 10 * again > len(w) or chars < 2 * len(w) or chars > 15 * len(w))
+        want.append((s, (i, len(w), chars, symbols, again, len(rep), failed)))
     m = sum(map(sum, hosts.values())) / len(rows)
     rates = [sum(x) / len(x) for x in hosts.values()]
     v = np.var(rates)
     k = max(1.0, m * (1 - m) / v - 1)
-    ok = {s: (sum(x) + m * k) / (len(x) + k) <= 0.5 for s, x in hosts.items()}
+    ok = {s: (sum(x) + m * k) / (len(x) + k) <= m + 3 * v**0.5 for s, x in hosts.items()}
     assert got == sorted(((*r, not r[-1] and ok[s]) for s, r in want), key=key)
 
 
+def test_a_host_far_from_the_others_takes_its_documents_along(spark):
+    """Hosts are judged against each other: one that breaks other than the base rules loses its sound documents too."""
+    sound = " ".join(f"word{k}" for k in range(40))
+    rows = [(h * 100 + k, sound + (" $$$ ### &&& ***" if k % 10 == 0 else ""), f"h{h}") for h in range(20) for k in range(30)]
+    rows += [(5000 + k, sound + (" $$$ ### &&& ***" if k % 10 else ""), "spam") for k in range(30)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = judge_documents(d).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if not r["kept"]} == {5000 + k for k in range(30)}
+
+
 def test_quality_rules_run_without_python(docs):
     plan = judge_documents(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
@@ -235,6 +247,12 @@ def test_language_spans_of_mixed_text(spark):
     assert label_languages(x.limit(0), model).count() == 0
     assert label_languages(x, train_languages(d.limit(0))).where("lang_pred <> 'und' OR score > 0").count() == 0
     assert accepted_documents(d).columns == d.columns
+    assert [(r["score"], r["lang_pred"] in model.langs) for r in got if r["doc_id"] == 4] == [(0.0, True)]  # nobody learned that script
+    mixed = label_languages(x.where("doc_id = 5").withColumn("text", F.concat("text", F.lit(" 日本語" * 300))), model).first()
+    assert mixed["lang_pred"] == "en" and mixed["score"] < 0.5
+    foreign = d.limit(3).withColumn("text", F.lit("日本語 日本語")).withColumn("doc_id", -F.col("doc_id") - 1)
+    kept = {r["doc_id"] for r in accepted_documents(d.union(foreign)).select("doc_id").collect()}
+    assert kept and min(kept) >= 0
 
 
 def test_language_held_out_accuracy(spark):
