@@ -35,11 +35,15 @@ ROWS_PER_BLOCK = 1 << 18
 
 @dataclass(frozen=True)
 class PlacedRatings:
-    """``cells`` (block, part, item_id, user_id, rating) bucketed by block, ``routes`` (block, side, id), ratings per part."""
+    """``cells`` (block, part, item_id, user_id, rating) bucketed by block, ``routes`` (block, side, id), ratings per part.
+
+    Block = item range * ranges + user range.
+    """
 
     cells: DataFrame
     routes: DataFrame
     sizes: dict
+    ranges: int
 
 
 def place_ratings(ratings: DataFrame, rows_per_block: int | None = None) -> PlacedRatings:
@@ -52,7 +56,7 @@ def place_ratings(ratings: DataFrame, rows_per_block: int | None = None) -> Plac
     cells = write_bucketed(x.select(block.cast("int").alias("block"), "*"), "block", side * side, ["block", "part"])
     both = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}_id").cast("bigint").alias("id")) for s in (ITEM, USER)])
     routes = reliable_checkpoint(cells.select("block", F.inline(both)).distinct())
-    return PlacedRatings(cells, routes, sizes)
+    return PlacedRatings(cells, routes, sizes, side)
 
 
 def start_factors(item_f: DataFrame, user_f: DataFrame, k: int, models: int) -> DataFrame:
@@ -233,3 +237,63 @@ def grid_search(
     rows = [(float(lr), float(reg), mse[m], m == best, error if m == best else None) for m, (lr, reg) in enumerate(points)]
     report = item_f.sparkSession.createDataFrame(rows, "lr DOUBLE, reg DOUBLE, valid_mse DOUBLE, best BOOLEAN, test_mse DOUBLE")
     return Grid(report, fit.side(ITEM, model), fit.side(USER, model))
+
+
+# ---------------------------------------------------------------- one rating at a time
+
+
+def _record_steps(item, user, rating, U, V, lr: float, reg: float):
+    """One pass over a block's ratings: each moves its item's and its user's factors before the next is read. Rows of U and V are lists of floats."""
+    # a fixed order that follows neither ids nor partitioning
+    order = np.argsort((item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ (user.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)), kind="stable")
+    for i, u, r in zip(item[order].tolist(), user[order].tolist(), rating[order].tolist(), strict=True):
+        a, b = U.get(i), V.get(u)
+        if a is None or b is None:
+            continue
+        e = r - sum(x * y for x, y in zip(a, b, strict=True))
+        U[i] = [x + lr * (e * y - reg * x) for x, y in zip(a, b, strict=True)]
+        V[u] = [y + lr * (e * x - reg * y) for x, y in zip(a, b, strict=True)]
+
+
+def stratified_sgd(placed: PlacedRatings, part: str, item_f: DataFrame, user_f: DataFrame, k: int, epochs: int, lr: float, reg: float = 0.0, valid: str | None = None) -> Fit:
+    """Per-record gradient descent, U[i] += lr (e V[u] - reg U[i]) and V[u] alike, in strata.
+
+    A strictly sequential pass cannot be dealt out, but ratings that share neither item nor user do not touch each other. The blocks (d, d + s) of the grid
+    of ranges, for one s, share no range: they run at the same time, each in the order of its own ratings, and an epoch takes as many strata as there
+    are ranges. The result is that of one sequential pass over the strata. The report gives the error over ``part`` (and ``valid``) after each epoch;
+    epoch -1 is before the first.
+    """
+    types = f"side string, id bigint, {', '.join(f'{f} double' for f in fcols(k))}"
+    schema = pa.schema([("side", pa.string()), ("id", pa.int64()), *[(f, pa.float64()) for f in fcols(k)]])
+
+    def block(key, cells, routed):
+        if not len(cells):
+            return schema.empty_table()
+        rows = list(zip(*[routed[f].to_pylist() for f in fcols(k)], strict=True))
+        tables = {ITEM: {}, USER: {}}
+        for side, i, f in zip(routed["side"].to_pylist(), routed["id"].to_pylist(), rows, strict=True):
+            tables[side][i] = list(f)
+        _record_steps(*[cells[c].to_numpy() for c in ("item_id", "user_id", "rating")], tables[ITEM], tables[USER], lr, reg)
+        flat = [(s, i, *f) for s, t in tables.items() for i, f in t.items()]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*flat, strict=True), schema.types, strict=True)], schema=schema) if flat else schema.empty_table()
+
+    factors = reliable_checkpoint(start_factors(item_f, user_f, k, 1))
+    own = placed.cells.where(F.col("part") == part).select("block", "item_id", "user_id", "rating")
+    report = []
+
+    def measure(epoch):
+        errors = [evaluate(placed, factors, p, k).get(0) if p else None for p in (part, valid)]
+        report.append((0, epoch, float(lr), *errors))
+
+    measure(-1)
+    for epoch in range(epochs):
+        for s in range(placed.ranges):
+            blocks = [d * placed.ranges + (d + s) % placed.ranges for d in range(placed.ranges)]
+            cells = own.where(F.col("block").isin(blocks))
+            routed = placed.routes.where(F.col("block").isin(blocks)).join(factors.select("side", "id", *fcols(k)), ["side", "id"])
+            moved = cells.groupBy("block").cogroup(routed.select("block", "side", "id", *fcols(k)).groupBy("block")).applyInArrow(block, types)
+            moved = moved.select("side", "id", *[F.col(f).alias(f"_{f}") for f in fcols(k)])  # an item or user lies in one block of a stratum
+            factors = factors.join(moved, ["side", "id"], "left").select("model", "side", "id", *[F.coalesce(f"_{f}", f).alias(f) for f in fcols(k)])
+            factors = reliable_checkpoint(factors)
+        measure(epoch)
+    return Fit(factors, k, item_f.sparkSession.createDataFrame(report, "model INT, epoch INT, lr DOUBLE, train_loss DOUBLE, valid_mse DOUBLE"))

@@ -95,6 +95,20 @@ def q_center_ratings(spark, sf):
     return c.select("user_id", "item_id", "rating", round6("centered").alias("centered"))
 
 
+@query("center_items", f"""
+WITH {UM_SQL}
+SELECT user_id, item_id, rating, round(rating - avg(rating) OVER (PARTITION BY item_id), 6) AS centered FROM um""")
+def q_center_items(spark, sf):
+    c = R.center_ratings(shared_um(spark, sf), "item")
+    return c.select("user_id", "item_id", "rating", round6("centered").alias("centered"))
+
+
+@query("center_all", f"WITH {UM_SQL} SELECT user_id, item_id, rating, round(rating - (SELECT avg(rating) FROM um), 6) AS centered FROM um")
+def q_center_all(spark, sf):
+    c = R.center_ratings(shared_um(spark, sf), "all")
+    return c.select("user_id", "item_id", "rating", round6("centered").alias("centered"))
+
+
 @query("rated_by", f"""
 WITH {UM_SQL},
 d AS (SELECT item_id, count(*) AS n_in_key FROM um GROUP BY 1),

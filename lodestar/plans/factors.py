@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import round6
@@ -236,6 +237,34 @@ def q_grid_report(spark, sf):
     return grid.report.select("lr", "reg", round6("valid_mse").alias("valid_mse"), "best", round6("test_mse").alias("test_mse"))
 
 
+STRATA_EPOCHS, STRATA_LR, STRATA_REG = 2, 0.003, 0.05
+
+
+@query("sgd_strata_report", f"""
+WITH {SPLIT_SQL},
+er AS (SELECT r.split, r.user_id, r.item_id, r.rating - sum(u.value * v.value) AS e
+       FROM sp r JOIN fu u ON u.id = r.item_id AND u.f < {K_FIT} JOIN fv v ON v.id = r.user_id AND v.f = u.f WHERE r.split <> 'test'
+       GROUP BY r.split, r.user_id, r.item_id, r.rating),
+m AS (SELECT split, avg(e * e) AS mse FROM er GROUP BY split),
+ep(epoch) AS (SELECT unnest(range(-1, {STRATA_EPOCHS})))
+SELECT epoch::INTEGER AS epoch, CASE WHEN epoch < 0 THEN round(t.mse, 6) END AS train_mse_before, CASE WHEN epoch < 0 THEN round(v.mse, 6) END AS valid_mse_before,
+       epoch >= 0 AS train_mse_falls, TRUE AS valid_mse_at_most_that_before
+FROM ep, (SELECT mse FROM m WHERE split = 'train') t, (SELECT mse FROM m WHERE split = 'valid') v""")
+def q_sgd_strata_report(spark, sf):
+    """Per-record descent: the errors before it, and whether the training error falls in every epoch (exact orders are not SQL's)."""
+    s, items, users = split(spark, sf)
+    s = reliable_checkpoint(s)
+    train, valid = (s.where(F.col("split") == x) for x in ("train", "valid"))
+    items, users = (f.select("id", *FA.fcols(K_FIT)) for f in (items, users))
+    placed = TR.place_ratings(TR.split_parts(train, valid, 1))
+    r = TR.stratified_sgd(placed, TR.batch_name(0), items, users, K_FIT, STRATA_EPOCHS, STRATA_LR, STRATA_REG, "valid").report
+    last = Window.orderBy("epoch")  # one row an epoch
+    first = F.first("valid_mse").over(last)
+    before = lambda c: F.when(F.col("epoch") < 0, round6(c))
+    falls = F.coalesce(F.col("train_loss") < F.lag("train_loss").over(last), F.lit(False))
+    return r.select("epoch", before("train_loss").alias("train_mse_before"), before("valid_mse").alias("valid_mse_before"), falls.alias("train_mse_falls"), (F.col("valid_mse") <= first).alias("valid_mse_at_most_that_before"))
+
+
 def _als_predictions(spark, sf):
     """Held-out ratings with the prediction of an ALS fit on the training part, null for an unseen user or item."""
     s, _, _ = split(spark, sf)

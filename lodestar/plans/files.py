@@ -28,6 +28,17 @@ def q_csv_ratings(spark, sf):
     return FS.read_ratings_csv(spark, path)
 
 
+@query("ratings_by_name", """
+SELECT o_custkey::BIGINT AS user_id, count(*) AS n, sum(l_quantity)::DOUBLE AS rating
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_custkey IS NOT NULL AND l_partkey IS NOT NULL GROUP BY 1""")
+def q_ratings_by_name(spark, sf):
+    """The ratings under their name, from a CSV file written first, summed per user."""
+    path = _folder(spark, "named.csv")
+    rating_events(spark, sf).write.csv(path, header=True)
+    x = FS.ratings_by_name(spark, "ratings_csv", path)
+    return x.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("rating"))
+
+
 @query("tsv_plays", "SELECT o_custkey AS userid, o_orderkey AS artistid, o_orderpriority AS name FROM orders")
 def q_tsv_plays(spark, sf):
     path = _folder(spark, "plays.tsv")

@@ -73,6 +73,57 @@ def q_curve_sweep(spark, sf):
     return s.select("i", round6("w").alias("w"), round6("loss").alias("loss"), round6("grad").alias("grad"))
 
 
+MOMENTS_SQL = """count(*)::DOUBLE AS n, sum(x) AS sx, sum(x * x) AS sxx, sum(y - x * x) AS sa, sum((y - x * x) * (y - x * x)) AS saa, sum((y - x * x) * x) AS sax"""
+LOSS_SQL = "(saa + 9 * w * w * sxx + 4 * pow(w, 4) * n + 6 * w * sax - 4 * w * w * sa - 12 * pow(w, 3) * sx)"
+GRAD_SQL = f"(-2.0 * (4 * w * sa - 3 * sax + 18 * w * w * sx - 9 * w * sxx - 8 * pow(w, 3) * n) / {LOSS_SQL})"
+DESCENT = {"w0": 0.5, "lr": 0.005, "epochs": 300}
+BATCHED = {"w0": 0.5, "lr": 0.01, "epochs": 50}
+POLY_LR, POLY_STEPS = 0.05, 2
+
+
+@query("curve_descent", f"""
+WITH RECURSIVE {CURVE_PTS_SQL}, m AS (SELECT {MOMENTS_SQL} FROM p),
+d(epoch, w, grad) AS (
+  SELECT -1, {DESCENT["w0"]}::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT epoch + 1, w - {DESCENT["lr"]} * {GRAD_SQL}, {GRAD_SQL} FROM d, m WHERE epoch + 1 < {DESCENT["epochs"]})
+SELECT epoch::INTEGER AS epoch, round(w, 6) AS w, round(grad, 6) AS grad, round(ln({LOSS_SQL}), 6) AS loss FROM d, m WHERE epoch >= 0""")
+def q_curve_descent(spark, sf):
+    _, history = FI.fit_curve(curve_points(spark, sf), **DESCENT)
+    rows = spark.createDataFrame(history, "epoch INT, w DOUBLE, grad DOUBLE, loss DOUBLE")
+    return rows.select("epoch", *[round6(c).alias(c) for c in ("w", "grad", "loss")])
+
+
+@query("curve_descent_batched", f"""
+WITH RECURSIVE p AS (SELECT l_linenumber AS batch, -3.0 + 9.0 * l_quantity / 50 AS x, l_extendedprice / 10000 AS y FROM lineitem),
+m AS (SELECT row_number() OVER (ORDER BY batch) - 1 AS b, count(*) OVER () AS batches, * FROM (SELECT batch, {MOMENTS_SQL} FROM p GROUP BY batch)),
+d(step, w) AS (
+  SELECT 0::BIGINT, {BATCHED["w0"]}::DOUBLE
+  UNION ALL
+  SELECT step + 1, w - {BATCHED["lr"]} * {GRAD_SQL} FROM d JOIN m ON b = step % batches WHERE step < {BATCHED["epochs"]} * batches)
+SELECT round(w, 6) AS w FROM d WHERE step = (SELECT max(step) FROM d)""")
+def q_curve_descent_batched(spark, sf):
+    li = table(spark, sf, "lineitem")
+    pts = li.select(F.col("l_linenumber").alias("batch"), (F.lit(-3.0) + F.lit(9.0) * F.col("l_quantity") / 50).alias("x"), (F.col("l_extendedprice") / 10000).alias("y"))
+    w = FI.fit_curve_batched(pts, "batch", **BATCHED)
+    return spark.createDataFrame([(w,)], "w DOUBLE").select(round6("w").alias("w"))
+
+
+def _poly_descent_sql() -> str:
+    out = [POLY_PTS_SQL, f"c0(i, j, k, c) AS (VALUES {', '.join(f'({i}, {j}, {k}, {c!r}::DOUBLE)' for (i, j, k), c in COEFS.items())})"]
+    for s in range(POLY_STEPS):
+        out.append(f"""d{s} AS (SELECT r, x, y, z, sum(c * pow(x, i) * pow(y, j) * pow(z, k)) - any_value(t) AS d
+  FROM (SELECT row_number() OVER () AS r, * FROM q), c{s} GROUP BY r, x, y, z),
+c{s + 1} AS (SELECT i, j, k, any_value(c) - {POLY_LR} * 2.0 * sum(d * pow(x, i) * pow(y, j) * pow(z, k)) / sum(d * d) AS c FROM d{s}, c{s} GROUP BY i, j, k)""")
+    return ", ".join(out)
+
+
+@query("poly_descent", f"WITH {_poly_descent_sql()} SELECT i, j, k, round(c, 6) AS c FROM c{POLY_STEPS}")
+def q_poly_descent(spark, sf):
+    c = FI.fit_poly(poly_points(spark, sf), COEFS, POLY_LR, POLY_STEPS)
+    return spark.createDataFrame([(*e, float(v)) for e, v in c.items()], "i INT, j INT, k INT, c DOUBLE").select("i", "j", "k", round6("c").alias("c"))
+
+
 @query("poly_eval", f"""
 WITH {POLY_PTS_SQL}
 SELECT l_orderkey, l_linenumber, round(t, 6) AS target, round({POLY_SQL}, 6) AS prediction FROM q""")

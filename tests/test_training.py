@@ -119,3 +119,37 @@ def test_ratings_are_placed_once(spark, data):
     cells = plan[plan.index("FlatMapCoGroupsInArrow"):]
     scan = next(i for i, line in enumerate(cells.splitlines()) if "FileScan" in line and "rating" in line)
     assert not any("Exchange" in line for line in cells.splitlines()[1:scan])
+
+
+def test_strata_are_one_sequential_pass(spark, data):
+    """Blocks of a stratum share nothing, so running them together is running them one after the other."""
+    df, _, items, users, start = data
+    placed = T.place_ratings(T.split_parts(df.where(f"rank <= {TRAIN}"), df.where(f"rank > {TRAIN}"), 1))
+    fit = T.stratified_sgd(placed, "batch0", items, users, K, 2, 0.02, 0.1, "valid")
+    cells = placed.cells.where("part = 'batch0'").collect()
+    U, V = ({i: list(f) for i, f in s.items()} for s in start)
+    for _ in range(2):
+        for s in range(placed.ranges):
+            for d in range(placed.ranges):
+                own = [c for c in cells if c["block"] == d * placed.ranges + (d + s) % placed.ranges]
+                columns = [np.array([c[n] for c in own]) for n in ("item_id", "user_id", "rating")]
+                if own:
+                    T._record_steps(*columns, U, V, 0.02, 0.1)
+    for side, want in ((T.ITEM, U), (T.USER, V)):
+        got = {r["id"]: [r[c] for c in FA.fcols(K)] for r in fit.side(side).collect()}
+        assert got.keys() == want.keys()
+        for k, f in want.items():
+            np.testing.assert_allclose(got[k], f, rtol=1e-9)
+    losses = [r["train_loss"] for r in fit.report.orderBy("epoch").collect()]
+    assert len(losses) == 3 and losses[0] > losses[1] > losses[2]
+    e = [(r["rating"] - np.dot(U[r["item_id"]], V[r["user_id"]])) ** 2 for r in cells]
+    assert losses[-1] == pytest.approx(np.mean(e))
+    assert fit.report.where("valid_mse IS NULL").count() == 0
+
+
+def test_one_record_moves_both_sides_from_the_old_values():
+    U, V = {1: [1.0, 2.0]}, {5: [0.5, -1.0]}
+    T._record_steps(np.array([1, 9]), np.array([5, 5]), np.array([3.0, 1.0]), U, V, 0.1, 0.2)
+    e = 3.0 - (0.5 - 2.0)
+    np.testing.assert_allclose(U[1], [1 + 0.1 * (e * 0.5 - 0.2), 2 + 0.1 * (-e - 0.4)])
+    np.testing.assert_allclose(V[5], [0.5 + 0.1 * (e - 0.1), -1 + 0.1 * (2 * e + 0.2)])
