@@ -6,14 +6,14 @@ import numpy as np
 import pyarrow as pa
 
 
-def word_codes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, word_byte: np.ndarray):
+def word_codes(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, word_byte: np.ndarray, kind: pa.DataType = pa.string()):
     """(code of every word, distinct words): words of one slice as an Arrow dictionary.
 
     ``low`` holds the slice's bytes; all bytes of the class ``word_byte`` belong to words, so the words' bytes are its compressed copy.
     """
     off = np.zeros(len(starts) + 1, dtype=np.int32)
     np.cumsum(ends - starts, out=off[1:])
-    words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(off), pa.py_buffer(low[word_byte[low]]))
+    words = pa.Array.from_buffers(kind, len(starts), [None, pa.py_buffer(off), pa.py_buffer(low[word_byte[low]])])
     d = words.dictionary_encode()
     return d.indices.to_numpy().astype(np.int64), d.dictionary
 

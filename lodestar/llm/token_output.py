@@ -31,12 +31,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .rolling import LOWER, text_slices
+from .rolling import LOWER, NOT_BLANK, find_words, text_slices
+from .terms import word_codes
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 CACHE = 250_000  # pieces a generation
-SLICE = 1 << 19
+SLICE = 1 << 22
 
 # The normaliser and pre-tokenizer under which pieces may be encoded apart and in lower case.
 WORD_RULES = {
@@ -98,7 +99,6 @@ class _Encoder:
 
     PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
     LETTERS = _byte_letters()
-    AS_IT_IS = (b"<|", b"\xcc", b"\xcd")
 
     def __init__(self, definition: str):
         from tokenizers import Tokenizer
@@ -146,27 +146,40 @@ class _Encoder:
         return got
 
     def documents(self, raws: list[bytes]) -> list[bytes]:
-        return self.slice(np.frombuffer(b"".join(raws), dtype=np.uint8), np.cumsum([0, *map(len, raws)]))
+        ids, n = self.slice(np.frombuffer(b"".join(raws), dtype=np.uint8), np.cumsum([0, *map(len, raws)]))
+        at = np.concatenate(([0], np.cumsum(n)))
+        return [ids[i:j].tobytes() for i, j in zip(at[:-1], at[1:], strict=True)]
 
-    def slice(self, data: np.ndarray, off: np.ndarray) -> list[bytes]:
-        """Ids of every text of a slice."""
-        if not self.by_piece:
-            return [self.ids(data[a:b].tobytes().decode("utf-8", "replace")) for a, b in zip(off[:-1], off[1:], strict=True)]
-        raw, own = data.tobytes(), off.tolist()
+    def cut(self, data: np.ndarray, off: np.ndarray):
+        """The bytes whose blanks part the pieces, and the texts' offsets in them."""
         loose, at = loosened(data, off)
-        loose, at = loose.tobytes(), at.tolist()
-        words, ends = [], []
-        for k in range(len(own) - 1):
-            text = raw[own[k] : own[k + 1]]
-            words += text.split() if any(mark in text for mark in self.AS_IT_IS) else loose[at[k] : at[k + 1]].split()
-            ends.append(len(words))
+        odd = (data == 0xCC) | (data == 0xCD)
+        odd[:-1] |= (data[:-1] == 60) & (data[1:] == 124)
+        keep = np.unique(np.searchsorted(off, np.flatnonzero(odd), side="right") - 1).tolist()
+        if not keep:
+            return loose, at
+        parts = [loose[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
+        for k in keep:
+            parts[k] = data[off[k] : off[k + 1]]
+        return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+
+    def slice(self, data: np.ndarray, off: np.ndarray):
+        """(ids of all texts of a slice, number of ids of each): each distinct piece of the slice is looked up once."""
+        if not self.by_piece:
+            got = [self.ids(data[a:b].tobytes().decode("utf-8", "replace")) for a, b in zip(off[:-1], off[1:], strict=True)]
+            return np.frombuffer(b"".join(got), dtype="<u4"), np.array([len(x) // 4 for x in got], dtype=np.int64)
+        data, off = self.cut(data, off)
+        s, e, first = find_words(data, off, NOT_BLANK)
+        code, pieces = word_codes(data, s, e, NOT_BLANK, pa.binary())
+        words = pieces.to_pylist()
         got = list(map(self.young.get, words))
-        if None in got:
-            kept, piece = self.kept, self.piece
-            for k, x in enumerate(got):
-                if x is None:
-                    got[k] = kept(words[k], piece)
-        return [b"".join(got[i:j]) for i, j in zip([0, *ends[:-1]], ends, strict=True)]
+        for k in [k for k, x in enumerate(got) if x is None]:
+            got[k] = self.kept(words[k], self.piece)
+        flat, size = np.frombuffer(b"".join(got), dtype="<u4"), np.array([len(x) // 4 for x in got], dtype=np.int64)
+        begin, n = (np.cumsum(size) - size)[code], size[code]
+        upto = np.concatenate(([0], np.cumsum(n)))
+        at = np.arange(int(upto[-1])) + np.repeat(begin - upto[:-1], n)
+        return flat[at], np.diff(upto[first])
 
 
 @functools.lru_cache(maxsize=1)
@@ -194,16 +207,17 @@ def write_tokens(
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # one vocabulary file
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // shard_docs))
-    tail = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches):
         enc, shard, start = _encoder(definition.value), TaskContext.get().partitionId(), 0
         for batch in batches:
             for i, j, data, off in text_slices(batch.column(1), SLICE):
-                got = [x + tail for x in enc.slice(data, off)]
-                n = np.array([len(g) // 4 for g in got], dtype=np.int64)
+                ids, n = enc.slice(data, off)
+                closed = np.full(len(ids) + len(n), end_id, dtype=np.int32)
+                closed[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
+                n = n + 1
                 at = np.concatenate(([0], np.cumsum(n)))
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(got), dtype="<u4").astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(closed))
                 own = pa.array(np.full(j - i, shard, dtype=np.int32))
                 yield pa.record_batch([batch.column(0).slice(i, j - i), lists, pa.array(n), pa.array(start + at[:-1]), own], names=["id", "tokens", "n_tokens", "local_start", "shard"])
                 start += int(at[-1])
