@@ -19,6 +19,7 @@ text teach nothing; ties go to the language that sorts first; an empty table giv
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -192,68 +193,76 @@ def viterbi(scores: np.ndarray, first: np.ndarray, n: np.ndarray, switch: float)
     return label
 
 
+def _decide(model: LanguageModel, parts, texts: int, switch: float):
+    """Language and share of each text, and label, text and first word of every word, of the held ``parts`` of ``texts`` texts."""
+    scores, words_of, letters, known = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    first = np.concatenate(([0], np.cumsum(words_of)))[:-1]
+    label = viterbi(scores, first, words_of, switch)
+    text = np.repeat(np.arange(texts), words_of)
+    share = np.zeros((texts, max(1, len(model.langs))))
+    np.add.at(share, (text, label), letters * known)
+    total = np.bincount(text, letters, minlength=texts)  # letters of an unknown script count for no language
+    top = share.argmax(1)
+    pred = [model.langs[k] if t else "und" for k, t in zip(top.tolist(), total.tolist(), strict=True)]
+    score = np.where(total > 0, share[np.arange(texts), top] / np.maximum(total, 1), 0.0)
+    return pred, score, label, text, first
+
+
+def _labelled_parts(model: LanguageModel, column, switch: float, word_cap: float):
+    """(first text, end, decision) over a column of texts: parts of a bounded number of words advance together."""
+    held, begin, n_words = [], 0, 0
+    for i, j, data, off in R.text_slices(column):
+        words = _Words(data, off)
+        if not model.langs:  # nothing learned: no word counts
+            held.append((np.zeros((0, 1), dtype=np.float32), np.zeros(j - i, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=bool)))
+        else:
+            scores, known = word_scores(model, words, word_cap)
+            held.append((scores, np.diff(words.first), words.letters, known))
+        n_words += len(held[-1][0])
+        if n_words >= FLUSH_WORDS:
+            yield begin, j, _decide(model, held, j - begin, switch)
+            held, begin, n_words = [], j, 0
+    if held:
+        yield begin, len(column), _decide(model, held, len(column) - begin, switch)
+
+
 def label_languages(
     docs: DataFrame, model: LanguageModel, text_col: str = "text", switch: float = 8.0, word_cap: float = 12.0, prefix: str = "", spans: bool = False
 ) -> DataFrame:
-    """All columns of ``docs`` and lang_pred, score (names after ``prefix``); with ``spans`` also an array of (first word, end word, lang)."""
+    """All columns of ``docs`` and lang_pred, score (names after ``prefix``); with ``spans`` also an array of (first word, end word, lang).
+
+    Only the texts go to the Python workers and only the decisions come back.
+    """
     m = docs.sparkSession.sparkContext.broadcast(model)  # 2**16 numbers a language
-    span_type = ", {0}spans array<struct<first:int,end:int,lang:string>>".format(prefix) if spans else ""
-    schema = docs.select("*", F.lit("").alias("__lang"), F.lit(0.0).alias("__score")).schema
-    names = [*docs.columns, f"{prefix}lang_pred", f"{prefix}score"]
-    at_text = docs.columns.index(text_col)
-
-    def decide(model, scores, words_of, letters, known, batch_rows):
-        first = np.concatenate(([0], np.cumsum(words_of)))[:-1]
-        label = viterbi(scores, first, words_of, switch)
-        text = np.repeat(np.arange(batch_rows), words_of)
-        share = np.zeros((batch_rows, max(1, len(model.langs))))
-        np.add.at(share, (text, label), letters * known)
-        total = np.bincount(text, letters, minlength=batch_rows)  # letters of an unknown script count for no language
-        top = share.argmax(1)
-        pred = [model.langs[k] if t else "und" for k, t in zip(top.tolist(), total.tolist(), strict=True)]
-        score = np.where(total > 0, share[np.arange(batch_rows), top] / np.maximum(total, 1), 0.0)
-        return pred, score, label, text, first
-
-    def scan(batches):
+    span = pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
+
+    def label(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = m.value
-        for whole in batches:
-            # parts of a batch of a bounded number of words advance together
-            i = 0
-            column = whole.column(at_text)
-            held, rows_from, n_words = [], 0, 0
-
-            def emit(a, b, parts):
-                scores = np.concatenate([p[0] for p in parts])
-                pred, score, label, text, first = decide(model, scores, np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts]), b - a)
-                part = whole.slice(a, b - a)
-                cols = [*part.columns, pa.array(pred, pa.string()), pa.array(score, pa.float64())]
-                out_names = list(names)
+        for column in columns:
+            preds, scores, found = [], [], []
+            for _, _, (pred, score, words, text, first) in _labelled_parts(model, column, switch, word_cap):
+                preds += pred
+                scores.append(score)
                 if spans:
-                    per = [[] for _ in range(b - a)]
-                    s, e = R.runs_of(label.astype(np.int64) + text * (len(model.langs) + 1), np.ones(len(label), dtype=bool))
+                    per = [[] for _ in pred]
+                    s, e = R.runs_of(words.astype(np.int64) + text * (len(model.langs) + 1), np.ones(len(words), dtype=bool))
                     for x, y in zip(s.tolist(), e.tolist(), strict=True):
                         k = int(text[x])
-                        per[k].append({"first": x - int(first[k]), "end": y - int(first[k]), "lang": model.langs[label[x]]})
-                    cols.append(pa.array(per, pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
-                    out_names.append(f"{prefix}spans")
-                return pa.record_batch(cols, names=out_names)
-
-            for i, j, data, off in R.text_slices(column):
-                words = _Words(data, off)
-                if not model.langs:  # nothing learned: no word counts
-                    held.append((np.zeros((0, 1), dtype=np.float32), np.zeros(j - i, dtype=np.int64), np.zeros(0), np.zeros(0, dtype=bool)))
-                else:
-                    scores, known = word_scores(model, words, word_cap)
-                    held.append((scores, np.diff(words.first), words.letters, known))
-                n_words += len(held[-1][0])
-                if n_words >= FLUSH_WORDS:
-                    yield emit(rows_from, j, held)
-                    held, rows_from, n_words = [], j, 0
-            if held:
-                yield emit(rows_from, whole.num_rows, held)
-
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields[:-2])
-    return docs.mapInArrow(scan, f"{types}, `{prefix}lang_pred` string, `{prefix}score` double{span_type}")
+                        per[k].append({"first": x - int(first[k]), "end": y - int(first[k]), "lang": model.langs[words[x]]})
+                    found += per
+            cols = [pa.array(preds, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())]
+            names = ["lang_pred", "score"]
+            if spans:
+                cols.append(pa.array(found, pa.list_(span)))
+                names.append("spans")
+            yield pa.StructArray.from_arrays(cols, names=names)
+
+    types = "lang_pred string, score double" + (", spans array<struct<first:int,end:int,lang:string>>" if spans else "")
+    held = "_label"
+    while held in docs.columns:
+        held += "_"
+    x = docs.withColumn(held, F.arrow_udf(label, types)(F.col(text_col).cast("string")))
+    return x.select(*docs.columns, *[F.col(held)[c].alias(prefix + c) for c in ("lang_pred", "score", "spans")[: 2 + spans]])
 
 
 def _held_out(c: str):

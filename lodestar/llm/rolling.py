@@ -96,7 +96,7 @@ def release_memory() -> None:
     _trim()(0)
 
 
-def text_slices(column, max_bytes: int = 1 << 19):
+def text_slices(column, max_bytes: int = 1 << 18):
     """(first row, last row + 1, bytes, offsets) over consecutive rows of an Arrow string array.
 
     A slice holds at most ``max_bytes`` bytes, or one longer text. A null has no bytes. The bytes are a
