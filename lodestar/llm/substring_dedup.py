@@ -11,7 +11,8 @@ as often as each of its windows.
 2. *Exact pass.* Windows whose anchor is estimated to occur once are unique. The others are hashed (64 bits, inside a bucket
    chosen by another hash of the anchor) and counted exactly: first inside the map task, where windows seen twice are settled and
    leave only one record each, then per bucket. So a passage that a third of all documents share sends one record per map flush, not
-   one per document.
+   one per document. Anchors that the sketch's sums find hot may stand in ever different surroundings; their windows go to buckets by the
+   window's own hash.
 3. Spans of repeated windows return to their documents by document bucket and the covered words go.
 
 Defined results: a null text has no words; a text under 35 words loses none; repeated rows are documents of their own (their windows
@@ -29,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.groups import reliable_checkpoint
 from . import rolling as R
 from .packing import SPAN, SPAN_SCHEMA, bucket_count, cut, joined, keyed_texts, null_ids, span_rows, spans_by_row
 
 GRAM = 12
 ROWS, CELL_BITS, BLOCK_BITS = 2, 26, 18
 FLUSH = 1 << 20
+HOT, HOT_SHARE, HOT_LOCAL = 1 << 16, 4096, 256  # see repeat_sketch
 
 RUN = np.dtype([("id", "<i8"), ("part", "<i8"), ("db", "<i4"), ("start", "<u4"), ("n", "<u4")])
 BUCKET_SCHEMA = "bucket int, twice binary, once binary, runs binary, spans binary"
@@ -63,22 +66,36 @@ def _cells(ah: np.ndarray):
     return [(R.mix(ah + R.U64(0x9E3779B97F4A7C15 * (r + 1) % 2**64)) >> R.U64(64 - CELL_BITS)).astype(np.int64) for r in range(ROWS)]
 
 
-def repeat_sketch(texts: DataFrame, length: int = 35) -> np.ndarray:
-    """Bitmap rows (ROWS x 2**CELL_BITS bits) of the cells that count two or more anchors, merged over all partitions."""
+def repeat_sketch(texts: DataFrame, length: int = 35, hot: int = HOT, hot_local: int = HOT_LOCAL):
+    """Bitmap rows (ROWS x 2**CELL_BITS bits) of the cells that count two or more anchors, merged over all partitions; and the hot cells.
+
+    A hot cell of the first row counts ``hot`` anchors and at least one in HOT_SHARE of all, so there are at most HOT_SHARE of them.
+    Counts below ``hot_local`` of a worker's flush are left out of that sum: a cell that is rare everywhere is not hot.
+    """
     block = 1 << BLOCK_BITS
     n_blocks = 1 << (CELL_BITS - BLOCK_BITS)
     schema = pa.schema([("block", pa.int32()), ("salt", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+    many = pa.schema([*schema, ("cell", pa.int64()), ("n", pa.int64())])
+
+    def frequent(cell, n):
+        none = [pa.nulls(len(cell), t) for t in schema.types]
+        return pa.record_batch([*none, pa.array(cell, pa.int64()), pa.array(n, pa.int64())], schema=many)
 
     def flush(found, salt):
         ids, once, twice = [], [], []
-        for r, cells in enumerate(_cells(np.concatenate(found))):
+        all_ = np.concatenate(found)
+        yield frequent([-1], [len(all_)])
+        for r, cells in enumerate(_cells(all_)):
             c, n = np.unique(cells, return_counts=True)
-            for many, out in ((n < 2, once), (n >= 2, twice)):
-                b, (got,) = cut(c[many] >> BLOCK_BITS, (c[many] & (block - 1)).astype(np.uint32))
+            if r == 0:
+                yield frequent(c[n >= hot_local], n[n >= hot_local])
+            for some, out in ((n < 2, once), (n >= 2, twice)):
+                b, (got,) = cut(c[some] >> BLOCK_BITS, (c[some] & (block - 1)).astype(np.uint32))
                 ids += (b + r * n_blocks).tolist()
                 out += got
                 (twice if out is once else once).extend([b""] * len(got))
-        return pa.record_batch([pa.array(ids, pa.int32()), pa.array([salt] * len(ids), pa.int32()), pa.array(once, pa.binary()), pa.array(twice, pa.binary())], schema=schema)
+        none = pa.nulls(len(ids), pa.int64())
+        yield pa.record_batch([pa.array(ids, pa.int32()), pa.array([salt] * len(ids), pa.int32()), pa.array(once, pa.binary()), pa.array(twice, pa.binary()), none, none], schema=many)
 
     def scan(batches):
         from pyspark import TaskContext
@@ -91,10 +108,10 @@ def repeat_sketch(texts: DataFrame, length: int = 35) -> np.ndarray:
                 found.append(a)
                 held += len(a)
                 if held >= FLUSH:
-                    yield flush(found, salt)
+                    yield from flush(found, salt)
                     found, held = [], 0
         if held:
-            yield flush(found, salt)
+            yield from flush(found, salt)
 
     def merged(table):
         n = np.bincount(joined(table["once"], np.uint32), minlength=block)
@@ -114,14 +131,18 @@ def repeat_sketch(texts: DataFrame, length: int = 35) -> np.ndarray:
         bits = np.packbits((n >= 2) | (full > 0), bitorder="little")
         return pa.table([table["block"][:1], pa.chunked_array([[zlib.compress(bits.tobytes(), 1)]], pa.binary())], schema=last)
 
-    x = texts.select("_text").mapInArrow(scan, "block int, salt int, once binary, twice binary")
+    x = reliable_checkpoint(texts.select("_text").mapInArrow(scan, "block int, salt int, once binary, twice binary, cell bigint, n bigint"))
+    total = x.where("cell = -1").agg(F.sum("n")).first()[0] or 0
+    least = max(hot, -(-total // HOT_SHARE))
+    cells = x.where("cell >= 0").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("cell").collect()  # at most HOT_SHARE
+    x = x.where("block IS NOT NULL").select("block", "salt", "once", "twice")
     x = x.groupBy("block", "salt").applyInArrow(first_merge, "block int, salt int, once binary, twice binary")
     x = x.groupBy("block").applyInArrow(last_merge, "block int, bits binary")
     bits = np.zeros((ROWS, 1 << (CELL_BITS - 3)), dtype=np.uint8)
     flat = bits.reshape(ROWS * n_blocks, -1)
     for row in x.toLocalIterator():  # ROWS * n_blocks rows of 32 KB at most
         flat[row["block"]] = np.frombuffer(zlib.decompress(row["bits"]), dtype=np.uint8)
-    return bits
+    return bits, np.sort(np.array([r["cell"] for r in cells], dtype=np.int64))
 
 
 def _estimated_twice(bits: np.ndarray, ah: np.ndarray) -> np.ndarray:
@@ -151,17 +172,43 @@ def _flagged_spans(runs: np.ndarray, flag: np.ndarray, length: int) -> np.ndarra
     return out
 
 
-def repeated_spans(texts: DataFrame, length: int, buckets: int) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int, buckets: int, hot: int = HOT, hot_local: int = HOT_LOCAL) -> DataFrame:
     """(bucket = document bucket, spans): the word spans that repeated windows cover. ``texts`` as of keyed_texts()."""
-    bits = texts.sparkSession.sparkContext.broadcast(repeat_sketch(texts, length))
+    x = candidate_windows(texts, length, buckets, hot, hot_local)
+    out_schema = pa.schema([("bucket", pa.int32()), ("spans", pa.binary())])
+
+    def exact(key, table):
+        if key[0].as_py() < 0:
+            spans = joined(table["spans"], SPAN)
+        else:
+            runs, once, twice = joined(table["runs"], RUN), joined(table["once"], np.uint64), joined(table["twice"], np.uint64)
+            _, inv, n = np.unique(np.concatenate((once, twice)), return_inverse=True, return_counts=True)
+            n = n + np.bincount(inv[len(once) :], minlength=len(n))  # a settled window counts twice
+            spans = _flagged_spans(runs, n[inv[: len(once)]] >= 2, length)
+        return pa.Table.from_batches([span_rows(spans, out_schema)])
+
+    return x.groupBy("bucket").applyInArrow(exact, SPAN_SCHEMA)
+
+
+def candidate_windows(texts: DataFrame, length: int, buckets: int, hot: int = HOT, hot_local: int = HOT_LOCAL) -> DataFrame:
+    """Windows estimated repeated, as packed rows of the bucket where equal ones meet.
+
+    The bucket is the anchor's, which keeps a run of windows in one record. The windows of a hot anchor, which may stand in a third of all
+    documents in ever different surroundings, go one by one to the bucket of their own hash: only equal windows share it for sure.
+    """
+    sketch, hot_cells = repeat_sketch(texts, length, hot, hot_local)
+    bits = texts.sparkSession.sparkContext.broadcast(sketch)
     schema = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("twice", "once", "runs", "spans")]])
 
     def rows(bucket, **cells):
         none = [None] * len(bucket)
         return pa.record_batch([pa.array(bucket, pa.int32()), *[pa.array(cells.get(c, none), pa.binary()) for c in schema.names[1:]]], schema=schema)
 
-    def flush(runs, hashes, anchors):
-        runs, h, anchors = np.concatenate(runs), np.concatenate(hashes), np.concatenate(anchors)
+    def bucket_of(anchors, is_hot, run_of, h):
+        return (np.where(is_hot[run_of], R.mix(h + R.U64(13)), anchors[run_of]) % R.U64(buckets)).astype(np.int32)
+
+    def flush(runs, hashes, anchors, is_hot):
+        runs, h, anchors, is_hot = np.concatenate(runs), np.concatenate(hashes), np.concatenate(anchors), np.concatenate(is_hot)
         _, first, inv, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
         twice = n[inv] >= 2
         if twice.any():  # settled here; negative buckets carry spans straight to their document bucket
@@ -170,22 +217,24 @@ def repeated_spans(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             yield rows(-1 - db, spans=cells)
             lead = first[n >= 2]
             run_of = np.repeat(np.arange(len(runs)), runs["n"])
-            b, (cells,) = cut((anchors[run_of[lead]] % R.U64(buckets)).astype(np.int32), h[lead])
+            b, (cells,) = cut(bucket_of(anchors, is_hot, run_of[lead], h[lead]), h[lead])
             yield rows(b, twice=cells)
         run_of = np.repeat(np.arange(len(runs)), runs["n"])
-        s, e = R.runs_of(run_of, ~twice)
+        # windows of a hot anchor are runs of their own
+        apart = np.where(is_hot[run_of], np.arange(len(run_of)) + len(runs), run_of)
+        s, e = R.runs_of(apart, ~twice)
         if len(s):
             part = runs[run_of[s]].copy()
             part["start"] += (s - (np.cumsum(runs["n"]) - runs["n"])[run_of[s]]).astype(np.uint32)
             part["n"] = e - s
-            bucket = (anchors[run_of[s]] % R.U64(buckets)).astype(np.int32)
+            bucket = bucket_of(anchors, is_hot, run_of[s], h[s])
             b, (cells,) = cut(bucket, part)
             _, (hs,) = cut(np.repeat(bucket, e - s), h[_spread(s, e - s)])
             yield rows(b, runs=cells, once=hs)
 
     def scan(batches):
         sc, table = _Scan(length), bits.value
-        runs, hashes, anchors, held = [], [], [], 0
+        runs, hashes, anchors, is_hot, held = [], [], [], [], 0
         for batch in batches:
             ids, part, db = (batch.column(c).to_numpy() for c in range(3))
             for i, _, data, off in R.text_slices(batch.column(3)):
@@ -207,34 +256,22 @@ def repeated_spans(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                 runs.append(r)
                 hashes.append(sc.window.grams(wh, length)[_spread(s, e - s)])
                 anchors.append(R.mix(ah[at[s]] + R.U64(7)))
+                is_hot.append(np.isin(_cells(ah[at[s]])[0], hot_cells) if len(hot_cells) else np.zeros(len(s), dtype=bool))
                 held += len(hashes[-1])
                 if held >= FLUSH:
-                    yield from flush(runs, hashes, anchors)
-                    runs, hashes, anchors, held = [], [], [], 0
+                    yield from flush(runs, hashes, anchors, is_hot)
+                    runs, hashes, anchors, is_hot, held = [], [], [], [], 0
         if held:
-            yield from flush(runs, hashes, anchors)
-
-    out_schema = pa.schema([("bucket", pa.int32()), ("spans", pa.binary())])
-
-    def exact(key, table):
-        if key[0].as_py() < 0:
-            spans = joined(table["spans"], SPAN)
-        else:
-            runs, once, twice = joined(table["runs"], RUN), joined(table["once"], np.uint64), joined(table["twice"], np.uint64)
-            _, inv, n = np.unique(np.concatenate((once, twice)), return_inverse=True, return_counts=True)
-            n = n + np.bincount(inv[len(once) :], minlength=len(n))  # a settled window counts twice
-            spans = _flagged_spans(runs, n[inv[: len(once)]] >= 2, length)
-        return pa.Table.from_batches([span_rows(spans, out_schema)])
+            yield from flush(runs, hashes, anchors, is_hot)
 
-    x = texts.mapInArrow(scan, BUCKET_SCHEMA)
-    return x.groupBy("bucket").applyInArrow(exact, SPAN_SCHEMA)
+    return texts.mapInArrow(scan, BUCKET_SCHEMA)
 
 
-def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35, with_text: bool = False) -> DataFrame:
+def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35, with_text: bool = False, hot: int = HOT, hot_local: int = HOT_LOCAL) -> DataFrame:
     """id, n_words, n_removed, kept_sha256 (and kept_text) of every document."""
     buckets = bucket_count(docs.count())
     texts = keyed_texts(docs, id_col, text_col, buckets)
-    spans = repeated_spans(texts, length, buckets)
+    spans = repeated_spans(texts, length, buckets, hot, hot_local)
     id_type = dict(docs.dtypes)[id_col]
     schema = f"_id bigint, n_words bigint, n_removed bigint, kept_sha256 string{', kept_text string' if with_text else ''}"
 

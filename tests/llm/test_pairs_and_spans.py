@@ -1,11 +1,14 @@
 """Near duplicates, repeated passages and contamination against brute force over small tables with odd rows."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import frame
 
@@ -290,3 +293,46 @@ def test_null_ids_of_equal_crc_keep_their_own_text(spark):
     assert got == {(64, 60), (60, 60), (121, 0)}
     removed = {r["n_bytes"]: r["n_removed"] for r in remove_repeated_bytes(d).collect()}
     assert removed[len(b)] == 0 and removed[len(a)] == len(a)
+
+
+def test_a_frequent_phrase_in_different_surroundings_is_split(spark):
+    """One 12-word phrase in a third of all documents: its windows are dealt by their own hash, and equal ones still meet."""
+    from lodestar.llm import substring_dedup as SD
+    from lodestar.llm.packing import keyed_texts
+
+    rng, sc = random.Random(12), SD._Scan(35)
+    phrases = [[f"f{rng.randrange(10**6)}" for _ in range(12)] for _ in range(3000)]
+    slices = [R.text_slices(pa.array([" ".join(p)])) for p in phrases]
+    hashes = [int(sc.anchor.grams(sc.words.spans(sc.words.prefix(d), *R.find_words(d, off, R.NOT_BLANK)[:2]), 12)[0]) for s in slices for _, _, d, off in s]
+    phrase = phrases[int(np.argmin(np.array(hashes, dtype=np.uint64)))]  # so low a hash that it anchors every window around it
+    rows, n = [], 240
+    for k in range(n):
+        own = [f"d{k}w{j}" for j in range(90)]
+        rows.append((k, " ".join(own[:45] + (phrase if k % 3 == 0 else []) + own[45:]), "s"))
+    rows += [(500 + k, rows[30][1], "s") for k in range(2)] + [(600, " ".join(rows[60][1].split()[20:75]), "s")]  # whole and partial copies of some
+    d = frame(spark, rows)
+    want = brute_repeats(rows)
+    for hot in (20, SD.HOT):
+        got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in SD.remove_repeated_windows(d, hot=hot, hot_local=2).collect())
+        assert got == want
+    texts = keyed_texts(d, "doc_id", "text", 64)
+
+    def largest(hot):
+        per = SD.candidate_windows(texts, 35, 64, hot, 2).where("bucket >= 0").groupBy("bucket").agg(F.sum(F.length("once") / 8).alias("n")).collect()
+        return max(r["n"] or 0 for r in per), sum(r["n"] or 0 for r in per)
+
+    (split, all_), (whole, same) = largest(20), largest(SD.HOT)
+    assert all_ == same > 1000 and whole > 0.8 * all_ and split < 0.1 * all_
+
+
+def brute_repeats(rows, length=35):
+    seen = Counter()
+    for _, t, _ in rows:
+        w = t.split()
+        seen.update(tuple(w[i : i + length]) for i in range(len(w) - length + 1))
+    out = []
+    for i, t, _ in rows:
+        w = t.split()
+        gone = {j for k in range(len(w) - length + 1) if seen[tuple(w[k : k + length])] > 1 for j in range(k, k + length)}
+        out.append((i, len(w), len(gone)))
+    return sorted(out)
