@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .rolling import LOWER, NOT_BLANK, find_words, text_slices
+from .rolling import LOWER, NOT_BLANK, find_words, release_memory, text_slices
 from .terms import word_codes
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 CACHE = 250_000  # pieces a generation
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 # The normaliser and pre-tokenizer under which pieces may be encoded apart and in lower case.
 WORD_RULES = {
@@ -145,6 +145,10 @@ class _Encoder:
             got += self.kept(p[len(body) :], lambda tail: self.ids(tail.decode()))
         return got
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+        release_memory()
+
     def documents(self, raws: list[bytes]) -> list[bytes]:
         ids, n = self.slice(np.frombuffer(b"".join(raws), dtype=np.uint8), np.cumsum([0, *map(len, raws)]))
         at = np.concatenate(([0], np.cumsum(n)))
@@ -200,9 +204,14 @@ def output_folder(spark: SparkSession) -> str:
 
 
 def write_tokens(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, shard_docs: int = 50_000
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = END_ID, shard_docs: int = 50_000,
+    keep_pieces: bool = True,
 ) -> int:
-    """Write the token files; returns the number of shards asked for."""
+    """Write the token files; returns the number of shards asked for.
+
+    Encoded pieces stay with a worker for the tasks that follow there. Where other stages will run in the same workers,
+    ``keep_pieces=False`` gives their memory back after every task, at the price of encoding common pieces once a task.
+    """
     spark = docs.sparkSession
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # one vocabulary file
@@ -221,6 +230,8 @@ def write_tokens(
                 own = pa.array(np.full(j - i, shard, dtype=np.int32))
                 yield pa.record_batch([batch.column(0).slice(i, j - i), lists, pa.array(n), pa.array(start + at[:-1]), own], names=["id", "tokens", "n_tokens", "local_start", "shard"])
                 start += int(at[-1])
+        if not keep_pieces:
+            enc.forget()
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     order = ["id", "crc", "hash", "place"]
@@ -254,9 +265,9 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
     return x.mapInArrow(check, "_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint").withColumnRenamed("_id", id_col)
 
 
-def token_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, vocabulary: str | None = None) -> DataFrame:
+def token_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, vocabulary: str | None = None, keep_pieces: bool = True) -> DataFrame:
     """Write the files (to a new shared folder unless ``path`` is given) and describe them by reading them back."""
     spark = docs.sparkSession
     path = path or output_folder(spark)
-    write_tokens(docs, path, id_col, text_col, vocabulary)
+    write_tokens(docs, path, id_col, text_col, vocabulary, keep_pieces=keep_pieces)
     return read_tokens(spark, path, id_col).withColumn(id_col, F.col(id_col).cast(dict(docs.dtypes)[id_col]))
