@@ -41,7 +41,7 @@ def mix(spark, docs, sf_dir):
 
 
 def tokens(spark, docs, sf_dir):
-    return token_table(docs)
+    return token_table(docs, keep_pieces=False)  # the workers go on to other stages
 
 
 STAGES = [
