@@ -47,9 +47,12 @@ class PlacedRatings:
 
 
 def place_ratings(ratings: DataFrame, rows_per_block: int | None = None) -> PlacedRatings:
-    """``ratings`` (part STRING, item_id, user_id, rating): a part is what one step or one evaluation reads (a batch, the validation rows)."""
+    """``ratings`` (part STRING, item_id, user_id, rating): a part is what one step or one evaluation reads (a batch, the validation rows).
+
+    They are read twice, for the parts' sizes and to be placed: write a costly input first.
+    """
     spark = ratings.sparkSession
-    x = reliable_checkpoint(ratings.select("part", "item_id", "user_id", F.col("rating").cast("double").alias("rating")))
+    x = ratings.select("part", "item_id", "user_id", F.col("rating").cast("double").alias("rating"))
     sizes = {r["part"]: r["n"] for r in x.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a part
     side = max(math.isqrt(spark.sparkContext.defaultParallelism - 1) + 1, math.isqrt(sum(sizes.values()) // (rows_per_block or ROWS_PER_BLOCK)) + 1)
     block = F.pmod(F.xxhash64("item_id"), F.lit(side)) * side + F.pmod(F.xxhash64("user_id"), F.lit(side))
