@@ -41,7 +41,7 @@ BITMAP_BITS = 26
 PARTS = 512
 HOT = 4096
 FLUSH = 1 << 18
-KEPT = 100_000  # shingles of texts that a verifying task keeps
+KEPT = 50_000  # shingles of texts that a verifying task keeps
 SALTED = 1 << 31  # flag in ``pos``: the shingle's entries lie in several buckets
 
 ENTRY = np.dtype([("h", "<u4"), ("cls", "<i8"), ("n", "<u4"), ("pos", "<u4")])

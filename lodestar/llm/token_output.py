@@ -37,6 +37,7 @@ from .terms import word_codes
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 CACHE = 250_000  # pieces a generation
+FEW = 40_000
 SLICE = 1 << 21
 
 # The normaliser and pre-tokenizer under which pieces may be encoded apart and in lower case.
@@ -210,7 +211,7 @@ def write_tokens(
     """Write the token files; returns the number of shards asked for.
 
     Encoded pieces stay with a worker for the tasks that follow there. Where other stages will run in the same workers,
-    ``keep_pieces=False`` gives their memory back after every task, at the price of encoding common pieces once a task.
+    ``keep_pieces=False`` keeps at most about FEW of them and gives their memory back after every task, at the price of encoding common pieces again.
     """
     spark = docs.sparkSession
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as f:
@@ -220,7 +221,9 @@ def write_tokens(
     def encode(batches):
         enc, shard, start = _encoder(definition.value), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for i, j, data, off in text_slices(batch.column(1), SLICE):
+            for i, j, data, off in text_slices(batch.column(1), SLICE if keep_pieces else SLICE >> 2):
+                if not keep_pieces and len(enc.young) > FEW:
+                    enc.forget()
                 ids, n = enc.slice(data, off)
                 closed = np.full(len(ids) + len(n), end_id, dtype=np.int32)
                 closed[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n)] = ids
