@@ -154,3 +154,7 @@ def test_stored_table_follows_its_source(spark, scratch):
     spark.range(5).write.mode("append").parquet(path)
     assert source_key(spark, path) != key
     assert stored_table(spark, "twice", path, "id", build).count() == 15 and len(calls) == 2
+    now = stored_table(spark, "twice", path, "id", build)
+    folder = os.path.dirname(now.inputFiles()[0].replace("file://", ""))
+    os.remove(os.path.join(folder, "_SUCCESS"))  # the folder was emptied, or its writer died: built again
+    assert stored_table(spark, "twice", path, "id", build).count() == 15 and len(calls) == 3
