@@ -69,7 +69,7 @@ def pairs_in_groups(
     The degrees are written once (one job when the plan is built) for that count and the join; an expensive ``df`` is best written first
     (``reliable_checkpoint``) so that this job and the join read it once.
     """
-    deg = reliable_checkpoint(group_degree(df, [group]))
+    deg = reliable_checkpoint(group_degree(df, [group]).where("_deg > 1"))  # a group of one has no pair
     x = df.join(deg, group)
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(float(tile_rows)))).cast("int")
     x = x.withColumn("_nc", n_chunks).withColumn("_c", F.pmod(F.xxhash64(F.col(member)), F.col("_nc")).cast("int"))
