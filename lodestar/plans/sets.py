@@ -73,11 +73,9 @@ def doc_sets(spark, sf, docs=None):
     return M.set_elements(s.select("set_id", md5_hex_int(F.col("_s"), 15).alias("element")))
 
 
-def doc_arrays(docs):
-    """(set_id, elements): the same sets as one array a document, for the few documents that a check names."""
-    ids = F.array_distinct(F.transform(F.array_distinct(char_shingles(text_clean(F.col("text")), DOC_K)), lambda s: md5_hex_int(s, 15)))
-    x = docs.select(F.col("doc_id").cast("bigint").alias("set_id"), ids.alias("elements"))
-    return x.where(F.size("elements") > 0)
+def doc_arrays(spark, sf, docs):
+    """(set_id, elements): the same sets as one array a document, for the documents that a check names."""
+    return doc_sets(spark, sf, docs).groupBy("set_id").agg(F.collect_list("element").alias("elements"))
 
 
 def doc_signatures(spark, sf):
@@ -243,7 +241,7 @@ def q_lsh_verify_all(spark, sf):
     # only documents that a pair names are shingled again
     docs = documents(spark, sf).join(named.select(F.col("set_id").alias("doc_id")), "doc_id")
     total = named.agg(F.sum("n")).first()[0] or 0
-    v = L.verify_arrays(pairs, doc_arrays(docs), sig, total)
+    v = L.verify_arrays(pairs, doc_arrays(spark, sf, docs), sig, total)
     return v.select("set_a", "set_b", round6("jaccard").alias("jaccard"), round6("signature_similarity").alias("signature_similarity"))
 
 
