@@ -217,3 +217,41 @@ def test_different_sets_of_one_signature_are_candidates(spark):
     got = {(r.set_a, r.set_b): (r.jaccard, r.signature_similarity) for r in L.verify_pairs(pairs, sets, sig).collect()}
     assert got[1, 2] == (pytest.approx(400 / 401), 1.0) and got[0, 1] == (pytest.approx(399 / 400), 1.0)
     assert sorted(tuple(r) for r in M.set_copies(sets).collect()) == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 0)]
+
+
+def test_document_signatures_are_made_in_place(spark, scratch):
+    """Whole texts get the signatures of their long rows without a shuffle of elements; ids of several rows are united."""
+    from lodestar.plans import sets as P
+
+    texts = [(1, "the quick brown fox\njumps over"), (2, "the quick brown fox jumps over"), (3, "abc"), (4, None), (5, "\U0001f600 日本語 テスト abc def"), (6, "aaaaaaaa"), (None, "nobody's text")]
+    family = M.hash_family(P.NUM_HASHES)
+    frames = [spark.createDataFrame(texts, "doc_id BIGINT, text STRING").repartition(3)]
+    frames.append(frames[0].unionByName(spark.createDataFrame([(3, "abc quick brown"), (2, "the quick brown dog"), (2, "the quick brown fox jumps over"), (7, "the quick brown dog")], frames[0].schema)))
+    for k, docs in enumerate(frames):
+        docs.write.parquet(f"{scratch}/{k}/documents.parquet")
+        want = {r.set_id: (r.sig, r.n) for r in M.signature_arrays(P.doc_sets(spark, None, docs), family, digest=True).collect()}
+        n = {}
+        for i, t in [(r.doc_id, r.text) for r in docs.collect()]:
+            t = (t or "").replace("\n", " ")
+            n.setdefault(i, set()).update(t[j : j + 5] for j in range(len(t) - 4))  # code points, as SQL counts
+        assert {i: v[1] for i, v in want.items()} == {i: len(s) for i, s in n.items() if s and i is not None}
+        rows = P.doc_signatures(spark, f"{scratch}/{k}").collect()
+        assert {r.set_id: (r.sig, r.n) for r in rows} == want and len(rows) == len(want)
+        digests = {r.set_id: r.digest for r in rows}
+        assert len(set(digests.values())) == len(M.set_copies(P.doc_sets(spark, None, docs)).groupBy("representative").count().collect())
+    whole = frames[0].coalesce(1).select("doc_id", "text")
+    plans = [d._jdf.queryExecution().executedPlan().toString() for d in (whole, M.signature_arrays(P.doc_contents(whole), family, elements=P._shingled))]
+    assert plans[0].count("Exchange") == plans[1].count("Exchange")
+
+
+def test_shingle_keys_compare_as_the_ids():
+    """Packed keys, and ids where the alphabet is too large to pack, agree with the shingles themselves."""
+    from lodestar.operators.text import shingle_ids, shingle_keys
+
+    few = ["", None, "abcd", "abcde", "abcdeabcdef", "\U0001f600 abcde"]
+    for texts in (few, [*few, "".join(map(chr, range(0x4E00, 0x7000)))]):
+        want = [{t[i : i + 5] for i in range(len(t) - 4)} if t else set() for t in texts]
+        for own in (shingle_ids(texts, 5), shingle_keys(texts, 5)):
+            got = [set(x.tolist()) for x in own]
+            assert [len(x) for x in got] == [len(x) for x in want] == [len(x) for x in own]
+            assert [[len(a & b) for b in got] for a in got] == [[len(a & b) for b in want] for a in want]
