@@ -1,13 +1,15 @@
 """Pairs of sets above a similarity: a prefix-filtered join on (set_id, element) tables whose output, not its candidates, grows with the pairs.
 
 Elements are ordered by rarity (sets that hold them, then the element). Two sets of Jaccard >= t = numerator / denominator share an element among the first
-n - ceil(t * n) + 1 of each, so only those prefixes are joined, element by element. A joined pair must also fit in length (the smaller set has
-at least t of the larger one's size) and in place (what follows the shared element on both sides can still reach the needed overlap). The pairs
-that are left are counted exactly on all elements. All bounds are in integers.
+n - ceil(t * n) + 1 of each, so only those prefixes are joined, element by element, and the common prefix elements of a pair are counted. A pair must also
+fit in length (the smaller set has at least t of the larger one's size) and in reach: what it has in common beyond its common prefix elements follows the last of
+them on both sides, and lies beyond the prefix of one side, which leaves out ceil(t * n) - 1 elements. With a small t the prefixes are nearly whole, and few pairs are
+within reach. The pairs that are left are counted exactly on all elements. All bounds are in integers.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,11 +39,20 @@ def rarity_prefixes(sets: DataFrame, numerator: int, denominator: int) -> DataFr
 def candidate_pairs_at_least(sets: DataFrame, numerator: int, denominator: int, tile_rows: int = 2048) -> DataFrame:
     """(set_a, set_b): every pair that may reach the similarity, set_a < set_b, each once."""
     prefixes = reliable_checkpoint(rarity_prefixes(sets, numerator, denominator))
-    p = pairs_in_groups(prefixes, "element", "set_id", ["n", "pos"], tile_rows=tile_rows)
+    p = pairs_in_groups(
+        prefixes, "element", "set_id", ["n", "pos"], tile_rows=tile_rows, reduce=_prefix_overlap, reduced="lo_n bigint, hi_n bigint, lo_pos bigint, hi_pos bigint"
+    )
     fits = F.least("lo_n", "hi_n") * denominator >= F.greatest("lo_n", "hi_n") * numerator
     overlap = _ceil_div((F.col("lo_n") + F.col("hi_n")) * numerator, numerator + denominator)
-    reach = F.least(F.col("lo_n") - F.col("lo_pos"), F.col("hi_n") - F.col("hi_pos"))
-    return p.where(fits & (reach >= overlap)).select(F.col("lo").alias("set_a"), F.col("hi").alias("set_b")).distinct()
+    after = F.least(F.col("lo_n") - F.col("lo_pos"), F.col("hi_n") - F.col("hi_pos")) - 1
+    beyond = _ceil_div(F.greatest("lo_n", "hi_n") * numerator, denominator) - 1
+    reach = F.col("n_common") + F.least(after, beyond)
+    return p.where(fits & (reach >= overlap)).select(F.col("lo").alias("set_a"), F.col("hi").alias("set_b"))
+
+
+def _prefix_overlap(lo, hi, first):
+    """Per pair, both sizes and the places of the last common prefix element."""
+    return [lo[0][first], hi[0][first], np.maximum.reduceat(lo[1], first), np.maximum.reduceat(hi[1], first)]
 
 
 def jaccard_at_least(sets: DataFrame, numerator: int, denominator: int, tile_rows: int = 2048) -> DataFrame:

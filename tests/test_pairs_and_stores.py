@@ -158,3 +158,25 @@ def test_stored_table_follows_its_source(spark, scratch):
     folder = os.path.dirname(now.inputFiles()[0].replace("file://", ""))
     os.remove(os.path.join(folder, "_SUCCESS"))  # the folder was emptied, or its writer died: built again
     assert stored_table(spark, "twice", path, "id", build).count() == 15 and len(calls) == 3
+
+
+def test_pairs_reduced_where_lists_meet(spark, sets):
+    """Counts and sums of all pairs, with groups cut into chunks and a member listed twice, and far fewer candidates at a small similarity."""
+    from lodestar.operators.groups import pairs_in_groups
+
+    own, df = sets
+    x = df.select("element", "set_id", (F.col("set_id") * 2 + F.col("element")).alias("v"))
+    want = {(a, b): (i, sum((2 * a + e) * (2 * b + e) for e in own[a] & own[b])) for a, b, i, _ in jaccards(own) if i}
+    add = lambda lo, hi, first: [np.add.reduceat(lo[0] * hi[0], first)]
+    for rows, tile in ((x, 7), (x, 2048), (x.unionByName(x.where("set_id = 70")), 7)):
+        p = pairs_in_groups(rows, "element", "set_id", ["v"], tile_rows=tile, reduce=add, reduced="xy bigint")
+        got = {(r.lo, r.hi): (r.n_common, r.xy) for r in p.collect()}
+        assert {k for k in got if 70 not in k} == {k for k in want if 70 not in k}
+        assert all(v == want[k] for k, v in got.items() if 70 not in k) and (70, 70) not in got
+        if rows is x:
+            assert got == want
+    assert pairs_in_groups(x.where("false"), "element", "set_id", ["v"], reduce=add, reduced="xy bigint").count() == 0
+    rnd = random.Random(4)
+    wide = spark.createDataFrame([(k, e) for k in range(120) for e in rnd.sample(range(2000), 40)], "set_id BIGINT, element BIGINT")
+    met = M.jaccard_pairs(wide).count()
+    assert met > 2000 and SJ.candidate_pairs_at_least(wide, 7, 100).count() < met / 10  # the prefixes are nearly whole: sharing an element alone is no reason
