@@ -180,3 +180,23 @@ def test_pairs_reduced_where_lists_meet(spark, sets):
     wide = spark.createDataFrame([(k, e) for k in range(120) for e in rnd.sample(range(2000), 40)], "set_id BIGINT, element BIGINT")
     met = M.jaccard_pairs(wide).count()
     assert met > 2000 and SJ.candidate_pairs_at_least(wide, 7, 100).count() < met / 10  # the prefixes are nearly whole: sharing an element alone is no reason
+
+
+def test_products_of_asked_pairs_by_lists(spark, sets):
+    """The same sums in both forms, whatever the order of a pair, and only of the asked pairs; many partners choose the lists."""
+    from lodestar.operators import pair_products as PP
+
+    own, df = sets
+    v = df.select(F.col("set_id").alias("user_id"), F.col("element").alias("item_id"), (F.col("set_id") + F.col("element") / 7).alias("value")).cache()
+    asked = [(a, b) if (a + b) % 2 else (b, a) for a, b, *_ in jaccards(own) if (a * b) % 3 == 1] + [(0, 1), (1, 0), (5, 900)]
+    pairs = spark.createDataFrame(asked, "user_a BIGINT, user_b BIGINT").distinct().cache()
+    rows = lambda d: {(r.user_a, r.user_b): (r.n_common, round(r.dot, 6), round(r.square_a, 6), round(r.square_b, 6)) for r in d.collect()}
+    want = {}
+    for a, b in set(asked):
+        e = own[a] & own.get(b, set())
+        if e:
+            want[a, b] = (len(e), *[round(sum(x), 6) for x in zip(*[((a + i / 7) * (b + i / 7), (a + i / 7) ** 2, (b + i / 7) ** 2) for i in e], strict=True)])
+    whole = {k: x[0] for k, x in rows(PP.pair_products(v, pairs, 1 << 21)).items()}
+    assert rows(PP._listed_products(v, pairs)).keys() == want.keys() == whole.keys()
+    for k, x in rows(PP._listed_products(v, pairs)).items():
+        assert x == pytest.approx(want[k], abs=1e-5)
