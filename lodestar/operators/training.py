@@ -2,11 +2,11 @@
 
 *Placement.* Items and users are hashed to p ranges each. A rating belongs to block (item range, user range); blocks are written once, bucketed and
 sorted, so that no step shuffles ratings. A hot item's ratings lie in p blocks, by user, and a hot user's likewise. ``routes`` holds, once, which
-block needs which item's and user's factors.
+blocks of a part need which item's and user's factors.
 
-*Step.* The factor rows travel to the blocks that need them (all models of a grid in the same rows' wake), every block computes the errors of its ratings and
-its part of the gradients with numpy, and the parts are summed by (model, side, id). That is one pass over the ratings of the batch, whatever the number of
-models; the batch's loss comes from the same pass. The new factors are written (reliable checkpoint) before the next step.
+*Step.* The factor rows, all models of a grid in one row, travel to the blocks that need them for this batch, every block computes the errors of its ratings
+and its part of the gradients with numpy, and the parts are summed by (side, id). That is one pass over the ratings of the batch, whatever the number of
+models; the batch's loss comes from the same pass. The new factors are written before the next step.
 
 Gradients are those of the mean squared error of the batch plus reg * (sum U^2 + sum V^2), both sides from the old values. ``normalize='batch'`` divides a
 row's gradient by the batch's ratings (the literal mean: with large batches each row moves little), ``'row'`` by the row's own ratings in the batch.
@@ -22,20 +22,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .factors import FitConfig, fcols, learning_rate
-from .groups import reliable_checkpoint
+from .groups import reliable_checkpoint, written
 from .stored import write_bucketed
 
 ITEM, USER, LOSS = "item", "user", "loss"
-ROWS_PER_BLOCK = 1 << 18
+ROWS_PER_BLOCK = 1 << 21  # of all parts; larger blocks share more factor rows
 
 
 @dataclass(frozen=True)
 class PlacedRatings:
-    """``cells`` (block, part, item_id, user_id, rating) bucketed by block, ``routes`` (block, side, id), ratings per part.
+    """``cells`` (block, part, item_id, user_id, rating) bucketed by block, ``routes`` (part, side, id, blocks ARRAY<INT>), ratings per part.
 
     Block = item range * ranges + user range.
     """
@@ -54,11 +55,12 @@ def place_ratings(ratings: DataFrame, rows_per_block: int | None = None) -> Plac
     spark = ratings.sparkSession
     x = ratings.select("part", "item_id", "user_id", F.col("rating").cast("double").alias("rating"))
     sizes = {r["part"]: r["n"] for r in x.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row a part
-    side = max(math.isqrt(spark.sparkContext.defaultParallelism - 1) + 1, math.isqrt(sum(sizes.values()) // (rows_per_block or ROWS_PER_BLOCK)) + 1)
+    side = max(math.isqrt(2 * spark.sparkContext.defaultParallelism - 1) + 1, math.isqrt(sum(sizes.values()) // (rows_per_block or ROWS_PER_BLOCK)) + 1)
     block = F.pmod(F.xxhash64("item_id"), F.lit(side)) * side + F.pmod(F.xxhash64("user_id"), F.lit(side))
     cells = write_bucketed(x.select(block.cast("int").alias("block"), "*"), "block", side * side, ["block", "part"])
     both = F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}_id").cast("bigint").alias("id")) for s in (ITEM, USER)])
-    routes = reliable_checkpoint(cells.select("block", F.inline(both)).distinct())
+    pairs = cells.select("block", "part", F.inline(both)).distinct()  # within a block: not shuffled
+    routes = written(pairs.groupBy("part", "side", "id").agg(F.collect_list("block").alias("blocks")))  # at most ``side`` blocks
     return PlacedRatings(cells, routes, sizes, side)
 
 
@@ -69,82 +71,118 @@ def start_factors(item_f: DataFrame, user_f: DataFrame, k: int, models: int) ->
     return both.select(F.explode(F.sequence(F.lit(0), F.lit(models - 1))).alias("model"), "*")
 
 
-def _pass(placed: PlacedRatings, factors: DataFrame, part: str, k: int, learn: bool) -> DataFrame:
-    """(model, side, id, n, g0 ..) summed over the blocks: gradient sums of every row in ``part``, and one ``loss`` row a model (g0 = squared error)."""
-    names = ["model", "side", "id", "n", *[f"g{i}" for i in range(k)]]
-    types = f"model int, side string, id bigint, n bigint, {', '.join(f'g{i} double' for i in range(k))}"
-    schema = pa.schema([("model", pa.int32()), ("side", pa.string()), ("id", pa.int64()), ("n", pa.int64()), *[(f"g{i}", pa.float64()) for i in range(k)]])
-
-    def rows(model, side, ids, n, g):
-        m = len(ids)
-        cols = [pa.array(np.full(m, model, dtype=np.int32)), pa.array([side] * m, pa.string()), pa.array(ids), pa.array(n.astype(np.int64)), *[pa.array(c) for c in g]]
+def _wcols(m: int, k: int) -> list[str]:
+    return [f"f{m}_{i}" for i in range(k)]
+
+
+def _widen(factors: DataFrame, models: Sequence[int], k: int) -> DataFrame:
+    """(side, id, f{model}_{i} ..) of (model, side, id, f0 ..): null where a model has no such row."""
+    if len(models) == 1:
+        own = [F.col(f).alias(w) for f, w in zip(fcols(k), _wcols(models[0], k), strict=True)]
+        return factors.where(F.col("model") == models[0]).select("side", "id", *own)
+    own = [F.max(F.when(F.col("model") == m, F.col(f))).alias(w) for m in models for f, w in zip(fcols(k), _wcols(m, k), strict=True)]
+    return factors.groupBy("side", "id").agg(*own)
+
+
+def _narrow(wide: DataFrame, models: Sequence[int], k: int) -> DataFrame:
+    """The inverse of ``_widen``."""
+    rows = [F.struct(F.lit(m).alias("model"), "side", "id", *[F.col(w).alias(f) for f, w in zip(fcols(k), _wcols(m, k), strict=True)]) for m in models]
+    return wide.select(F.inline(F.array(*rows))).where(F.col("f0").isNotNull())
+
+
+def _sums(placed: PlacedRatings, wide: DataFrame, models: Sequence[int], part: str, k: int, learn: bool) -> DataFrame:
+    """(side, id, n{model}, g{model}_{i} ..) summed over the blocks: gradient sums of every row in ``part``, and one ``loss`` row (g{model}_0 = squared error)."""
+    sums = [(f"n{m}", pa.int64()) for m in models] + [(f"g{m}_{i}", pa.float64()) for m in models for i in range(k)]
+    schema = pa.schema([("side", pa.string()), ("id", pa.int64()), *sums])
+    types = ", ".join(["side string", "id bigint", *[f"{c} {'bigint' if t == pa.int64() else 'double'}" for c, t in sums]])
+
+    def rows(side, ids, n, g):
+        """``n`` a column a model, ``g`` k columns a model; rows without a rating are left out."""
+        some = np.flatnonzero(np.any(n, axis=0))
+        cols = [pa.array([side] * len(some), pa.string()), pa.array(ids[some]), *[pa.array(c[some].astype(np.int64)) for c in n], *[pa.array(c[some]) for c in g]]
         return pa.record_batch(cols, schema=schema)
 
     def block(key, cells, routed):
-        out = []
-        if len(cells):
-            item, user, rating = cells["item_id"].to_numpy(), cells["user_id"].to_numpy(), cells["rating"].to_numpy()
-            model, is_item = routed["model"].to_numpy(), np.asarray(routed["side"].to_pylist()) == ITEM
-            ids, values = routed["id"].to_numpy(), np.column_stack([routed[f].to_numpy() for f in fcols(k)])
-            for m in np.unique(model):
-                tables, at, known = [], [], np.ones(len(item), dtype=bool)
-                for own, wanted in ((is_item, item), (~is_item, user)):
-                    pick = np.flatnonzero(own & (model == m))
-                    pick = pick[np.argsort(ids[pick])]
-                    tables.append((ids[pick], values[pick]))
-                    if not len(pick):
-                        at.append(np.zeros(len(item), dtype=np.int64))
-                        known[:] = False
-                        continue
-                    p = np.minimum(np.searchsorted(ids[pick], wanted), len(pick) - 1)
-                    known &= ids[pick][p] == wanted
-                    at.append(p)
-                if not known.any():
-                    continue
-                i, u = at[0][known], at[1][known]
-                (item_ids, item_v), (user_ids, user_v) = tables
-                e = rating[known] - np.einsum("ij,ij->i", item_v[i], user_v[u])
-                zero = np.zeros(1)
-                out.append(rows(m, LOSS, np.zeros(1, dtype=np.int64), np.array([len(e)]), [np.array([e @ e]), *[zero] * (k - 1)]))
-                if learn:
-                    for side, own_ids, own, other in ((ITEM, item_ids, i, user_v[u]), (USER, user_ids, u, item_v[i])):
-                        n = np.bincount(own, minlength=len(own_ids))
-                        g = [np.bincount(own, e * other[:, f], minlength=len(own_ids))[n > 0] for f in range(k)]
-                        out.append(rows(m, side, own_ids[n > 0], n[n > 0], g))
+        if not len(cells) or not len(routed):
+            return schema.empty_table()
+        item, user, rating = cells["item_id"].to_numpy(), cells["user_id"].to_numpy(), cells["rating"].to_numpy()
+        is_item, ids = pc.equal(routed["side"], ITEM).to_numpy(), routed["id"].to_numpy()
+        at, own_ids, order, known = [], [], [], np.ones(len(item), dtype=bool)
+        for own, wanted in ((is_item, item), (~is_item, user)):
+            pick = np.flatnonzero(own)
+            if not len(pick):
+                return schema.empty_table()
+            pick = pick[np.argsort(ids[pick])]
+            p = np.minimum(np.searchsorted(ids[pick], wanted), len(pick) - 1)
+            known &= ids[pick][p] == wanted
+            at.append(p)
+            own_ids.append(ids[pick])
+            order.append(pick)
+        n, g, counts, squares = ([], []), ([], []), [], []
+        for m in models:
+            columns = [routed[w] for w in _wcols(m, k)]
+            there = columns[0].is_valid().to_numpy()
+            both = known & there[order[0]][at[0]] & there[order[1]][at[1]]
+            i, u = at[0][both], at[1][both]
+            values = np.column_stack([c.to_numpy() for c in columns])
+            item_v, user_v = values[order[0]][i], values[order[1]][u]
+            e = rating[both] - np.einsum("ij,ij->i", item_v, user_v)
+            counts.append(np.array([len(e)]))
+            squares += [np.array([e @ e]), *[np.zeros(1)] * (k - 1)]
+            if learn:
+                for s, (own, other) in enumerate(((i, user_v), (u, item_v))):
+                    n[s].append(np.bincount(own, minlength=len(own_ids[s])))
+                    g[s].extend(np.bincount(own, e * other[:, f], minlength=len(own_ids[s])) for f in range(k))
+        out = [rows(LOSS, np.zeros(1, dtype=np.int64), counts, squares)]
+        if learn:
+            out += [rows(side, own_ids[s], n[s], g[s]) for s, side in enumerate((ITEM, USER))]
         return pa.Table.from_batches(out, schema=schema)
 
     cells = placed.cells.where(F.col("part") == part).select("block", "item_id", "user_id", "rating")
-    routed = placed.routes.join(factors.select("model", "side", "id", *fcols(k)), ["side", "id"]).select("block", "model", "side", "id", *fcols(k))
-    sums = cells.groupBy("block").cogroup(routed.groupBy("block")).applyInArrow(block, types)
-    return sums.groupBy("model", "side", "id").agg(F.sum("n").alias("n"), *[F.sum(g).alias(g) for g in names[4:]])
+    columns = [w for m in models for w in _wcols(m, k)]
+    routed = placed.routes.where(F.col("part") == part).join(wide.select("side", "id", *columns), ["side", "id"]).select(F.explode("blocks").alias("block"), "side", "id", *columns)
+    added = cells.groupBy("block").cogroup(routed.groupBy("block")).applyInArrow(block, types)
+    return added.groupBy("side", "id").agg(*[F.sum(c).alias(c) for c, _ in sums])
 
 
-def _by_model(values: Sequence[float]) -> Column:
-    return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("model") + 1)
+def _models(factors: DataFrame) -> list[int]:
+    return sorted(r["model"] for r in factors.select("model").distinct().collect())  # one row a model
 
 
-def _step(placed, factors, part, k, rates, regs, normalize) -> tuple[DataFrame, list]:
-    """New factors (written; one more row a model carries the batch's error) and the batch's loss of every model, both from one pass."""
-    rate, reg, n = _by_model(rates), _by_model(regs), float(placed.sizes[part])
-    sums = _pass(placed, factors, part, k, True)
-    by = F.lit(n) if normalize == "batch" else F.col("n")
-    move = lambda i: F.coalesce(rate * 2.0 * F.col(f"g{i}") / by, F.lit(0.0))
-    square = sum((F.col(f) * F.col(f) for f in fcols(k)), F.lit(0.0))
-    is_loss = F.col("side") == LOSS
-    new = factors.where(F.col("side") != LOSS).join(sums, ["model", "side", "id"], "full_outer").select(
-        "model", "side", "id",
-        *[F.when(~is_loss, F.col(f) * (1.0 - rate * 2.0 * reg) + move(i)).alias(f) for i, f in enumerate(fcols(k))],
-        F.when(is_loss, F.col("g0") / n).otherwise(reg * square).alias("_loss"),
-    )
-    new = reliable_checkpoint(new)
-    loss = {r["model"]: r["l"] for r in new.groupBy("model").agg(F.sum("_loss").alias("l")).collect()}  # one row a model
-    return new, [loss[m] for m in range(len(rates))]
+def _pass(placed: PlacedRatings, factors: DataFrame, part: str, k: int, learn: bool) -> DataFrame:
+    """(model, side, id, n, g0 ..): ``_sums`` of factors given as (model, side, id, f0 ..)."""
+    models = _models(factors)
+    sums = _sums(placed, _widen(factors, models, k), models, part, k, learn)
+    rows = [F.struct(F.lit(m).alias("model"), "side", "id", F.col(f"n{m}").alias("n"), *[F.col(f"g{m}_{i}").alias(f"g{i}") for i in range(k)]) for m in models]
+    return sums.select(F.inline(F.array(*rows))).where(F.col("n") > 0)
+
+
+def _step(placed, wide, part, k, rates, regs, normalize) -> tuple[DataFrame, list]:
+    """New factors (written; one more row carries the batch's errors) and the batch's loss of every model, both from one pass."""
+    models, total = range(len(rates)), float(placed.sizes[part])
+    sums = _sums(placed, wide, models, part, k, True)
+    is_loss, columns = F.col("side") == LOSS, []
+    for m, (rate, reg) in enumerate(zip(rates, regs, strict=True)):
+        by = F.lit(total) if normalize == "batch" else F.nullif(F.col(f"n{m}"), F.lit(0))
+        for i, w in enumerate(_wcols(m, k)):
+            move = F.coalesce(F.lit(rate * 2.0) * F.col(f"g{m}_{i}") / by, F.lit(0.0))
+            columns.append(F.when(~is_loss, F.col(w) * F.lit(1.0 - rate * 2.0 * reg) + move).alias(w))
+        square = sum((F.col(w) * F.col(w) for w in _wcols(m, k)), F.lit(0.0))
+        columns.append(F.when(is_loss, F.col(f"g{m}_0") / F.lit(total)).otherwise(F.lit(float(reg)) * square).alias(f"_loss{m}"))
+    old = wide.where(F.col("side") != LOSS).select("side", "id", *[w for m in models for w in _wcols(m, k)])
+    new = written(old.join(sums, ["side", "id"], "full_outer").select("side", "id", *columns))
+    return new, list(new.agg(*[F.sum(f"_loss{m}") for m in models]).first())
+
+
+def _errors(placed: PlacedRatings, wide: DataFrame, models: Sequence[int], part: str, k: int) -> dict:
+    r = _sums(placed, wide, models, part, k, False).where(F.col("side") == LOSS).first()
+    return {m: r[f"g{m}_0"] / r[f"n{m}"] for m in models if r[f"n{m}"]} if r else {}
 
 
 def evaluate(placed: PlacedRatings, factors: DataFrame, part: str, k: int) -> dict:
     """model -> mean squared error over the rows of ``part`` (a model without such rows is absent)."""
-    rows = _pass(placed, factors, part, k, False).where(F.col("side") == LOSS).select("model", (F.col("g0") / F.col("n")).alias("mse")).collect()
-    return {r["model"]: r["mse"] for r in rows}
+    models = _models(factors)
+    return _errors(placed, _widen(factors, models, k), models, part, k) if models else {}
 
 
 @dataclass(frozen=True)
@@ -167,7 +205,9 @@ def fit_models(
     if cfg.normalize not in ("batch", "row"):
         raise ValueError("normalize must be 'batch' or 'row'")
     regs = [cfg.reg if reg is None else reg for _, reg in points]
-    factors = reliable_checkpoint(start_factors(item_f, user_f, cfg.k, len(points)))
+    models = range(len(points))
+    one = start_factors(item_f, user_f, cfg.k, 1)  # every model starts from the same row
+    factors = written(one.select("side", "id", *[F.col(f).alias(w) for m in models for f, w in zip(fcols(cfg.k), _wcols(m, cfg.k), strict=True)]))
     report = []
     for epoch in range(cfg.epochs):
         rates = [learning_rate(epoch, cfg.fixed_lr if lr is None else lr, cfg.lr_initial, cfg.lr_decay, cfg.lr_steps) for lr, _ in points]
@@ -176,12 +216,12 @@ def fit_models(
             if placed.sizes.get(part):
                 factors, loss = _step(placed, factors, part, cfg.k, rates, regs, cfg.normalize)
                 losses.append(loss)
-        mse = evaluate(placed, factors, valid, cfg.k)
-        for m in range(len(points)):
+        mse = _errors(placed, factors, models, valid, cfg.k) if placed.sizes.get(valid) else {}
+        for m in models:
             mean = sum(x[m] for x in losses) / len(losses) if losses else None
             report.append((m, epoch, float(rates[m]), mean, mse.get(m)))
     spark = item_f.sparkSession
-    return Fit(factors, cfg.k, spark.createDataFrame(report, "model INT, epoch INT, lr DOUBLE, train_loss DOUBLE, valid_mse DOUBLE"))
+    return Fit(_narrow(factors, models, cfg.k), cfg.k, spark.createDataFrame(report, "model INT, epoch INT, lr DOUBLE, train_loss DOUBLE, valid_mse DOUBLE"))
 
 
 def batch_name(b: int) -> str:
@@ -282,6 +322,7 @@ def stratified_sgd(placed: PlacedRatings, part: str, item_f: DataFrame, user_f:
 
     factors = reliable_checkpoint(start_factors(item_f, user_f, k, 1))
     own = placed.cells.where(F.col("part") == part).select("block", "item_id", "user_id", "rating")
+    routes = placed.routes.where(F.col("part") == part).select(F.explode("blocks").alias("block"), "side", "id")
     report = []
 
     def measure(epoch):
@@ -293,7 +334,7 @@ def stratified_sgd(placed: PlacedRatings, part: str, item_f: DataFrame, user_f:
         for s in range(placed.ranges):
             blocks = [d * placed.ranges + (d + s) % placed.ranges for d in range(placed.ranges)]
             cells = own.where(F.col("block").isin(blocks))
-            routed = placed.routes.where(F.col("block").isin(blocks)).join(factors.select("side", "id", *fcols(k)), ["side", "id"])
+            routed = routes.where(F.col("block").isin(blocks)).join(factors.select("side", "id", *fcols(k)), ["side", "id"])
             moved = cells.groupBy("block").cogroup(routed.select("block", "side", "id", *fcols(k)).groupBy("block")).applyInArrow(block, types)
             moved = moved.select("side", "id", *[F.col(f).alias(f"_{f}") for f in fcols(k)])  # an item or user lies in one block of a stratum
             factors = factors.join(moved, ["side", "id"], "left").select("model", "side", "id", *[F.coalesce(f"_{f}", f).alias(f) for f in fcols(k)])

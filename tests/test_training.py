@@ -121,6 +121,28 @@ def test_ratings_are_placed_once(spark, data):
     assert not any("Exchange" in line for line in cells.splitlines()[1:scan])
 
 
+def test_a_part_ships_its_own_rows_once_for_all_models(spark, data):
+    """A pass sends a factor row to a block only if the part has such a rating there, and one row for all models."""
+    df, _, items, users, _ = data
+    placed = T.place_ratings(T.split_parts(df, df.where("user_id = 3"), 2), rows_per_block=10)
+    routes = {(r["part"], r["side"], r["id"]): sorted(r["blocks"]) for r in placed.routes.collect()}
+    want = {}
+    for c in placed.cells.collect():
+        for side in (T.ITEM, T.USER):
+            want.setdefault((c["part"], side, c[f"{side}_id"]), set()).add(c["block"])
+    assert routes == {k: sorted(v) for k, v in want.items()}
+    sums = T._sums(placed, T._widen(T.start_factors(items, users, K, 3), [0, 1, 2], K), [0, 1, 2], "valid", K, True)
+    rows = sums.where("side <> 'loss'").collect()
+    assert len(rows) == sum(1 for p, _, _ in routes if p == "valid") and all(r["g0_1"] == r["g2_1"] for r in rows)
+
+
+def test_ranks_keep_no_sort_key(spark, data):
+    df = data[0].drop("rank")
+    ranked = FA.split_order(df, 22)
+    assert ranked.columns == [*df.columns, "rank"] and sorted(r["rank"] for r in ranked.collect()) == list(range(1, df.count() + 1))
+    assert "md5" not in ranked._jdf.queryExecution().optimizedPlan().toString() and "_skey" not in ranked._jdf.queryExecution().toString()
+
+
 def test_strata_are_one_sequential_pass(spark, data):
     """Blocks of a stratum share nothing, so running them together is running them one after the other."""
     df, _, items, users, start = data
