@@ -55,6 +55,16 @@ def test_short_documents_kept_or_dropped(spark):
     assert TX.shingle_counts(df, (5,), drop_short=True).count() == 1
 
 
+def test_shingles_of_wide_characters_and_null_text(spark):
+    """A character beyond 16 bits is one character, alphabets too large to pack are numbered, null text has null counts."""
+    texts = ["a😀b😀a😀b", "".join(chr(0x4E00 + i * i % 3001) for i in range(4000)) + "abcdefghij" * 3, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    got = {r.doc_id: r for r in TX.shingle_counts(df, (2, 9)).collect()}
+    for i, t in enumerate(texts):
+        want = [None] * 3 if t is None else [len(t), *[len({t[j:j + k] for j in range(len(t) - k + 1)}) for k in (2, 9)]]
+        assert [got[i].n_chars_clean, got[i].n_shingles_k2, got[i].n_shingles_k9] == want
+
+
 def test_char_shingles_keep_repeats(spark):
     df = spark.createDataFrame([("aaaa",)], "t STRING")
     assert df.select(char_shingles(F.col("t"), 2).alias("s")).first().s == ["aa", "aa", "aa"]
