@@ -17,7 +17,10 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -51,25 +54,56 @@ def _totals_schema(ks) -> str:
     return ", ".join([_TOTALS_KEY, *[f"f{k} DECIMAL(38,0)" for k in ks]])
 
 
+def _merged_counts(state: pa.Table | None, new: pa.Table) -> pa.Table:
+    """(el, old, add) per element of a bucket: its count before and its rows in this batch."""
+    zero = lambda t: pa.array(np.zeros(len(t), dtype=np.int64))
+    both = [pa.table({"el": new["el"], "old": zero(new), "add": new["n"]})]
+    if state is not None:
+        both.insert(0, pa.table({"el": state["el"], "old": state["c"], "add": zero(state)}))
+    t = pa.concat_tables(both).group_by("el").aggregate([("old", "sum"), ("add", "sum")])
+    return pa.table({"el": t["el"], "old": t["old_sum"], "add": t["add_sum"]})
+
+
+def _packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as w:
+        w.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
 def incremental_moments_stream(
-    stream: DataFrame, element: str, state_dir: str, checkpoint: str, ks=(0, 1, 2, 3), trigger: dict | None = None
+    stream: DataFrame, element: str, state_dir: str, checkpoint: str, ks=(0, 1, 2, 3), trigger: dict | None = None, buckets: int = 1024
 ) -> StreamingQuery:
-    """Exact moments with keyed state: an element's count lives in the state store, and a micro-batch hands on only the elements it
+    """Exact moments with keyed state: the elements' counts live in the state store, and a micro-batch hands on only the elements it
     changed, with their old and new count.
 
     F_k after a batch is F_k before it plus the sum of new^k - old^k over those (exact, DECIMAL). The totals, one row, are written per epoch to
-    ``state_dir/epoch=e``, so a batch that is replayed after a failure starts from the totals before it. The state store keeps
-    one number an element; no batch sees the table of all counts.
+    ``state_dir/epoch=e``, so a batch that is replayed after a failure starts from the totals before it. Elements are dealt by hash to ``buckets`` keys; a
+    key's state is one packed table of its elements and counts, so Python is called once a bucket and batch, and not once an element.
+    Rows are counted by element within an Arrow batch before they are dealt, so a hot element sends a few. No batch sees the table of all counts.
     """
 
-    def changed(key, frames, state):
-        old = state.get[0] if state.exists else 0
-        new = old + sum(len(f) for f in frames)
-        state.update((new,))
-        yield pd.DataFrame({"old": [old], "new": [new]})
+    def counted(batches):
+        for batch in batches:
+            t = pa.Table.from_batches([batch]).group_by(["bucket", "el"]).aggregate([([], "count_all")])
+            yield pa.RecordBatch.from_arrays([t[c].combine_chunks() for c in ("bucket", "el", "count_all")], names=["bucket", "el", "n"])
 
-    counts = stream.select(F.col(element).alias("_el")).groupBy("_el").applyInPandasWithState(
-        changed, "old BIGINT, new BIGINT", "c BIGINT", "update", GroupStateTimeout.NoTimeout
+    def changed(key, frames, state):
+        new = pa.concat_tables([pa.table({"el": pa.array(f["el"], pa.string(), from_pandas=True), "n": pa.array(f["n"], pa.int64())}) for f in frames])
+        t = _merged_counts(_unpacked(state.get[0]) if state.exists else None, new)
+        total = pc.add(t["old"], t["add"])
+        state.update((_packed(pa.table({"el": t["el"], "c": total})),))
+        moved = pc.greater(t["add"], 0)
+        yield pd.DataFrame({"old": t["old"].filter(moved).to_numpy(), "new": total.filter(moved).to_numpy()})
+
+    el = F.col(element)  # as text: one type of state for all, and a null stays an element of its own
+    dealt = stream.select(F.pmod(F.xxhash64(el), F.lit(buckets)).cast("int").alias("bucket"), el.cast("string").alias("el"))
+    counts = dealt.mapInArrow(counted, "bucket int, el string, n bigint").groupBy("bucket").applyInPandasWithState(
+        changed, "old BIGINT, new BIGINT", "counts BINARY", "update", GroupStateTimeout.NoTimeout
     )
 
     def emit(batch: DataFrame, epoch: int) -> None:

@@ -76,6 +76,22 @@ def test_fifty_micro_batches_see_only_changed_counts(spark, scratch, monkeypatch
     assert third["n_batches"] == 3 and third["f1"] == 3 * part
 
 
+def test_counts_of_many_elements_share_a_state_row(spark, scratch):
+    """The state has a row a bucket, whatever the number of elements; a null is an element."""
+    folder = os.path.join(scratch, "in")
+    values = [None, None, *[x for x in range(300) for _ in range(x % 4 + 1)]]
+    df = spark.createDataFrame([(x,) for x in values], "el BIGINT")
+    for _ in range(2):
+        df.coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema("el BIGINT").option("maxFilesPerTrigger", 1).parquet(folder)
+    q = SM.incremental_moments_stream(stream, "el", os.path.join(scratch, "state"), os.path.join(scratch, "ck"), buckets=8)
+    q.awaitTermination(300)
+    assert q.exception() is None and q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    counts = [4, *[2 * (x % 4 + 1) for x in range(300)]]
+    got = SM.latest_totals(spark, os.path.join(scratch, "state")).first()
+    assert got["n_batches"] == 2 and [int(got[f"f{k}"]) for k in range(4)] == [sum(c**k for c in counts) for k in range(4)]
+
+
 def _python_block(key, blocks, k):
     h = hashlib.md5(str(key).encode()).hexdigest()
     h1, h2 = int(h[:13], 16), int(h[13:26], 16)
