@@ -137,6 +137,24 @@ def test_sampled_pairs_and_observed_rates(spark, sets):
         assert row["observed_rate"] == pytest.approx(np.mean(hits)) and row["expected_rate"] == pytest.approx(np.mean([1 - (1 - x**r) ** b for _, x in own_pairs]))
 
 
+def test_anchor_pairs_are_not_shuffled(spark, sets):
+    """Sets longer than an Arrow batch are counted across batches, and no pair waits in an aggregate."""
+    own, df = sets
+    every = {(a, b): i / u for a, b, i, u in jaccards(own) if i}
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        size = df.groupBy("set_id").agg(F.count(F.lit(1)).alias("_n"))
+        p = L._anchor_pairs(df, size.where("set_id % 3 = 0"), df.count(), 10, task_rows=40)
+        got = p.collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {k: x for k, x in every.items() if k[0] % 3 == 0 or k[1] % 3 == 0}
+    assert len(got) == len(want) and {(r["set_a"], r["set_b"]): r["jaccard"] for r in got} == pytest.approx(want)
+    plan = p._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("MapInArrow")[0] and "Join" not in plan
+
+
 def test_stored_table_follows_its_source(spark, scratch):
     path = os.path.join(scratch, "src.parquet")
     spark.range(10).write.parquet(path)
