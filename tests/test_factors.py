@@ -141,3 +141,14 @@ def test_als_ids_beyond_an_int(spark):
     model = FA.als_fit(x.selectExpr("u AS user_id", "i AS item_id", "rating"), rank=2, max_iter=2)
     p = model.transform(spark.createDataFrame([(1, 1), (99, 1)], "user_id int, item_id int")).orderBy("user_id").collect()
     assert p[0]["prediction"] == p[0]["prediction"] and p[1]["prediction"] != p[1]["prediction"]
+
+
+def test_large_steps_are_read_from_parquet(spark):
+    """Ranks, dense ids and gradients are written by column; a row-wise checkpoint of them costs most of a step at size."""
+    um = spark.createDataFrame([(u, i, float(u + i)) for u in range(6) for i in range(5) if (u + i) % 3], "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    items, users = (FA.init_factors(um.select(c).distinct(), c, c[:4], 2, 1) for c in ("item_id", "user_id"))
+    ranked, (new_items, _) = FA.split_order(um, 3), FA.sgd_step(um, items, users, 2, 0.1)
+    ids = FA.dense_ids(um.selectExpr("user_id * 10000000000 AS user_id"), "user_id")
+    assert [tuple(r) for r in ids.orderBy("idx").collect()] == [(u * 10**10, u + 1) for u in range(6)]
+    for df in (ranked, new_items, ids):
+        assert "FileScan parquet" in df._jdf.queryExecution().executedPlan().toString()
