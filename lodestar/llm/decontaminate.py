@@ -164,63 +164,50 @@ def mark_documents(
 ) -> DataFrame:
     """All columns of ``docs`` and n_words, n_hit, n_items, items_sha256, contaminated (names after ``prefix``, see ``free_prefix``)."""
     prefix = free_prefix(docs.columns, prefix)
-    held = free_prefix(docs.columns, "__", ("words", "spans", "items"))
     sc = docs.sparkSession.sparkContext
     texts = docs.select(F.col(text_col).alias("_text"))
-    at_text, width = docs.columns.index(text_col), len(docs.columns)
+    at_text = docs.columns.index(text_col)
     base = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    x = docs.withColumns({f"{held}words": F.lit(0).cast("bigint"), f"{held}spans": F.lit(None).cast("binary"), f"{held}items": F.array().cast("array<string>")})
-    full = f"{base}, `{held}words` bigint, `{held}spans` binary, `{held}items` array<string>"
-    for block in item_windows(items, item_id, item_text, length, block_windows):
-        index = sc.broadcast(index_windows(texts, block))
-        x = x.mapInArrow(_mark_block(index, at_text, width), full)
+    indexes = [sc.broadcast(index_windows(texts, block)) for block in item_windows(items, item_id, item_text, length, block_windows)]
 
-    def finish(batches):
+    def mark(batches):
         for batch in batches:
+            spans: list[bytes | None] = [None] * batch.num_rows
+            names: list[set] = [set() for _ in spans]
+            for index in indexes:
+                _mark_block(index.value, batch.column(at_text), spans, names)
             n_words, n_hit, n_items, sha, hit = [], [], [], [], []
-            for k in range(batch.num_rows):
-                text = batch.column(at_text)[k]
-                n = len(split_words(text.as_buffer().to_pybytes())) if text.is_valid else 0
-                span = batch.column(width + 1)[k].as_py()
+            for text, span, found in zip(batch.column(at_text), spans, names, strict=True):
                 covered = 0
                 if span:
                     s, e = R.merge_spans(*np.frombuffer(span, dtype=np.int64).reshape(2, -1))
                     covered = int((e - s).sum())
-                found = set(batch.column(width + 2)[k].as_py() or ())
-                names = sorted(found - {None})
-                n_words.append(n)
+                n_words.append(len(split_words(text.as_buffer().to_pybytes())) if text.is_valid else 0)
                 n_hit.append(covered)
                 n_items.append(len(found))
-                sha.append(hashlib.sha256(",".join(names).encode()).hexdigest())
+                sha.append(hashlib.sha256(",".join(sorted(found - {None})).encode()).hexdigest())
                 hit.append(covered > 0)
-            cols = [*batch.columns[:width], pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(sha, pa.string()), pa.array(hit, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:width], *(prefix + c for c in MARKS)])
-
-    return x.mapInArrow(finish, f"{base}, `{prefix}n_words` bigint, `{prefix}n_hit` bigint, `{prefix}n_items` bigint, `{prefix}items_sha256` string, `{prefix}contaminated` boolean")
-
-
-def _mark_block(index, at_text: int, width: int):
-    def scan(batches):
-        ix = index.value
-        for batch in batches:
-            spans = batch.column(width + 1).to_pylist()
-            names = batch.column(width + 2).to_pylist()
-            for i, _, data, off in R.text_slices(batch.column(at_text)):
-                start, end, row, first = find_windows(ix, data, off)
-                text = np.searchsorted(first, start, side="right") - 1
-                for k in np.unique(text).tolist():
-                    own = text == k
-                    s, e = R.merge_spans(*(v[own] - first[k] for v in (start, end)))
-                    old = spans[i + k]
-                    if old:
-                        a, b = np.frombuffer(old, dtype=np.int64).reshape(2, -1)
-                        s, e = np.concatenate((a, s)), np.concatenate((b, e))
-                    spans[i + k] = np.concatenate((s, e)).astype(np.int64).tobytes()
-                    names[i + k] = list({*names[i + k], *(ix.item[r] for r in row[own])})
-            cols = [*batch.columns[: width + 1], pa.array(spans, pa.binary()), pa.array(names, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names)
-
-    return scan
+            cols = [*batch.columns, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(sha, pa.string()), pa.array(hit, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, *(prefix + c for c in MARKS)])
+
+    # one pass for all blocks: every further Python step would hold a worker of its own in each running task
+    return docs.mapInArrow(mark, f"{base}, `{prefix}n_words` bigint, `{prefix}n_hit` bigint, `{prefix}n_items` bigint, `{prefix}items_sha256` string, `{prefix}contaminated` boolean")
+
+
+def _mark_block(ix: WindowIndex, texts: pa.Array, spans: list, names: list) -> None:
+    """Add the words hit by the windows of a block to each text's ``spans``, and the windows' items to its ``names``."""
+    for i, _, data, off in R.text_slices(texts):
+        start, end, row, first = find_windows(ix, data, off)
+        text = np.searchsorted(first, start, side="right") - 1
+        for k in np.unique(text).tolist():
+            own = text == k
+            s, e = R.merge_spans(*(v[own] - first[k] for v in (start, end)))
+            old = spans[i + k]
+            if old:
+                a, b = np.frombuffer(old, dtype=np.int64).reshape(2, -1)
+                s, e = np.concatenate((a, s)), np.concatenate((b, e))
+            spans[i + k] = np.concatenate((s, e)).astype(np.int64).tobytes()
+            names[i + k].update(ix.item[r] for r in row[own])
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:

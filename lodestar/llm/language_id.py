@@ -33,7 +33,7 @@ from .packing import bounded_sample
 TABLE_BITS = 16
 MAX_LANGS = 1000
 POINTS = 0x20000
-FLUSH_WORDS = 500_000
+FLUSH_WORDS = 200_000
 
 # First and last code points of scripts (Unicode blocks); 0 is "other letters".
 SCRIPTS = (

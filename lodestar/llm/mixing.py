@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,9 +126,9 @@ def plan_mix(
     targets = share_targets(sizes, weights, max_repeat) if len(per) else np.zeros(0)
     blocks, slots = slot_counts(sizes, targets, block_len, max_repeat)
     schema = f"src int, _source {dict(rows.dtypes)['_source']}, source_size bigint, target double"
-    table = spark.createDataFrame(
-        [(i, r["_source"], int(sizes[i]), float(targets[i])) for i, r in enumerate(per)], schema
-    )
+    # from Arrow: a list of rows would start Python workers of another kind on the executors
+    cols = [pa.array(range(len(per)), pa.int32()), pa.array([r["_source"] for r in per]), pa.array(sizes), pa.array(targets, pa.float64())]
+    table = spark.createDataFrame(pa.table(cols, names=["src", "_source", "source_size", "target"]), schema)
     b = F.broadcast(table.withColumnRenamed("_source", "_bsource"))  # at most MAX_SOURCES rows
     n_salts = max(1, -(-sum(r["n"] for r in per) // salt_rows))
     x = rows.join(b, F.col("_source").eqNullSafe(F.col("_bsource"))).drop("_bsource")

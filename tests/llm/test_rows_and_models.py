@@ -7,11 +7,13 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lodestar.llm import catalog
+from lodestar.llm.decontaminate import clean_documents
 from lodestar.llm.language_id import accepted_documents, label_languages, predict_languages, train_languages, viterbi
 from lodestar.llm.mixing import mixed_documents, permute, plan_mix, share_targets, slot_counts, taken_words
 from lodestar.llm.quality_classifier import quality_scores
@@ -326,6 +328,26 @@ def test_every_operator_has_a_query():
     assert "pipeline" in catalog.QUERIES and set(catalog.ORACLE) <= set(catalog.QUERIES)
 
 
+def test_pipeline_bounds_what_its_python_workers_hold(spark):
+    """Batches are bounded in bytes, decontamination takes one Python step however many blocks there are, and the mix starts no row-wise workers."""
+    long = spark.range(3000, numPartitions=1).select(F.col("id").cast("int").alias("doc_id"), F.repeat(F.lit("word "), 800).alias("text"), F.lit("en").alias("lang"), F.lit("a").alias("source"))
+    try:
+        corpus_pipeline.STAGES[0][1](spark, long.limit(3), SF)
+
+        def sizes(batches):
+            for b in batches:
+                yield pa.record_batch([pa.array([b.nbytes])], names=["n"])
+
+        got = [r["n"] for r in long.mapInArrow(sizes, "n bigint").collect()]
+        assert sum(got) > 10 << 20 and max(got) < 3 << 20
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    d = tables(spark, "documents")
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    assert plan(clean_documents(d, tables(spark, "benchmark"), block_windows=40)).count("MapInArrow") == 1
+    assert "Scan ExistingRDD[src" not in plan(plan_mix(d).sizes)
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = tables(spark, "documents")
     columns = docs.columns
