@@ -110,6 +110,32 @@ def test_candidate_edges_connect_the_bucket(spark):
     assert sorted((r.set_a, r.set_b) for r in edges) == [(0, b) for b in range(1, 6)]
 
 
+def test_bucket_pairs_lists_every_pair_once(spark):
+    """All pairs of a bucket, not only those with its smallest member, and a pair of several bands once."""
+    base = set(range(30))
+    sets = [base - {i} for i in range(8)] + [base, base, {100, 101}, {102}, set(range(200, 230)), set(range(200, 231))]
+    sig = M.signature_arrays(_sets_df(spark, sets), M.hash_family(20))
+    rows = {r.set_id: r.sig for r in sig.collect()}
+    want = {(a, b) for a in rows for b in rows if a < b and any(rows[a][k : k + 2] == rows[b][k : k + 2] for k in range(0, 20, 2))}
+    got = [(r.set_a, r.set_b) for r in L.bucket_pairs(sig, 10, 2).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {(8, 9), (1, 2), (5, 9)} <= want and L.candidate_edges(L.band_hashes(sig, 10, 2)).count() < len(want)
+    assert L.bucket_pairs(sig.where("set_id in (10, 11)"), 10, 2).count() == 0
+
+
+def test_lsh_candidates_holds_pairs_without_the_smallest_member(spark):
+    """The query lists both copies' pairs with a third set, and the pair of the two larger ids."""
+    from lodestar.plans import sets as S
+
+    cand = S.q_lsh_candidates(spark, "/root/testdata/sf0.001").collect()
+    buckets = S.q_lsh_collisions(spark, "/root/testdata/sf0.001").collect()
+    want = set()
+    for b in buckets:
+        m = sorted(int(x) for x in b.members.split(","))
+        want |= {(x, y) for i, x in enumerate(m) for y in m[i + 1 :]}
+    assert sorted((r.set_a, r.set_b) for r in cand) == sorted(want) and want
+
+
 def test_largest_group_and_verify(spark):
     sets = [{1, 2, 3, 4}, {1, 2, 3, 4}, {1, 2, 3, 4}, {9, 10}, {9, 10}]
     df = _sets_df(spark, sets)
