@@ -218,3 +218,61 @@ def test_products_of_asked_pairs_by_lists(spark, sets):
     assert rows(PP._listed_products(v, pairs)).keys() == want.keys() == whole.keys()
     for k, x in rows(PP._listed_products(v, pairs)).items():
         assert x == pytest.approx(want[k], abs=1e-5)
+
+
+def test_packed_lists_come_back():
+    """Any 64-bit integers and doubles, empty columns included; sorted ids cost two to three bytes each, not eight."""
+    from lodestar.operators import member_lists as ML
+
+    rnd = np.random.default_rng(3)
+    cols = [np.array([-(2**63), 2**63 - 1, 0]), np.array([0.1, -0.0, np.inf, np.nan]), np.zeros(0, dtype=np.int64), np.arange(300), rnd.integers(0, 2**33, 50)]
+    for c, d in zip(cols, ML.unpacked(ML.packed(cols)), strict=True):
+        assert c.dtype == d.dtype and c.tobytes() == d.tobytes()
+    ids = np.sort(rnd.choice(3_000_000, 20_000, replace=False))
+    start = np.arange(1, 20_001)
+    sent = [b for _, b in ML.sends(ids, [ids * 2], start, np.minimum(start + 50, 20_000), ids, [], 4)]
+    assert sum(map(len, sent)) < 3 * 50 * 20_000
+    member, n, own, got, _ = ML.received(__import__("pyarrow").array(sent), 1)
+    assert len(member) == 19_999 and (own[0] == member * 2).all()
+    at = np.cumsum(n) - n
+    for i in range(0, len(member), 997):
+        p = int(np.searchsorted(ids, member[i]))
+        assert got[at[i] : at[i] + n[i]].tolist() == ids[p + 1 : p + 51].tolist()
+
+
+def test_pairs_ship_a_few_bytes_each(spark, monkeypatch):
+    """The lists of 200,000 pairs take less than half of the 16 bytes that an id and a value of a pair have in rows."""
+    from lodestar.operators import groups as G
+    from lodestar.operators import member_lists as ML
+
+    seen = []
+    real = ML.larger_lists
+    monkeypatch.setattr(ML, "larger_lists", lambda *a: seen.append(real(*a)) or seen[-1])
+    rnd = random.Random(6)
+    x = spark.createDataFrame([(g, m, float(rnd.randrange(50))) for g in range(500) for m in rnd.sample(range(100_000), 30)], "g BIGINT, m BIGINT, v DOUBLE")
+    assert G.pairs_in_groups(x, "g", "m", ["v"], reduce=lambda lo, hi, first: [np.add.reduceat(lo[0] * hi[0], first)], reduced="xy double").count() > 200_000
+    assert seen[0].agg(F.sum(F.length("_sent"))).first()[0] < 8 * 500 * 30 * 29 / 2
+
+
+def test_no_spread_on_common_items_is_null(spark):
+    """Ratings equal to their user's mean are centred to exactly 0 where they meet."""
+    rows = [(1, 10, 0.1), (1, 11, 0.1), (1, 12, 0.1), (2, 10, 5.0), (2, 13, 1.0), (3, 11, 2.0), (3, 14, 0.0)]
+    got = {(r.user_a, r.user_b): (r.pearson_corr, r.n_common) for r in SIM.pearson_pairs(spark.createDataFrame(rows, "user_id BIGINT, item_id BIGINT, rating DOUBLE")).collect()}
+    mean = (0.1 + 0.1 + 0.1) / 3
+    assert set(got) == {(1, 2), (1, 3)} and all(n == 1 and (c is None) == (mean == 0.1) for c, n in got.values())
+
+
+def test_shuffle_files_of_written_tables_go(spark):
+    """What a written table or a checkpoint shuffled does not wait on disk for the next collection of garbage."""
+    from lodestar.operators import groups as G
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    x = spark.range(100_000).selectExpr("id % 1000 AS k", "id").groupBy("k").count()
+    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: sum(f.getName().startswith("shuffle_") for f in [a.apply(i) for a in [store.getAllFiles()] for i in range(a.size())])
+    before = files()
+    assert G.written(x).count() == 1000 and G.reliable_checkpoint(x).count() == 1000
+    spark.range(10).count()
+    left = files() - before
+    x.write.format("noop").mode("overwrite").save()
+    assert left <= files() - before and spark.conf.get(key, "false") == "false"
