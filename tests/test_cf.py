@@ -182,3 +182,45 @@ def test_neighbours_are_raters_and_at_most_k(spark):
         for r in REC.rate_all_items(df, 5, k).collect():
             if not r.is_known:
                 assert r.n_neighbors <= min(k, len(raters.get(r.item_id, ())))
+
+
+@pytest.mark.parametrize("tile,wave", [(2048, 1 << 28), (5, 2000)])
+@pytest.mark.parametrize("include_self", [False, True])
+def test_estimate_ratings_matches_brute_force(spark, tile, wave, include_self):
+    """Requests of rated and unrated items, of users without ratings, of items without raters; ties; an item of many raters in chunks; users in turns."""
+    import math
+    import random
+
+    rnd = random.Random(11)
+    um = {(u, i): float(rnd.randrange(1, 6)) for u in range(30) for i in range(25) if rnd.random() < 0.35 or i == 3}
+    um |= {(40, 1): 2.0, (40, 2): 2.0, (41, 3): 4.0}  # no spread: norm 0
+    req = {(rnd.randrange(32), rnd.randrange(27)) for _ in range(90)} | {(40, 3), (41, 3), (41, 1), (99, 3), (0, 500), (5, 3)}
+    mean = {u: sum(r for (v, _), r in um.items() if v == u) / sum(1 for v, _ in um if v == u) for u, _ in um}
+    cen = {c: r - mean[c[0]] for c, r in um.items()}
+    norm = {u: math.sqrt(sum(x * x for (v, _), x in cen.items() if v == u)) for u in mean}
+    want = {}
+    for u, i in req:
+        near = []
+        for v in mean:
+            if (v, i) in um and u in mean and (include_self or v != u):
+                d = sum(cen[u, j] * cen[v, j] for j in range(500) if (u, j) in cen and (v, j) in cen)
+                near.append((d / (norm[u] * norm[v]) if norm[u] * norm[v] else 0.0, v))
+        best = sorted(near, key=lambda x: (-round(x[0], 9), x[1]))[:3]
+        w = sum(s for s, _ in best)
+        want[u, i] = (None if not w else sum(s * um[v, i] for s, v in best) / w, len(best))
+    df = spark.createDataFrame([(*c, r) for c, r in um.items()], "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    asked = spark.createDataFrame([*req, (5, 3)], "user_id BIGINT, item_id BIGINT")
+    rows = REC.estimate_ratings(df, asked, 3, include_self, tile_rows=tile, task_entries=200, wave_entries=wave).collect()
+    got = {(r.user_id, r.item_id): (r.estimate, r.n_neighbors) for r in rows}
+    assert len(rows) == len(req) and got.keys() == want.keys()
+    for c, (e, n) in want.items():
+        assert got[c][1] == n and (got[c][0] is None) == (e is None), c
+        assert e is None or abs(e) > 1e6 or got[c][0] == pytest.approx(e, rel=1e-6), c
+
+
+def test_estimate_ratings_shuffles_no_candidates(spark):
+    """Candidates and pairs are no rows: nothing but the ratings, the requests, the packed lists and the result goes through the last job's shuffles."""
+    df = spark.createDataFrame([(u, i, float(u % 5 + i)) for u in range(40) for i in range(12) if (u + i) % 3], "user_id BIGINT, item_id BIGINT, rating DOUBLE")
+    e = REC.estimate_ratings(df, df.select("user_id", "item_id").where("user_id < 9"), 2)
+    plan = e._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "_sent" in plan and e.count() == df.where("user_id < 9").count()
