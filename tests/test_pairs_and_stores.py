@@ -289,3 +289,30 @@ def test_pearson_lists_are_short(spark, monkeypatch):
     um = spark.createDataFrame([(u, i, float(1 + rnd.randrange(50))) for i in range(400) for u in rnd.sample(range(3000), 40)], "user_id BIGINT, item_id BIGINT, rating DOUBLE")
     assert SIM.pearson_pairs(um).count() > 100_000
     assert seen[0].agg(F.sum(F.length("_sent"))).first()[0] < 6 * 400 * 40 * 39 / 2
+
+
+@pytest.mark.parametrize("block,passing,turn", [(1 << 24, 1 << 27, 1 << 30), (300, 200, 1000), (60, 1 << 27, 1 << 30)])
+def test_block_overlaps(spark, sets, block, passing, turn):
+    """Every pair once and on its own side, whatever the blocks, segments and turns; sets without a row or a signature; several rows of a set."""
+    from lodestar.operators.block_overlap import block_overlaps, distinct_arrays
+
+    own, df = sets
+    pairs = [(a, b) if (a + b) % 3 else (b, a) for a, b, *_ in jaccards(own) if (a * 7 + b) % 4 == 0] + [(1, 500), (501, 500), (500, 1)]
+    rows = df.groupBy("set_id").agg(F.collect_list("element").alias("content"))
+    rows = rows.withColumn("content", F.explode(F.array(F.slice("content", 1, 3), F.col("content"))))
+    sig = M.signature_arrays(df.where("set_id <> 7"), M.hash_family(12))
+    signs = {r.set_id: r.sig for r in sig.collect()}
+    o = block_overlaps(rows, spark.createDataFrame(pairs, "set_a BIGINT, set_b BIGINT"), df.count(), distinct_arrays, sig, block, passing, turn)
+    own = {**own, 500: set(), 501: set()}
+    both = lambda a, b: (sum(x == y for x, y in zip(signs[a], signs[b], strict=True)), 12) if a in signs and b in signs else (0, 0)
+    assert sorted(tuple(r) for r in o.collect()) == sorted((a, b, len(own[a] & own[b]), len(own[a] | own[b]), *both(a, b)) for a, b in pairs)
+
+
+def test_verify_arrays_joins_no_signature_to_a_pair(spark, sets):
+    """A signature meets its set once a block; the plan joins the pairs' lists to the sets, never the pairs to signatures."""
+    _, df = sets
+    sig = M.signature_arrays(df, M.hash_family(20))
+    p = spark.createDataFrame([(a, b) for a in range(20) for b in range(a + 1, 20)], "set_a BIGINT, set_b BIGINT")
+    v = L.verify_arrays(p, df.groupBy("set_id").agg(F.collect_list("element").alias("elements")), sig, df.count())
+    plan = v._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "set_a" not in plan[plan.index("Join") :]
