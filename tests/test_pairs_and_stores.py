@@ -291,7 +291,7 @@ def test_pearson_lists_are_short(spark, monkeypatch):
     assert seen[0].agg(F.sum(F.length("_sent"))).first()[0] < 6 * 400 * 40 * 39 / 2
 
 
-@pytest.mark.parametrize("block,passing,turn", [(1 << 24, 1 << 27, 1 << 30), (30, 200, 1000), (60, 1 << 27, 1 << 30)])
+@pytest.mark.parametrize("block,passing,turn", [(1 << 24, 1 << 27, 1 << 30), (300, 200, 1000), (30, 200, 1000), (60, 1 << 27, 1 << 30)])
 def test_block_overlaps(spark, sets, block, passing, turn):
     """Every pair once and on its own side, whatever the blocks, segments and turns; sets without a row or a signature; several rows of a set."""
     from lodestar.operators.block_overlap import block_overlaps, distinct_arrays
